@@ -63,7 +63,8 @@ def ring_area_m2(ring: Column) -> Column:
     small differences of the shoelace sum exact enough.
     """
     x0, y0 = F.element_at(ring, 1)["x"], F.element_at(ring, 1)["y"]
-    y_mid = F.aggregate(ring, F.lit(0.0), lambda acc, p: acc + p["y"]) / F.size(ring)
+    ys = F.transform(ring, lambda p: p["y"])
+    y_mid = (F.array_min(ys) + F.array_max(ys)) / 2
     kx = F.lit(METRES_PER_DEGREE) * F.cos(F.radians(y_mid))
     local = F.transform(ring, lambda p: point((p["x"] - x0) * kx, (p["y"] - y0) * F.lit(METRES_PER_DEGREE)))
     return ring_area(local)

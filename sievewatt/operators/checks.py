@@ -178,17 +178,20 @@ def temporal(
     """Cadence: gaps, duplicates and late arrivals."""
     flags = timeline_flags(df, cols, interval, tolerance, rows_per_slice)
     metrics = _temporal_metrics(df, flags, cols, threshold)
+    return metrics, _one_per_rule(_temporal_hits(flags, cols, all_rules))
+
+
+def _temporal_hits(flags: DataFrame, cols: Cols, all_rules: bool) -> DataFrame:
     extra = F.col("copies") - 1
     gap, dup, late = (F.col(c) == 1 for c in ("is_gap", "is_duplicate", "is_out_of_order"))
+    minutes = F.concat(F.col("time_diff_minutes").cast("string"), F.lit("||"))
     rules = [
-        Rule("temporal_gap", "", gap, evidence=F.concat(F.col("time_diff_minutes").cast("string"), F.lit("||"))),
+        Rule("temporal_gap", "", gap, evidence=minutes),
+        # Further copies repeat the time of the first one, whatever is wrong with that one.
         Rule("temporal_duplicate", "", dup | (extra > 0), evidence=F.lit("|duplicate|")),
-        Rule("temporal_out_of_order", "", late, evidence=F.lit("||out_of_order")),
+        Rule("temporal_out_of_order", "", late if all_rules else late & ~gap & ~dup, evidence=F.lit("||out_of_order")),
     ]
-    if not all_rules:
-        # One rule per reading. The first copy takes the first rule it breaks; the others repeat it.
-        rules[2] = Rule(rules[2].name, "", late & ~gap & ~dup, evidence=rules[2].evidence)
-    return metrics, _incidents(flags, cols, rules, all_rules=True)
+    return _hits(flags, cols, [rules], all_rules=True)
 
 
 def _temporal_metrics(df: DataFrame, flags: DataFrame, cols: Cols, threshold: float) -> DataFrame:
@@ -375,16 +378,19 @@ def all_incidents(
     all_rules: bool = False,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
-    """The incidents of the four checks in one table."""
-    parts = [
-        completeness(df, cols, cfg.interval_minutes, cfg.daily_missing, critical=cfg.critical_missing)[1],
-        temporal(
-            df, cols, cfg.interval_minutes, cfg.tolerance_minutes, cfg.anomaly_rate, all_rules, rows_per_slice
-        )[1],
-        business(df, cols, cfg.min_value, cfg.max_value, cfg.z_score, cfg.violation_rate, all_rules)[1],
-        schema_validity(df, cols, cfg.enums, cfg.value_range, all_rules)[1],
+    """The incidents of the four checks in one table.
+
+    Value and schema rules are judged in the same pass, and all hits share one grouping.
+    """
+    rows = with_entity_stats(df, cols)
+    families = [
+        business_rules(cols, cfg.min_value, cfg.max_value, cfg.z_score),
+        schema_rules(df, cols, cfg.enums, cfg.value_range),
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    flags = timeline_flags(df, cols, cfg.interval_minutes, cfg.tolerance_minutes, rows_per_slice)
+    hits = _hits(rows, cols, families, all_rules).unionByName(_temporal_hits(flags, cols, all_rules))
+    missing = completeness(df, cols, cfg.interval_minutes, cfg.daily_missing, critical=cfg.critical_missing)[1]
+    return _one_per_rule(hits).unionByName(missing)
 
 
 # ---------------------------------------------------------- weather consistency
@@ -458,31 +464,35 @@ def _rule_metrics(
 
 
 def _incidents(df: DataFrame, cols: Cols, rules: Sequence[Rule], all_rules: bool) -> DataFrame:
-    """Turn rule hits into incident rows, one per entity, time and rule.
-
-    By default a reading is reported under the first rule it breaks; with ``all_rules`` under each.
-    """
-    broken = reduce(or_, [F.coalesce(r.when, F.lit(False)) for r in rules])
-    rows = df.filter(broken)
-    if all_rules:
-        hits = F.array(*[F.when(r.when, _hit(r)) for r in rules])
-        rows = rows.withColumn("_hit", F.explode(F.filter(hits, lambda h: h.isNotNull())))
-    else:
-        rows = rows.withColumn("_hit", F.coalesce(*[F.when(r.when, _hit(r)) for r in rules]))
+    return _one_per_rule(_hits(df, cols, [rules], all_rules))
+
+
+def _hits(df: DataFrame, cols: Cols, families: Sequence[Sequence[Rule]], all_rules: bool) -> DataFrame:
+    """Rule hits as rows. By default a reading is reported under the first rule of each family it
+    breaks; with ``all_rules`` under every one."""
+    found = []
+    for rules in families:
+        each = [F.when(r.when, _hit(r)) for r in rules]
+        found += each if all_rules else [F.coalesce(*each)]
+    broken = reduce(or_, [F.coalesce(r.when, F.lit(False)) for rules in families for r in rules])
+    hit = F.col("_hit")
     return (
-        rows.select(
+        df.filter(broken)
+        .withColumn("_hit", F.explode(F.filter(F.array(*found), lambda h: h.isNotNull())))
+        .select(
             entity_id(cols.entity).alias("entity_id"),
             day(cols.ts).alias(DAY),
             F.col(cols.ts).alias("incident_timestamp"),
-            F.col("_hit")["rule_name"].alias("rule_name"),
-            F.col("_hit")["severity"].alias("severity"),
-            F.col("_hit")["evidence"].alias("evidence"),
+            *[hit[c].alias(c) for c in ("rule_name", "severity", "evidence")],
         )
-        .groupBy(*INCIDENT_COLUMNS[:5])
-        .agg(F.min("evidence").alias("evidence"))
     )
 
 
+def _one_per_rule(hits: DataFrame) -> DataFrame:
+    """One incident per entity, time and rule; copies are merged before they are shuffled."""
+    return hits.groupBy(*INCIDENT_COLUMNS[:5]).agg(F.min("evidence").alias("evidence"))
+
+
 def _hit(rule: Rule) -> Column:
     return F.struct(
         F.lit(rule.name).alias("rule_name"),

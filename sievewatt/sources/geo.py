@@ -119,4 +119,5 @@ def no_buildings(spark: SparkSession) -> DataFrame:
 
 
 def _xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+    reader = spark.read.format("xml").option("rowTag", tag).option("recursiveFileLookup", True)
+    return reader.schema(schema).load(path)

@@ -19,7 +19,6 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,16 +42,13 @@ class TableMissing(ValueError):
 
 def log(spark: SparkSession, path: str) -> DataFrame | None:
     """The table's log, or None if there is no table."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).json(f"{path}/log")
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err):
-            return None
-        raise
+    return spark.read.schema(LOG_SCHEMA).json(f"{path}/log") if exists(spark, path) else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return log(spark, path) is not None
+    """Asks the file system that owns the path, wherever that is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/log")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def latest(spark: SparkSession, path: str) -> int | None:

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sievewatt.config import CheckSettings, Cols
-from sievewatt.functions.columns import MINUTES_PER_DAY, flag, micros
+from sievewatt.functions.columns import MINUTES_PER_DAY, flag, micros, number
 from sievewatt.operators.checks import Rule, schema_rules
-from sievewatt.functions.columns import number
 
 
 def stream_completeness(df: DataFrame, cols: Cols, watermark: str = "2 days", cfg: CheckSettings = CheckSettings()) -> DataFrame:
@@ -28,7 +27,8 @@ def stream_completeness(df: DataFrame, cols: Cols, watermark: str = "2 days", cf
     ]
     expected = int(MINUTES_PER_DAY / cfg.interval_minutes)
     counts = (
-        df.filter(F.col(cols.ts).isNotNull())
+        _event_time(df, cols)
+        .filter(F.col(cols.ts).isNotNull())
         .withWatermark(cols.ts, watermark)
         .groupBy(F.window(cols.ts, "1 day").alias("_w"), *cols.entity)
         .agg(F.count(F.lit(1)).alias("actual_records"), *[F.sum(flag(r.when)).alias(r.count) for r in rules])
@@ -43,6 +43,11 @@ def stream_completeness(df: DataFrame, cols: Cols, watermark: str = "2 days", cf
     )
 
 
+def _event_time(df: DataFrame, cols: Cols) -> DataFrame:
+    """Watermarks need a timestamp with a zone; times without one are read in the session's."""
+    return df.withColumn(cols.ts, F.col(cols.ts).cast("timestamp"))
+
+
 def newest_results(updates: DataFrame, keys: Sequence[str], batch: str = "_batch_no") -> DataFrame:
     """Latest row per key of a table of streaming updates."""
     rest = [c for c in updates.columns if c not in keys]
@@ -52,7 +57,7 @@ def newest_results(updates: DataFrame, keys: Sequence[str], batch: str = "_batch
 
 def stream_dedupe(df: DataFrame, cols: Cols, watermark: str = "2 days") -> DataFrame:
     """First row per entity and time; state is dropped once the watermark has passed."""
-    return df.withWatermark(cols.ts, watermark).dropDuplicatesWithinWatermark([*cols.entity, cols.ts])
+    return _event_time(df, cols).withWatermark(cols.ts, watermark).dropDuplicatesWithinWatermark([*cols.entity, cols.ts])
 
 
 class _Cadence(StatefulProcessor):
@@ -68,7 +73,8 @@ class _Cadence(StatefulProcessor):
         latest = self.latest.get()[0] if self.latest.exists() else None
         # A trigger's rows of one entity come in chunks; each is judged on arrival order and let go.
         for chunk in rows:
-            chunk = chunk.sort_values("_arrival", kind="stable")
+            # Only the order of the columns is certain here, not their names.
+            chunk = chunk.set_axis([*self.entity, "_us", "_arrival"], axis=1).sort_values("_arrival", kind="stable")
             us = chunk["_us"].astype("int64")
             seen = us.cummax().shift(1)
             seen = seen.fillna(-1).astype("int64") if latest is None else seen.fillna(latest).clip(lower=latest).astype("int64")
