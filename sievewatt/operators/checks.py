@@ -412,9 +412,13 @@ def weather_consistency(
     v, w = number(cols.value), number(weather)
     month = F.to_date(F.date_trunc("month", F.col(cols.ts))).alias("month")
     timed = df.filter(F.col(cols.ts).isNotNull())
+    known = v.isNotNull() & w.isNotNull()
+    pairs, x, y = F.count(F.when(known, 1)), F.when(known, v), F.when(known, w)
+    # Not F.corr, which fails under ANSI when one side never changes.
+    spread = F.stddev_samp(x) * F.stddev_samp(y)
     metrics = timed.groupBy(*cols.entity, month).agg(
-        F.count(F.when(v.isNotNull() & w.isNotNull(), 1)).alias("pair_count"),
-        F.when(F.count(F.when(v.isNotNull() & w.isNotNull(), 1)) >= min_pairs, F.corr(v, w)).alias("correlation"),
+        pairs.alias("pair_count"),
+        F.when(pairs >= min_pairs, F.try_divide(F.covar_samp(x, y), spread)).alias("correlation"),
     )
     daily = timed.groupBy(*cols.entity, day(cols.ts).alias(DAY)).agg(F.avg(v).alias("_v"), F.avg(w).alias("_w"))
     by_month = [*cols.entity, "_month"]

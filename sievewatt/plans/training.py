@@ -20,6 +20,7 @@ from sievewatt.functions.columns import risk_category
 from sievewatt.operators.checks import DAY
 from sievewatt.operators.features import KEYS, feature_columns
 from sievewatt.operators.quantiles import stratified_split
+from sievewatt.runtime import scratch_path
 from sievewatt.sources import tables
 
 # Fixed value: share of the training rows that decides when boosting stops.
@@ -82,7 +83,14 @@ def train(
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=[*numbers, *encoded], outputCol="features", handleInvalid="keep"))
     stages.append(_classifier(cfg))
-    return Pipeline(stages=stages).fit(ready), numbers
+    model = Pipeline(stages=stages).fit(ready)
+    if cfg.model_type == "logistic_regression":
+        # The fitted model holds its training summary and with it the session, which cannot be sent
+        # to tasks; a stored copy holds only the coefficients.
+        path = scratch_path(train_rows.sparkSession, "model")
+        model.write().save(path)
+        model = PipelineModel.load(path)
+    return model, numbers
 
 
 def _classifier(cfg: RiskSettings):
