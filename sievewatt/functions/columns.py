@@ -36,8 +36,7 @@ def parse_number(c: str | Column) -> Column:
 
 def number(c: str | Column) -> Column:
     """The value with NaN read as missing."""
-    col = _col(c).cast("double")
-    return F.when(~F.isnan(col), col)
+    return F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
 
 
 def minutes_between(later: Column, earlier: Column) -> Column:

@@ -355,7 +355,7 @@ def all_metrics(
         F.count(F.lit(1)).alias("actual_records"),
         _any_hit(rules).alias("violating_records"),
         _any_hit(shape).alias("invalid_records"),
-        *[F.sum(flag(r.when)).alias(r.count) for r in rules + shape],
+        *[F.count_if(r.when).alias(r.count) for r in rules + shape],
     )
     flags = timeline_flags(df, cols, cfg.interval_minutes, cfg.tolerance_minutes, rows_per_slice)
     cadence = _temporal_metrics(df, flags, cols, cfg.anomaly_rate)
@@ -448,7 +448,8 @@ def weather_consistency(
 
 
 def _any_hit(rules: Sequence[Rule]) -> Column:
-    return F.sum(reduce(F.greatest, [flag(r.when) for r in rules]) if len(rules) > 1 else flag(rules[0].when))
+    """Rows that break at least one rule."""
+    return F.count_if(reduce(or_, [r.when for r in rules]))
 
 
 def _rule_metrics(
@@ -457,7 +458,7 @@ def _rule_metrics(
     per_day = df.groupBy(*cols.entity, day(cols.ts).alias(DAY)).agg(
         F.count(F.lit(1)).alias("total_records"),
         _any_hit(rules).alias(hit_rows),
-        *[F.sum(flag(r.when)).alias(r.count) for r in rules],
+        *[F.count_if(r.when).alias(r.count) for r in rules],
     )
     return per_day.withColumns(
         {

@@ -40,10 +40,10 @@ def keyed_scores(scores: DataFrame, entity: Sequence[str]) -> DataFrame:
 def incident_counts(incidents: DataFrame) -> DataFrame:
     """Incidents per entity and day: all, by family, by severity."""
     named = [
-        F.sum(flag(F.col("rule_name").contains(k))).alias(f"{k}_incidents")
+        F.count_if(F.col("rule_name").contains(k)).alias(f"{k}_incidents")
         for k in ("completeness", "temporal", "business", "schema")
     ]
-    graded = [F.sum(flag(F.col("severity") == s)).alias(f"{s}_incidents") for s in ("critical", "warning")]
+    graded = [F.count_if(F.col("severity") == s).alias(f"{s}_incidents") for s in ("critical", "warning")]
     timed = incidents.filter(F.col("incident_timestamp").isNotNull())
     return timed.groupBy("entity_id", day("incident_timestamp").alias(DAY)).agg(
         F.count(F.lit(1)).alias("total_incidents"), *named, *graded

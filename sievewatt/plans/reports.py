@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewatt.functions.columns import day, flag
+from sievewatt.functions.columns import day
 from sievewatt.operators.checks import DAY
 from sievewatt.operators.quantiles import quantiles
 from sievewatt.operators.skew import lookup_join
@@ -147,7 +147,7 @@ def statistics(df: DataFrame, value: str, low: float | None = None, step: float
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.count(F.lit(1)).alias("total"),
-        *([F.sum(flag(F.col(value) < low)).alias("low_count")] if low is not None else []),
+        *([F.count_if(F.col(value) < low).alias("low_count")] if low is not None else []),
     )
     if low is not None:
         plain = plain.withColumn("low_share", F.col("low_count") / F.col("total"))
@@ -177,7 +177,7 @@ def scores_by_group(scores: DataFrame, dim: DataFrame, on: Sequence[str], group:
             F.min("quality_score").alias("min_quality_score"),
             F.max("quality_score").alias("max_quality_score"),
             F.count(F.lit(1)).alias("total_records"),
-            F.sum(flag(F.col("quality_score") < threshold)).alias("low_quality_count"),
+            F.count_if(F.col("quality_score") < threshold).alias("low_quality_count"),
         )
         .withColumn("low_quality_rate", F.col("low_quality_count") / F.col("total_records"))
         .orderBy("avg_quality_score", group)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from sievewatt.config import CheckSettings, Cols
-from sievewatt.functions.columns import MINUTES_PER_DAY, flag, micros, number
+from sievewatt.functions.columns import MINUTES_PER_DAY, micros, number
 from sievewatt.operators.checks import Rule, schema_rules
 
 
@@ -31,7 +31,7 @@ def stream_completeness(df: DataFrame, cols: Cols, watermark: str = "2 days", cf
         .filter(F.col(cols.ts).isNotNull())
         .withWatermark(cols.ts, watermark)
         .groupBy(F.window(cols.ts, "1 day").alias("_w"), *cols.entity)
-        .agg(F.count(F.lit(1)).alias("actual_records"), *[F.sum(flag(r.when)).alias(r.count) for r in rules])
+        .agg(F.count(F.lit(1)).alias("actual_records"), *[F.count_if(r.when).alias(r.count) for r in rules])
     )
     return counts.select(
         *cols.entity,
