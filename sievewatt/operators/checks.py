@@ -134,36 +134,49 @@ def timeline_flags(
     tolerance: float = 1,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
-    """Distinct (entity, time, arrival) with the number of copies and what is wrong with them.
+    """One row per entity and time: how many readings it has and what is wrong with them.
 
-    Copies are collapsed before anything is sorted, so a reading repeated very often costs one row.
-    A row is a duplicate if it repeats the time of the one before it, otherwise irregular if its
-    distance from it is off by more than the tolerance. It is out of order if it arrived after a
-    later reading. The first reading of an entity is never wrong.
+    In order of time (and of arrival among equal times) a reading is a duplicate if it repeats the
+    time before it, otherwise a gap if its distance from it is off by more than the tolerance. In
+    order of arrival it is late if its time lies before that of the reading that came before it. An
+    entity's first reading is never wrong.
+
+    Readings are reduced to distinct times before anything is sorted, so it does not matter how often
+    one of them is repeated: of n readings at one time the first may be a gap, the others repeat it.
     """
     arrival = cols.arrival if cols.arrival in df.columns and cols.arrival != cols.ts else None
-    keys = [*cols.entity, cols.ts] + ([arrival] if arrival else [])
-    points = df.filter(F.col(cols.ts).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    tie = [arrival] if arrival else []
-    by_time = find_slices(points, cols.entity, cols.ts, rows_per_slice)
-    out = previous_value(points, cols.ts, "prev_timestamp", by_time, tie)
+    timed = df.filter(F.col(cols.ts).isNotNull())
+    keys = [*cols.entity, cols.ts]
+    counts = [F.count(F.lit(1)).alias("readings"), F.lit(0).cast("long").alias("late_readings"), F.lit(False).alias("first_is_late")]
     if arrival:
-        by_arrival = find_slices(points, cols.entity, arrival, rows_per_slice)
-        out = previous_value(out, cols.ts, "_arrived_before", by_arrival, [cols.ts], source=points)
-        late = F.col(cols.ts) < F.col("_arrived_before")
-    else:
-        out = out.withColumn("_arrived_before", F.lit(None).cast(df.schema[cols.ts].dataType))
-        late = F.lit(False)
+        late = _late_arrivals(timed, cols, arrival, rows_per_slice)
+        nothing = F.lit(None).cast(df.schema[arrival].dataType)
+        timed = timed.select(*keys, F.lit(1).alias("_n"), F.col(arrival).alias("_came"), nothing.alias("_late")).unionByName(
+            late.select(*keys, F.lit(0).alias("_n"), nothing.alias("_came"), F.col(arrival).alias("_late"))
+        )
+        counts = [
+            F.sum("_n").alias("readings"),
+            F.count("_late").alias("late_readings"),
+            F.coalesce(F.min("_late") == F.min("_came"), F.lit(False)).alias("first_is_late"),
+        ]
+    times = timed.groupBy(*keys).agg(*counts)
+    slices = find_slices(df, cols.entity, cols.ts, rows_per_slice)
     diff = minutes_between(F.col(cols.ts), F.col("prev_timestamp"))
-    repeated = F.col(cols.ts) == F.col("prev_timestamp")
-    return out.withColumns(
-        {
-            "time_diff_minutes": diff,
-            "is_gap": flag(~repeated & (F.abs(diff - interval) > tolerance)),
-            "is_duplicate": flag(repeated),
-            "is_out_of_order": flag(late),
-        }
-    ).drop("_arrived_before")
+    return previous_value(times, cols.ts, "prev_timestamp", slices).withColumns(
+        {"time_diff_minutes": diff, "is_gap": flag(F.abs(diff - interval) > tolerance)}
+    )
+
+
+def _late_arrivals(timed: DataFrame, cols: Cols, arrival: str, rows_per_slice: int | None) -> DataFrame:
+    """(entity, time, arrival) of the readings that came after a later one.
+
+    Readings that arrived together count as sorted by time, so only the earliest of them can be late,
+    and it is compared with the latest of those that arrived before. This needs one row per entity
+    and arrival, whether every reading has its own or a whole batch shares one.
+    """
+    together = timed.groupBy(*cols.entity, arrival).agg(F.min(cols.ts).alias(cols.ts), F.max(cols.ts).alias("_last"))
+    slices = find_slices(timed, cols.entity, arrival, rows_per_slice)
+    return previous_value(together, "_last", "_before", slices).filter(F.col(cols.ts) < F.col("_before"))
 
 
 def temporal(
@@ -182,38 +195,35 @@ def temporal(
 
 
 def _temporal_hits(flags: DataFrame, cols: Cols, all_rules: bool) -> DataFrame:
-    extra = F.col("copies") - 1
-    gap, dup, late = (F.col(c) == 1 for c in ("is_gap", "is_duplicate", "is_out_of_order"))
+    gap, repeated = F.col("is_gap") == 1, F.col("readings") > 1
+    # Repeats are reported as such; only the first reading of a time can be reported as late.
+    late = (F.col("late_readings") > 0) if all_rules else F.col("first_is_late") & ~gap
     minutes = F.concat(F.col("time_diff_minutes").cast("string"), F.lit("||"))
     rules = [
         Rule("temporal_gap", "", gap, evidence=minutes),
-        # Further copies repeat the time of the first one, whatever is wrong with that one.
-        Rule("temporal_duplicate", "", dup | (extra > 0), evidence=F.lit("|duplicate|")),
-        Rule("temporal_out_of_order", "", late if all_rules else late & ~gap & ~dup, evidence=F.lit("||out_of_order")),
+        Rule("temporal_duplicate", "", repeated, evidence=F.lit("|duplicate|")),
+        Rule("temporal_out_of_order", "", late, evidence=F.lit("||out_of_order")),
     ]
     return _hits(flags, cols, [rules], all_rules=True)
 
 
 def _temporal_metrics(df: DataFrame, flags: DataFrame, cols: Cols, threshold: float) -> DataFrame:
-    extra = F.col("copies") - 1
-    hit = F.greatest("is_gap", "is_duplicate", "is_out_of_order")
+    repeats = F.col("readings") - 1
+    first_is_wrong = ((F.col("is_gap") == 1) | F.col("first_is_late")).cast("long")
     zero = F.lit(0).cast("long")
+    sums = ["total_records", "gap_count", "duplicate_count", "out_of_order_count", "anomalous_records"]
     timed = flags.select(
         *cols.entity,
         day(cols.ts).alias(DAY),
-        F.col("copies").alias("total_records"),
+        F.col("readings").alias("total_records"),
         F.col("is_gap").cast("long").alias("gap_count"),
-        (F.col("is_duplicate") + extra).alias("duplicate_count"),
-        F.col("is_out_of_order").cast("long").alias("out_of_order_count"),
-        (hit + extra).alias("anomalous_records"),
+        repeats.alias("duplicate_count"),
+        F.col("late_readings").alias("out_of_order_count"),
+        (first_is_wrong + repeats).alias("anomalous_records"),
     )
     untimed = df.filter(F.col(cols.ts).isNull()).select(
-        *cols.entity,
-        F.lit(None).cast("date").alias(DAY),
-        F.lit(1).cast("long").alias("total_records"),
-        *[zero.alias(c) for c in ("gap_count", "duplicate_count", "out_of_order_count", "anomalous_records")],
+        *cols.entity, F.lit(None).cast("date").alias(DAY), F.lit(1).cast("long").alias(sums[0]), *[zero.alias(c) for c in sums[1:]]
     )
-    sums = ["total_records", "gap_count", "duplicate_count", "out_of_order_count", "anomalous_records"]
     per_day = timed.unionByName(untimed).groupBy(*cols.entity, DAY).agg(*[F.sum(c).alias(c) for c in sums])
     return per_day.withColumns(
         {
@@ -341,14 +351,19 @@ def schema_validity(
 
 
 def all_metrics(
-    df: DataFrame, cols: Cols, cfg: CheckSettings = CheckSettings(), rows_per_slice: int | None = None
+    df: DataFrame,
+    cols: Cols,
+    cfg: CheckSettings = CheckSettings(),
+    rows_per_slice: int | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """All four metric sets per entity and day.
 
     Completeness, business and schema share one scan and one aggregate. Only the distinct times
     needed for the cadence check are shuffled by entity. The two results meet in one grouping.
+    ``rows`` is ``with_entity_stats`` of the readings, if the caller has it already.
     """
-    rows = with_entity_stats(df, cols)
+    rows = with_entity_stats(df, cols) if rows is None else rows
     rules = business_rules(cols, cfg.min_value, cfg.max_value, cfg.z_score)
     shape = schema_rules(df, cols, cfg.enums, cfg.value_range)
     base = rows.groupBy(*cols.entity, day(cols.ts).alias(DAY)).agg(
@@ -377,12 +392,13 @@ def all_incidents(
     cfg: CheckSettings = CheckSettings(),
     all_rules: bool = False,
     rows_per_slice: int | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """The incidents of the four checks in one table.
 
     Value and schema rules are judged in the same pass, and all hits share one grouping.
     """
-    rows = with_entity_stats(df, cols)
+    rows = with_entity_stats(df, cols) if rows is None else rows
     families = [
         business_rules(cols, cfg.min_value, cfg.max_value, cfg.z_score),
         schema_rules(df, cols, cfg.enums, cfg.value_range),

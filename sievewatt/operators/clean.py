@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 from sievewatt.config import Cols
 from sievewatt.functions.columns import calendar_parts, micros, number
 from sievewatt.operators.ordered import last_known, trailing_mean
-from sievewatt.operators.skew import find_slices
+from sievewatt.operators.skew import find_slices, join_null_safe
 
 # Fixed value: how many earlier half-hours the trailing mean looks at (one day).
 TRAILING_ROWS = 48
@@ -147,9 +145,7 @@ def split_rejected(
 
 def missing_from(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of one layer whose key never reached the next one."""
-    there = after.select(*[F.col(k).alias(f"_after_{k}") for k in keys])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_after_{k}")) for k in keys])
-    return before.join(there, same, "left_anti")
+    return join_null_safe(before, after.select(*keys), keys, "left_anti")
 
 
 def standardise(df: DataFrame, upper: Sequence[str] = (), trimmed: Sequence[str] = ()) -> DataFrame:

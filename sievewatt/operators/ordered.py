@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewatt.operators.skew import Slices, with_slice
+from sievewatt.operators.skew import Slices, join_null_safe, with_slice
 
 
 def previous_value(
@@ -21,12 +21,8 @@ def previous_value(
     name: str,
     slices: Slices,
     tie_break: Sequence[str] = (),
-    source: DataFrame | None = None,
 ) -> DataFrame:
-    """``value`` of the entity's previous row in ``slices.order``; null for its first row.
-
-    ``source`` is a cheaper frame with the same rows to take the slice ends from.
-    """
+    """``value`` of the entity's previous row in ``slices.order``; null for its first row."""
     order = [slices.order, *tie_break]
     rows = with_slice(df, slices)
     inside = Window.partitionBy(*slices.keys).orderBy(*order)
@@ -34,14 +30,14 @@ def previous_value(
     if slices.table is None:
         return out.drop("_slice")
     out = out.withColumn("_row", F.row_number().over(inside))
-    last = _hot_rows(df if source is None else source, slices).groupBy(*slices.keys).agg(
+    last = _hot_rows(df, slices).groupBy(*slices.keys).agg(
         F.max(F.struct(*order, F.col(value).alias("_carry")))["_carry"].alias("_last")
     )
-    before = last.withColumn("_before", F.lag("_last").over(_over_slices(slices))).drop("_last")
+    before = last.withColumn("_carried", F.lag("_last").over(_over_slices(slices))).drop("_last")
     return (
-        out.join(before, slices.keys, "left")
-        .withColumn(name, F.when(F.col("_row") == 1, F.col("_before")).otherwise(F.col(name)))
-        .drop("_slice", "_row", "_before")
+        join_null_safe(out, before, slices.keys, "left")
+        .withColumn(name, F.when(F.col("_row") == 1, F.col("_carried")).otherwise(F.col(name)))
+        .drop("_slice", "_row", "_carried")
     )
 
 
@@ -78,7 +74,7 @@ def trailing_mean(
     head = F.when(take > 0, F.slice("_before", (have - take + 1).cast("int"), take.cast("int")))
     known = F.filter(F.coalesce(head, F.expr("cast(array() as array<struct<v:double>>)")), lambda s: s["v"].isNotNull())
     return (
-        out.join(carried, slices.keys, "left")
+        join_null_safe(out, carried, slices.keys, "left")
         .withColumn("_known", known)
         .withColumn("_cnt", F.col("_cnt") + F.size("_known"))
         .withColumn(
@@ -109,7 +105,7 @@ def last_known(
     earlier = _over_slices(slices).rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
     return (
-        out.join(carried, slices.keys, "left")
+        join_null_safe(out, carried, slices.keys, "left")
         .withColumn(name, F.coalesce(F.col(name), F.col("_before")))
         .drop("_p", "_slice", "_before")
     )
@@ -117,8 +113,8 @@ def last_known(
 
 def _hot_rows(df: DataFrame, slices: Slices) -> DataFrame:
     """Rows of sliced entities only; the others have no slice boundary to cross."""
-    hot = F.broadcast(slices.table.select(*slices.entity))
-    return with_slice(df.join(hot, list(slices.entity), "left_semi"), slices)
+    hot = slices.table.select(*slices.entity)
+    return with_slice(join_null_safe(df, hot, slices.entity, "left_semi", small=True), slices)
 
 
 def _over_slices(slices: Slices):

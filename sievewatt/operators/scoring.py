@@ -53,8 +53,9 @@ def quality_scores(
     checks: CheckSettings = CheckSettings(),
     cfg: ScoreSettings = ScoreSettings(),
     rows_per_slice: int | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
-    return score_metrics(all_metrics(df, cols, checks, rows_per_slice), cols.entity, cfg)
+    return score_metrics(all_metrics(df, cols, checks, rows_per_slice, rows), cols.entity, cfg)
 
 
 def _finish(parts: DataFrame, keys: Sequence[str], cfg: ScoreSettings) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,8 +122,8 @@ def find_slices(
 ) -> Slices:
     """Measure which entities are hot and how wide their slices along ``order`` must be.
 
-    For each hot entity the widest of a few candidate widths is taken whose fullest slice stays
-    below the limit. The result has at most rows / rows_per_slice rows, so it is safe to broadcast.
+    For each hot entity the widest of a few candidate widths is taken whose fullest slice has few
+    enough distinct positions (the windows run on rows that are unique per position). The result has at most rows / rows_per_slice rows, so it is safe to broadcast.
     Passing ``rows_per_slice`` forces the measurement on small inputs.
     """
     entity = tuple(entity)
@@ -149,13 +151,13 @@ def find_slices(
         return Slices(entity, order)
     finer = F.explode(F.array(*[F.lit(float(r)) for r in _REFINEMENTS]))
     tried = (
-        points.join(F.broadcast(hot), list(entity))
+        join_null_safe(points, hot, entity, "inner", small=True)
         .withColumn("_finer", finer)
         .withColumn("_width", F.greatest(F.lit(1.0), F.col("_width") / F.col("_finer")))
         .groupBy(*entity, "_lo", "_width", F.floor((F.col("_pos") - F.col("_lo")) / F.col("_width")).alias("_s"))
-        .count()
+        .agg(F.approx_count_distinct("_pos").alias("_distinct"))
         .groupBy(*entity, "_lo", "_width")
-        .agg(F.max("count").alias("_fullest"))
+        .agg(F.max("_distinct").alias("_fullest"))
     )
     chosen = tried.groupBy(*entity, "_lo").agg(
         F.coalesce(
@@ -171,12 +173,24 @@ def with_slice(df: DataFrame, slices: Slices) -> DataFrame:
         return df.withColumn("_slice", F.lit(0).cast("long"))
     at = F.floor((order_number(df, slices.order) - F.col("_lo")) / F.col("_width"))
     return (
-        df.join(F.broadcast(slices.table), list(slices.entity), "left")
+        join_null_safe(df, slices.table, slices.entity, "left", small=True)
         .withColumn("_slice", F.coalesce(at, F.lit(0)).cast("long"))
         .drop("_lo", "_width")
     )
 
 
+def join_null_safe(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, small: bool = False
+) -> DataFrame:
+    """Equi join in which a missing key matches a missing key. ``small`` broadcasts the right side."""
+    renamed = right.select(
+        *[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys]
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    joined = left.join(F.broadcast(renamed) if small else renamed, same, how)
+    return joined.drop(*[f"_right_{k}" for k in keys])
+
+
 def order_number(df: DataFrame, order: str) -> Column:
     """The ordering column as a whole number, so that slices can be cut by arithmetic."""
     dtype = df.schema[order].dataType

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sievewatt.config import Cols, Settings
 from sievewatt.governance import audit
-from sievewatt.operators.checks import all_incidents
+from sievewatt.operators.checks import all_incidents, with_entity_stats
 from sievewatt.operators.clean import clean_readings
 from sievewatt.operators.enrich import consumption_analytics, enrich_entities, enrich_hourly
 from sievewatt.operators.features import features, labels, training_set
@@ -129,8 +129,9 @@ def silver(run: Run) -> None:
 
 def quality(run: Run) -> dict[str, float]:
     readings = run.load("silver", "household_enriched")
-    scores = run.save(quality_scores(readings, READINGS, run.settings.checks, run.settings.scoring), "gold", "quality_scores")
-    run.save(all_incidents(readings, READINGS, run.settings.checks), "gold", "quality_incidents")
+    cfg, rows = run.settings.checks, with_entity_stats(readings, READINGS)
+    scores = run.save(quality_scores(readings, READINGS, cfg, run.settings.scoring, rows=rows), "gold", "quality_scores")
+    run.save(all_incidents(readings, READINGS, cfg, rows=rows), "gold", "quality_incidents")
     return summary(scores).first().asDict()
 
 

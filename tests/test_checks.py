@@ -86,6 +86,16 @@ def test_copies_of_a_reading_are_duplicates_however_many(spark):
     assert m["anomaly_rate"] == pytest.approx(0.98)
 
 
+@pytest.mark.parametrize("rows_per_slice", [None, 2])
+def test_a_batch_that_arrived_together_is_sorted_by_time(spark, rows_per_slice):
+    rows = [("A", 60, 1.0), ("A", 0, 1.0), ("A", 30, 1.0), ("A", 90, 1.0), ("A", 75, 1.0), ("A", 120, 1.0)]
+    df = readings(spark, rows).withColumn("arrival", F.when(F.col("arrival") < 4, 1).otherwise(2).cast("long"))
+    m = checks.temporal(df, COLS, rows_per_slice=rows_per_slice)[0].first()
+    # Only 75, the first of the second batch, came after a later reading (90).
+    assert m["out_of_order_count"] == 1
+    assert m["anomalous_records"] == 2  # 75 (late, and 15 minutes after 60) and 90 (15 minutes after 75)
+
+
 def test_previous_reading_is_looked_up_across_midnight(spark):
     df = readings(spark, [("A", 1410, 1.0), ("A", 1440, 1.0), ("A", 2880 + 30, 1.0)])
     m = by(checks.temporal(df, COLS)[0], "score_date")
@@ -96,6 +106,7 @@ def test_previous_reading_is_looked_up_across_midnight(spark):
 @pytest.mark.parametrize("rows_per_slice", [1, 3, 7, 1000])
 def test_slicing_a_hot_entity_changes_nothing(spark, rows_per_slice):
     rows = [("hot", (i * 37) % 4000 + (i % 3), float(i % 7)) for i in range(300)] + [("cold", 60 * i, 1.0) for i in range(5)]
+    rows += [(None, (i * 11) % 500, 1.0) for i in range(40)]
     df = readings(spark, rows)
     plain, cut = checks.temporal(df, COLS), checks.temporal(df, COLS, rows_per_slice=rows_per_slice)
     for a, b in zip(plain, cut):
