@@ -11,13 +11,13 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewatt.config import CheckSettings, Cols
 from sievewatt.functions.columns import MINUTES_PER_DAY, day, entity_id, flag, minutes_between, number
 from sievewatt.operators.ordered import previous_value
-from sievewatt.operators.skew import HOT_ROWS, find_slices, lookup_join, outer_merge
+from sievewatt.operators.skew import HOT_ROWS, Slices, find_slices, lookup_join, outer_merge
 from sievewatt.runtime import BROADCAST_BYTES
 
 DAY = "score_date"
@@ -141,33 +141,67 @@ def timeline_flags(
     order of arrival it is late if its time lies before that of the reading that came before it. An
     entity's first reading is never wrong.
 
-    Readings are reduced to distinct times before anything is sorted, so it does not matter how often
-    one of them is repeated: of n readings at one time the first may be a gap, the others repeat it.
+    Without hot entities the readings are shuffled by entity once and everything happens there. With
+    them, they are first reduced to distinct times and arrivals, whose windows can then be cut into
+    slices; so it does not matter how many readings an entity has or how often one is repeated.
     """
     arrival = cols.arrival if cols.arrival in df.columns and cols.arrival != cols.ts else None
     timed = df.filter(F.col(cols.ts).isNotNull())
-    keys = [*cols.entity, cols.ts]
-    counts = [F.count(F.lit(1)).alias("readings"), F.lit(0).cast("long").alias("late_readings"), F.lit(False).alias("first_is_late")]
+    by_time = find_slices(timed, cols.entity, cols.ts, rows_per_slice)
+    by_arrival = find_slices(timed, cols.entity, arrival, rows_per_slice) if arrival else by_time
+    if by_time.table is None and by_arrival.table is None:
+        times = _times_by_entity(timed, cols, arrival)
+    else:
+        times = previous_value(_distinct_times(timed, cols, arrival, by_arrival), cols.ts, "prev_timestamp", by_time)
+    diff = minutes_between(F.col(cols.ts), F.col("prev_timestamp"))
+    return times.withColumns({"time_diff_minutes": diff, "is_gap": flag(F.abs(diff - interval) > tolerance)})
+
+
+def _times_by_entity(timed: DataFrame, cols: Cols, arrival: str | None) -> DataFrame:
+    """(entity, time, readings, late_readings, first_is_late, prev_timestamp) in one shuffle: both
+    windows and the grouping use the partitioning by entity."""
+    ts, entity = F.col(cols.ts), Window.partitionBy(*cols.entity)
+    columns = [*cols.entity, cols.ts] + ([arrival] if arrival else [])
+    rows = timed.select(*columns).withColumn("_prev", F.lag(cols.ts).over(entity.orderBy(*columns[len(cols.entity) :])))
+    late = F.lit(False)
     if arrival:
-        late = _late_arrivals(timed, cols, arrival, rows_per_slice)
-        nothing = F.lit(None).cast(df.schema[arrival].dataType)
-        timed = timed.select(*keys, F.lit(1).alias("_n"), F.col(arrival).alias("_came"), nothing.alias("_late")).unionByName(
-            late.select(*keys, F.lit(0).alias("_n"), nothing.alias("_came"), F.col(arrival).alias("_late"))
+        late = F.coalesce(ts < F.lag(cols.ts).over(entity.orderBy(arrival, cols.ts)), F.lit(False))
+    first = F.col("_prev").isNull() | (F.col("_prev") != ts)
+    return (
+        rows.withColumn("_late", late)
+        .groupBy(*cols.entity, cols.ts)
+        .agg(
+            F.count(F.lit(1)).alias("readings"),
+            F.count_if("_late").alias("late_readings"),
+            F.coalesce(F.max(F.when(first, F.col("_late"))), F.lit(False)).alias("first_is_late"),
+            F.max(F.when(first, F.col("_prev"))).alias("prev_timestamp"),
         )
-        counts = [
+    )
+
+
+def _distinct_times(timed: DataFrame, cols: Cols, arrival: str | None, by_arrival: Slices) -> DataFrame:
+    """The same without ``prev_timestamp``, by aggregates that combine before they shuffle."""
+    keys = [*cols.entity, cols.ts]
+    if not arrival:
+        none = [F.lit(0).cast("long").alias("late_readings"), F.lit(False).alias("first_is_late")]
+        return timed.groupBy(*keys).agg(F.count(F.lit(1)).alias("readings"), *none)
+    nothing = F.lit(None).cast(timed.schema[arrival].dataType)
+    came = timed.select(*keys, F.lit(1).alias("_n"), F.col(arrival).alias("_came"), nothing.alias("_late"))
+    late = _late_arrivals(timed, cols, arrival, by_arrival).select(
+        *keys, F.lit(0).alias("_n"), nothing.alias("_came"), F.col(arrival).alias("_late")
+    )
+    return (
+        came.unionByName(late)
+        .groupBy(*keys)
+        .agg(
             F.sum("_n").alias("readings"),
             F.count("_late").alias("late_readings"),
             F.coalesce(F.min("_late") == F.min("_came"), F.lit(False)).alias("first_is_late"),
-        ]
-    times = timed.groupBy(*keys).agg(*counts)
-    slices = find_slices(df, cols.entity, cols.ts, rows_per_slice)
-    diff = minutes_between(F.col(cols.ts), F.col("prev_timestamp"))
-    return previous_value(times, cols.ts, "prev_timestamp", slices).withColumns(
-        {"time_diff_minutes": diff, "is_gap": flag(F.abs(diff - interval) > tolerance)}
+        )
     )
 
 
-def _late_arrivals(timed: DataFrame, cols: Cols, arrival: str, rows_per_slice: int | None) -> DataFrame:
+def _late_arrivals(timed: DataFrame, cols: Cols, arrival: str, slices: Slices) -> DataFrame:
     """(entity, time, arrival) of the readings that came after a later one.
 
     Readings that arrived together count as sorted by time, so only the earliest of them can be late,
@@ -175,7 +209,6 @@ def _late_arrivals(timed: DataFrame, cols: Cols, arrival: str, rows_per_slice: i
     and arrival, whether every reading has its own or a whole batch shares one.
     """
     together = timed.groupBy(*cols.entity, arrival).agg(F.min(cols.ts).alias(cols.ts), F.max(cols.ts).alias("_last"))
-    slices = find_slices(timed, cols.entity, arrival, rows_per_slice)
     return previous_value(together, "_last", "_before", slices).filter(F.col(cols.ts) < F.col("_before"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 MB = 1024 * 1024
 
 # A side is broadcast only when its estimated or measured size is below this.
-BROADCAST_BYTES = 64 * MB
+BROADCAST_BYTES = 32 * MB
 
 # An input this small fits in one task, so no key in it can be too hot for one task.
 SINGLE_TASK_BYTES = 128 * MB
