@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import mixing, oracle, sharding, topk, urlfilter
+from sievewatt.llm import mixing, oracle, partenum, sharding, topk, urlfilter
 from sievewatt.llm.common import table
 
 # Fixed values: (host, path, verdict).
@@ -49,8 +49,13 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = partenum.join(table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class_id").alias("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op3_mixing, op4_url_filter, op5_sharding)
+    f.__name__: f for f in (op1_topk, op3_mixing, op4_url_filter, op5_sharding, op9_ngram_jaccard_join)
 }
 
 ORACLE: dict[str, str] = oracle.SQL
