@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import mixing, oracle, partenum, sharding, topk, urlfilter
+from sievewatt.llm import mixing, oracle, partenum, sharding, topk, toxicity, urlfilter
 from sievewatt.llm.common import table
 
 # Fixed values: (host, path, verdict).
@@ -24,6 +24,18 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (toxicity.crc_part(F.col("id")) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "terms",
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mix(table(spark, sf_dir, "documents"))
     return taken.select(
@@ -55,7 +67,7 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op3_mixing, op4_url_filter, op5_sharding, op9_ngram_jaccard_join)
+    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op9_ngram_jaccard_join)
 }
 
 ORACLE: dict[str, str] = oracle.SQL
