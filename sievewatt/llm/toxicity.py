@@ -42,7 +42,7 @@ CLEAN_ROWS = 8000
 SHORTEST, LONGEST = 4, 12
 # Least log-likelihood ratio and share of toxic contexts for a term; most terms kept.
 LEAST_RATIO = 9.0
-LEAST_SHARE = 0.9
+LEAST_SHARE = 0.8
 MOST_TERMS = 20_000
 THRESHOLD = 0.7
 WINDOW = 6
