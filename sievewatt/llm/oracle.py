@@ -74,4 +74,33 @@ SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM s JOIN fits f ON s.page_id IS NOT DISTINCT FROM f.page_id AND s.host = f.host AND s.path = f.path
 """
 
-SQL: dict[str, str] = {"op1_topk": OP1, "op3_mixing": OP3, "op4_url_filter": OP4}
+_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+)
+
+OP6 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS w FROM documents
+), b AS (
+  SELECT item_id, {_WORDS} AS w, least(10, len({_WORDS})) AS k FROM benchmark WHERE len({_WORDS}) > 0
+), bw AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i + 1:i + k], ' ') AS g FROM b, unnest(range(0, len(w) - k + 1)) AS u(i)
+), lengths AS (
+  SELECT DISTINCT k FROM b
+), dw AS (
+  SELECT rid, i, k, array_to_string(w[i + 1:i + k], ' ') AS g
+  FROM (SELECT rid, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM d, lengths)
+), hit AS (
+  SELECT rid, i, dw.k AS k, item_id FROM dw JOIN bw USING (k, g)
+), pos AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM hit) GROUP BY rid
+), its AS (
+  SELECT rid, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM hit GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
+"""
+
+SQL: dict[str, str] = {"op1_topk": OP1, "op3_mixing": OP3, "op4_url_filter": OP4, "op6_decontamination": OP6}

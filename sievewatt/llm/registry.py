@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import mixing, oracle, partenum, sharding, topk, toxicity, urlfilter
+from sievewatt.llm import decontaminate, mixing, oracle, partenum, sharding, topk, toxicity, urlfilter
 from sievewatt.llm.common import table
 
 # Fixed values: (host, path, verdict).
@@ -61,13 +61,26 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(listed, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = partenum.join(table(spark, sf_dir, "documents"))
     return classes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class_id").alias("component_id"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op9_ngram_jaccard_join)
+    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op9_ngram_jaccard_join)
 }
 
 ORACLE: dict[str, str] = oracle.SQL
