@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import decontaminate, mixing, oracle, partenum, sharding, topk, toxicity, urlfilter
+from sievewatt.llm import decontaminate, htmltext, mixing, oracle, partenum, sharding, topk, toxicity, urlfilter
 from sievewatt.llm.common import table
 
 # Fixed values: (host, path, verdict).
@@ -79,8 +79,14 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class_id").alias("component_id"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    texts = htmltext.extract(pages, htmltext.train(pages))
+    return texts.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op9_ngram_jaccard_join)
+    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op9_ngram_jaccard_join, op10_html_extraction)
 }
 
 ORACLE: dict[str, str] = oracle.SQL
