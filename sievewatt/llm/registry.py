@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import decontaminate, htmltext, mixing, oracle, partenum, sharding, topk, toxicity, urlfilter
+from sievewatt.llm import decontaminate, htmltext, mixing, oracle, partenum, pii, sharding, topk, toxicity, urlfilter
 from sievewatt.llm.common import table
 
 # Fixed values: (host, path, verdict).
@@ -74,6 +74,17 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    counts = [pii.number_of("base", k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = partenum.join(table(spark, sf_dir, "documents"))
     return classes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class_id").alias("component_id"))
@@ -86,7 +97,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op9_ngram_jaccard_join, op10_html_extraction)
+    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op7_pii, op9_ngram_jaccard_join, op10_html_extraction)
 }
 
 ORACLE: dict[str, str] = oracle.SQL
