@@ -103,4 +103,44 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN its USING (rid)
 """
 
-SQL: dict[str, str] = {"op1_topk": OP1, "op3_mixing": OP3, "op4_url_filter": OP4, "op6_decontamination": OP6}
+OP8 = r"""
+WITH RECURSIVE lines AS (
+  SELECT rid, conv_id, turn, role, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM (SELECT row_number() OVER () AS rid, * FROM conversations)
+), leveled AS (
+  SELECT *, length(regexp_replace(regexp_extract(line, '^\s*>[> ]*'), '[^>]', '', 'g')) AS lvl, regexp_replace(line, '^\s*>[> ]*', '') AS words
+  FROM lines
+), flows AS (
+  SELECT rid, any_value(conv_id) AS conv_id, any_value(turn) AS turn, lvl, 
+    CASE lvl WHEN 0 THEN string_agg(words, chr(10) ORDER BY i) ELSE string_agg(words, ' ' ORDER BY i) END AS flow
+  FROM leveled
+  WHERE lvl > 0 OR NOT regexp_matches(words, '^\s*(On|Am|Le|El)\b.*(wrote|schrieb|écrit|escribió)[^:]*:\s*$')
+  GROUP BY rid, lvl
+), messages AS (
+  SELECT c.rid, c.conv_id, c.turn, coalesce(c.role, 'unknown') AS role, coalesce(regexp_replace(f.flow, '^\s+|\s+$', '', 'g'), '') AS text
+  FROM (SELECT row_number() OVER () AS rid, * FROM conversations) c LEFT JOIN flows f ON f.rid = c.rid AND f.lvl = 0
+), units AS (
+  SELECT DISTINCT conv_id, turn, lvl, trim(unnest(string_split(regexp_replace(lower(regexp_replace(flow, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)))) AS u
+  FROM flows
+), said AS (
+  SELECT conv_id, u, min(turn) AS origin FROM units WHERE lvl = 0 AND length(u) >= 8 GROUP BY ALL
+), votes AS (
+  SELECT q.conv_id, q.turn, q.lvl, s.origin, count(*) AS n
+  FROM units q JOIN said s ON q.conv_id = s.conv_id AND q.u = s.u AND s.origin < q.turn AND q.lvl > 0 GROUP BY ALL
+), parents AS (
+  SELECT conv_id, turn, arg_max(origin, (-lvl, n, origin)) AS parent FROM votes GROUP BY ALL
+), chain AS (
+  SELECT conv_id, turn, turn AS root FROM (SELECT DISTINCT conv_id, turn FROM messages)
+  UNION ALL
+  SELECT c.conv_id, c.turn, p.parent FROM chain c JOIN parents p ON c.conv_id = p.conv_id AND c.root = p.turn
+), rooted AS (
+  SELECT conv_id, turn, min(root) AS root FROM chain GROUP BY ALL
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY root, turn) - 1 AS place FROM rooted
+)
+SELECT m.conv_id, m.turn, m.role, p.parent, r.root, r.place, m.text, '<|' || m.role || '|>' || chr(10) || m.text || chr(10) AS formatted
+FROM messages m JOIN placed r USING (conv_id, turn) LEFT JOIN parents p USING (conv_id, turn)
+"""
+
+SQL: dict[str, str] = {"op1_topk": OP1, "op3_mixing": OP3, "op4_url_filter": OP4, "op6_decontamination": OP6, "op8_chat_formatting": OP8}

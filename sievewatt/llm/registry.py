@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import decontaminate, htmltext, mixing, oracle, partenum, pii, sharding, topk, toxicity, urlfilter
+from sievewatt.llm import decontaminate, htmltext, mixing, oracle, partenum, pii, quotes, sharding, topk, toxicity, urlfilter
 from sievewatt.llm.common import table
 
 # Fixed values: (host, path, verdict).
@@ -85,6 +85,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = quotes.conversations(table(spark, sf_dir, "conversations"))
+    return told.select(F.col("conv").alias("conv_id"), "turn", "role", "parent", "root", "place", "text", "formatted")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = partenum.join(table(spark, sf_dir, "documents"))
     return classes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class_id").alias("component_id"))
@@ -97,7 +102,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op7_pii, op9_ngram_jaccard_join, op10_html_extraction)
+    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op7_pii, op8_chat_formatting, op9_ngram_jaccard_join, op10_html_extraction)
 }
 
 ORACLE: dict[str, str] = oracle.SQL
