@@ -11,9 +11,10 @@ are not frequent in the corpus, so that common passages seldom make a signature;
 compared, never the result.
 
 Signatures meet by hash. The members of a signature form a group around their smallest key (the leader);
-the groups of one leader are united, sets are brought to the group, and all its pairs are checked: first by a
-lower bound of their difference from counts in bins, then exactly. A group gives links that span its classes,
-not all pairs. A group too large for one task is taken apart by the same signatures with another cut of the
+the groups of one leader are united. First a sketch of each member is brought to the group, the counts of its
+elements in bins: the difference of two sketches is a lower bound of the sets' difference, so members that are
+too far from all others leave. Then the sets of those that stay are brought, and all their pairs are checked,
+again by the bound and then exactly. A group gives links that span its classes, not all pairs. A group too large for one task is taken apart by the same signatures with another cut of the
 domain. Copies (equal sets) are one set from the start, and each task names a set once.
 
 Linked pairs connect to classes by label propagation with pointer jumping over checkpointed tables.
@@ -118,6 +119,45 @@ def signatures(s: np.ndarray, frequent: np.ndarray, bands: Bands, seed: int = 0)
     return np.concatenate(out)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Counts (15 at most) of a set's elements in bins, a power of two of them, two counts to a byte."""
+    bins = 1 << max(4, int(len(s) // 2).bit_length())
+    counts = np.minimum(np.bincount((s % np.uint64(bins)).astype(np.int64), minlength=bins), 15).astype(np.uint8)
+    return (counts[: bins // 2] | counts[bins // 2 :] << 4).tobytes()
+
+
+def _counts(raw: bytes, bins: int) -> np.ndarray:
+    """The counts in a sketch, in the first ``bins`` bins, a smaller power of two: bins that fall together add up."""
+    packed = np.frombuffer(raw, np.uint8)
+    full = np.concatenate((packed & 15, packed >> 4)).astype(np.int16)
+    return full.reshape(-1, bins).sum(0, dtype=np.int16)
+
+
+def _staying(percent: int):
+    """Of each group, the members whose sketch is near enough to another's."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("n")
+        sizes, raw = table["n"].to_numpy(), table["sketch"].to_pylist()
+        bins = 2 * min(map(len, raw))
+        counts = np.stack([_counts(r, bins) for r in raw])
+        stays = np.zeros(len(sizes), bool)
+        for i in range(len(sizes) - 1):
+            end = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
+            others = np.arange(i + 1, end)
+            if stays[i]:
+                others = others[~stays[i + 1 : end]]
+            for at in range(0, len(others), 1024):
+                j = others[at : at + 1024]
+                apart = np.abs(counts[j] - counts[i]).sum(1, dtype=np.int64)
+                near = j[apart * (100 + percent) <= (sizes[j] + sizes[i]) * (100 - percent)]
+                stays[near] = True
+                stays[i] |= len(near) > 0
+        return table.filter(pa.array(stays)).select(["lead", "key", "row"])
+
+    return run
+
+
 def set_key(s: np.ndarray) -> int:
     with np.errstate(over="ignore"):
         return int(mix(np.array([np.add.reduce(mix(s ^ _B)) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
@@ -138,10 +178,11 @@ def _measured(width: int):
             held, size = [], 0
 
         for batch in batches:
-            n, key = [], []
+            n, key, drawn = [], [], []
             for s in sets_of(batch.column("text").to_pylist(), width):
                 n.append(len(s))
                 key.append(set_key(s) if len(s) else None)
+                drawn.append(sketch(s) if len(s) else None)
                 if len(s) and key[-1] not in seen:
                     seen.add(key[-1])
                     held.append(s)
@@ -154,6 +195,7 @@ def _measured(width: int):
                     "row": batch.column("row").cast(pa.string()),
                     "n": pa.array(n, pa.int64()),
                     "key": pa.array(key, pa.int64()),
+                    "sketch": pa.array(drawn, pa.binary()),
                     "frequent": pa.nulls(len(n), pa.int64()),
                 }
             )
@@ -169,6 +211,7 @@ def _measured(width: int):
                     "row": pa.nulls(len(h), pa.string()),
                     "n": pa.array(n),
                     "key": pa.nulls(len(h), pa.int64()),
+                    "sketch": pa.nulls(len(h), pa.binary()),
                     "frequent": pa.array(h.view(np.int64)),
                 }
             )
@@ -347,9 +390,9 @@ CARRIED = "lead long, key long, elements binary"
 
 
 def measured(docs: DataFrame, text_col: str, id_col: str, width: int) -> DataFrame:
-    """(id, row, n, key, frequent): the set size and set key of every document, and frequent elements."""
+    """(id, row, n, key, sketch, frequent): the set size, key and sketch of every document, and frequent elements."""
     wanted = _named(docs, text_col, id_col)
-    return durable(wanted.mapInArrow(_measured(width), "id long, row string, n long, key long, frequent long"))
+    return durable(wanted.mapInArrow(_measured(width), "id long, row string, n long, key long, sketch binary, frequent long"))
 
 
 def _named(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -374,7 +417,9 @@ def links(docs: DataFrame, found: DataFrame, text_col: str, id_col: str, width:
     dealt = wanted.select("text").mapInArrow(_emitted(groups, shipped, width, percent), DEALT)
     stars = durable(dealt.groupBy("g").applyInArrow(_met, "lead long, key long").distinct())
     # one document stands for each set
-    named = found.filter("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("row"), F.max("n").alias("n"))
+    named = found.filter("key IS NOT NULL").groupBy("key").agg(
+        F.min("row").alias("row"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
+    )
     return _verified(wanted, named, stars, width, percent)
 
 
@@ -382,12 +427,13 @@ def _verified(wanted: DataFrame, named: DataFrame, stars: DataFrame, width: int,
     out = None
     for level in range(LEVELS):
         members = stars.unionByName(stars.select("lead", F.col("lead").alias("key")).distinct())
-        sized = durable(members.join(named, "key").select("lead", "key", "row", "n"))
+        sized = durable(members.join(named, "key").select("lead", "key", "row", "n", "sketch"))
         large = sized.groupBy("lead").agg(F.count("*").alias("m"), F.sum("n").alias("e"))
         large = large.filter((F.col("m") > GROUP_MEMBERS) | (F.col("e") > GROUP_ELEMENTS)).select("lead")
         last = level == LEVELS - 1 or large.isEmpty()
         small = sized if last else sized.join(large, "lead", "left_anti")
-        checked = _carry(wanted, small, width).groupBy("lead").applyInArrow(_checked(percent), "a long, b long")
+        staying = durable(small.groupBy("lead").applyInArrow(_staying(percent), "lead long, key long, row string"))
+        checked = _carry(wanted, staying, width).groupBy("lead").applyInArrow(_checked(percent), "a long, b long")
         checked = durable(checked.distinct())
         out = checked if out is None else out.unionByName(checked)
         if last:
