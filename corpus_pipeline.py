@@ -11,12 +11,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import mixing, sharding
+from sievewatt.llm import decontaminate, mixing, partenum, sharding, toxicity
+from sievewatt.llm.common import table
 from sievewatt.runtime import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the score rejects go."""
+    return toxicity.without_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar texts stays."""
+    return partenum.one_of_each(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the target weights of the sources ask for."""
     return mixing.mixed(docs)
@@ -27,7 +43,13 @@ def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard(docs).select(F.col("id").alias("doc_id"), "size", "text_crc32", "shard", "slot")
 
 
-STAGES: list[tuple[str, Stage]] = [("mixing", mix_sources), ("sharding", into_shards)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("sharding", into_shards),
+]
 
 # The schedule of shards and a trained model are beyond SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None

@@ -11,7 +11,7 @@ from sievewatt.runtime import durable
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-__all__ = ["UPPER", "ascii_lower", "durable", "slices_of", "table"]
+__all__ = ["UPPER", "ascii_lower", "durable", "slices_of", "small_side", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,12 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def small_side(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """``df`` marked for broadcast if it has no more than ``most`` narrow rows, which is counted; else as it is, so
+    that the join is shuffled. ``df`` is read twice and should be a checkpointed table."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def slices_of(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Index ranges over ``texts`` that hold about ``chars`` characters each, so that arrays made of one
     range stay small whatever the batch; a longer text is a range of its own."""

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import ascii_lower
+from sievewatt.llm.common import ascii_lower, durable, small_side
 
 N = 10
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -137,13 +137,12 @@ def remove_documents(
 ) -> DataFrame:
     """``docs`` without those whose share of hit words is above ``most_hit``; all columns stay."""
     marked = hits(docs, items, text_col, id_col, **names)
-    bad = marked.filter(F.col("n_hit") > F.lit(most_hit) * F.col("n_words")).select("id", "text_hash").distinct()
-    kept = docs.alias("d").join(
-        bad.alias("b"),
+    bad = durable(marked.filter(F.col("n_hit") > F.lit(most_hit) * F.col("n_words")).select("id", "text_hash").distinct())
+    return docs.alias("d").join(
+        small_side(bad).alias("b"),
         (F.col(f"d.{id_col}").eqNullSafe(F.col("b.id"))) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("b.text_hash")),
         "left_anti",
     )
-    return kept
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", id_col: str = "doc_id", **names) -> DataFrame:

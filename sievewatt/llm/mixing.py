@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import durable
+from sievewatt.llm.common import durable, small_side
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -83,7 +83,7 @@ def plan_copies(
         rates.withColumn("whole", F.floor("rate").cast("long")).withColumn("fraction", F.col("rate") - F.col("whole"))
     )
     key = F.coalesce(F.col("d.id").cast("string"), F.lit("null"))
-    joined = sized.alias("d").join(F.broadcast(rates).alias("r") if _few(rates) else rates.alias("r"), F.expr("d.source <=> r.source"))
+    joined = sized.alias("d").join(small_side(rates).alias("r"), F.expr("d.source <=> r.source"))
     sums = joined.groupBy("r.source").agg(
         *[
             F.sum(F.when(_draw(key, j) < F.col("fraction"), F.col("d.size")).otherwise(0)).alias(f"s{j}")
@@ -98,17 +98,11 @@ def plan_copies(
     )
 
 
-def _few(rates: DataFrame, most: int = 200_000) -> bool:
-    """Whether the sources are few enough to broadcast; counted, not estimated."""
-    return rates.limit(most + 1).count() <= most
-
-
 def copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` with source_size, target and the number of ``copies`` of each row."""
     key = F.coalesce(F.col("d.id").cast("string"), F.lit("null"))
     drawn = F.element_at(F.array(*[_draw(key, j) for j in range(DRAWS)]), F.col("p.seed") + 1)
-    side = F.broadcast(plan) if _few(plan) else plan
-    return sized.alias("d").join(side.alias("p"), F.expr("d.source <=> p.source")).select(
+    return sized.alias("d").join(small_side(plan).alias("p"), F.expr("d.source <=> p.source")).select(
         "d.*", "p.source_size", "p.target", (F.col("p.whole") + (drawn < F.col("p.fraction")).cast("long")).alias("copies")
     )
 

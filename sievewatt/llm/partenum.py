@@ -32,10 +32,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import durable
+from sievewatt.llm.common import durable, small_side
 from sievewatt.llm.shingles import WIDTH, mix, sets_of
 
 PERCENT = 75
@@ -396,10 +396,13 @@ def measured(docs: DataFrame, text_col: str, id_col: str, width: int) -> DataFra
 
 
 def _named(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(id, row, text): ``row`` finds a document again, also one without an id."""
+    """(id, row, text): ``row`` finds a document again, also one without an id or with another's id."""
     id_, text = F.col(id_col).cast("long"), F.col(text_col)
-    row = F.coalesce(id_.cast("string"), F.concat(F.lit("text "), F.xxhash64(text).cast("string")))
-    return docs.select(id_.alias("id"), row.alias("row"), text.alias("text"))
+    return docs.select(id_.alias("id"), _row(id_, text).alias("row"), text.alias("text"))
+
+
+def _row(id_: Column, text: Column) -> Column:
+    return F.concat_ws(" ", F.coalesce(id_.cast("string"), F.lit("null")), F.xxhash64(text).cast("string"))
 
 
 def links(docs: DataFrame, found: DataFrame, text_col: str, id_col: str, width: int, percent: int) -> DataFrame:
@@ -473,16 +476,38 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(id, n, key, class_id) for every row of ``docs``: set size, set key and the smallest id of its class."""
+    """(id, row, n, key, class_id, class_row) for every row of ``docs``: set size, set key, and the smallest id of its
+    class with the ``row`` of the document that has it."""
     found = measured(docs, text_col, id_col, width)
-    rows = found.filter("frequent IS NULL").select("id", "n", "key")
+    rows = found.filter("frequent IS NULL").select("id", "row", "n", "key")
     pairs = links(docs, found, text_col, id_col, width, percent)
-    named = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
+    named = rows.filter("key IS NOT NULL").groupBy("key").agg(
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row")).alias("first"), F.count("*").alias("copies")
+    )
     labels = durable(components(pairs).join(named, F.col("node") == F.col("key")).select("key", "label", "first"))
-    smallest = labels.groupBy("label").agg(F.min("first").alias("class_id"))
-    classes = labels.join(smallest, "label").select("key", "class_id")
+    smallest = labels.groupBy("label").agg(F.min("first").alias("class"))
+    classes = labels.join(smallest, "label").select("key", "class")
     known = durable(
         named.filter("copies > 1").select("key", "first").join(classes, "key", "full")
-        .select("key", F.coalesce("class_id", "first").alias("class_id"))
+        .select("key", F.coalesce("class", "first").alias("class"))
     )
-    return rows.join(known, "key", "left").select("id", "n", "key", F.coalesce("class_id", "id").alias("class_id"))
+    return rows.join(known, "key", "left").select(
+        "id", "row", "n", "key", F.coalesce("class.id", "id").alias("class_id"), F.coalesce("class.row", "row").alias("class_row")
+    )
+
+
+def one_of_each(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each class, that of the smallest id, once; all columns stay. Documents with an
+    empty set are linked with nothing and stay."""
+    classes = durable(join(docs, text_col, id_col, width, percent).filter("key IS NOT NULL"))
+    chosen = F.col("row") == F.col("class_row")
+    gone = durable(classes.filter(~chosen).select("row").distinct())
+    again = durable(classes.filter(chosen).groupBy("row").count().filter("count > 1").select("row"))
+    by_row = _row(F.col(f"d.{id_col}"), F.col(f"d.{text_col}"))
+    kept = docs.alias("d").join(small_side(gone).alias("g"), by_row == F.col("g.row"), "left_anti")
+    if again.isEmpty():
+        return kept
+    # rows that repeat a chosen one: one of them stays
+    side = small_side(again).alias("a")
+    single = kept.alias("d").join(side, by_row == F.col("a.row"), "left_anti")
+    return single.unionByName(kept.alias("d").join(side, by_row == F.col("a.row"), "left_semi").dropDuplicates([id_col, text_col]))

@@ -418,3 +418,16 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "
 
     wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return wanted.mapInArrow(run, "id long, score double, terms string")
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score is below ``threshold``, with all their columns."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(shipped.value.lexicon)
+        for batch in batches:
+            scores = [shipped.value.score(reader.features(t)[0]) for t in batch.column(text_col).to_pylist()]
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
