@@ -102,7 +102,19 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_topk, op2_toxicity, op3_mixing, op4_url_filter, op5_sharding, op6_decontamination, op7_pii, op8_chat_formatting, op9_ngram_jaccard_join, op10_html_extraction)
+    f.__name__: f
+    for f in (
+        op1_topk,
+        op2_toxicity,
+        op3_mixing,
+        op4_url_filter,
+        op5_sharding,
+        op6_decontamination,
+        op7_pii,
+        op8_chat_formatting,
+        op9_ngram_jaccard_join,
+        op10_html_extraction,
+    )
 }
 
 ORACLE: dict[str, str] = oracle.SQL
