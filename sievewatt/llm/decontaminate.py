@@ -1,15 +1,12 @@
 """Benchmark decontamination with DataFrame functions only.
 
-The n-grams (windows of ``n`` words) of the benchmark items are kept in a broadcast hash table. A window's
-entry is keyed by its longest word, which is the rarest as a rule; the windows of one item around the same
-word share one entry, which holds the item's words. Documents are cut into words, every word is looked up as
-the scan passes it, and a match is verified on the words around it: from the looked-up word, the run of equal
-words is followed in both directions, as far as a window reaches. Runs of ``n`` words or more (of all the item's
-words, if it has fewer) consist of whole windows, and their words are hit. Every occurrence of a window holds
-its longest word, so none is missed.
+The hashes of all n-grams (windows of ``n`` words) of the benchmark items are broadcast as a hash set. Documents
+are cut into words, every window of a document is hashed and looked up as the scan passes it, and only numbers
+leave the scan. Documents with a hit are then read again: the words of each window that hit are compared with the
+item's, so that equal hashes of different words count for nothing. An item with fewer words, but not none, is one
+window of its own length. The words of verified windows are hit.
 
-The hits of a document are united by (start, end) of its runs; documents without hits pass through the same
-exchange as one short row each. The table's size is counted; beyond :data:`MOST_ENTRIES` it is shuffled.
+The hash set's size is counted; beyond :data:`MOST_WINDOWS` it is shuffled.
 
 Defined results: null, empty and wordless texts have no words and no hits; items without words have no
 window; items with a null id mark words but are not listed; repeated items are one item; repeated documents
@@ -25,78 +22,75 @@ from sievewatt.llm.common import ascii_lower, durable, small_side
 
 N = 10
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# Entries of the benchmark's table that are broadcast (each holds at most 2n-1 words).
-MOST_ENTRIES = 500_000
+# Windows of the benchmark whose hashes are broadcast (16 bytes each).
+MOST_WINDOWS = 1_000_000
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def entries(items: DataFrame, text_col: str = "text", id_col: str = "item_id", n: int = N) -> DataFrame:
-    """(word, item_id, back, least, around): one row per item and word that is the longest of some window.
+def _hash(w: str, start: Column, k: int) -> Column:
+    return F.xxhash64(F.lit(k), *[F.get(w, start + j) for j in range(k)])
 
-    ``around`` holds the item's words that share a window with it, ``back`` of them before it; ``least`` is the
-    length of a window.
-    """
-    split = items.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).filter(F.size("w") > 0).distinct()
-    least = F.least(F.lit(n), F.size("w"))
-    windows = split.select(
-        "item_id", "w", least.alias("least"), F.explode(F.sequence(F.lit(0), F.size("w") - least)).alias("begin")
-    )
-    # the first of the longest words of each window
-    own = F.slice("w", F.col("begin") + 1, F.col("least"))
-    longest = F.array_max(F.transform(own, lambda x, i: F.struct(F.length(x).alias("n"), (-i).alias("at"))))
-    at = (F.col("begin") - longest["at"]).alias("at")
-    first = F.greatest(F.lit(0), F.col("at") - F.col("least") + 1)
-    last = F.least(F.size("w") - 1, F.col("at") + F.col("least") - 1)
-    return (
-        windows.select("item_id", "w", "least", at)
-        .distinct()
-        .select(
-            F.element_at("w", F.col("at") + 1).alias("word"),
-            "item_id",
-            "least",
-            (F.col("at") - first).alias("back"),
-            F.slice("w", first + 1, last - first + 1).alias("around"),
-        )
-    )
 
+def _windows(w: str, k: int, make) -> Column:
+    """``make(start)`` for every window of ``k`` words in the array ``w``."""
+    blank = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - k))
+    return F.when(F.size(w) >= k, F.transform(blank, make))
 
-def runs(docs: DataFrame, table: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (without the text) once per run of words that is made of windows: ``item_id, first, last``
-    (word numbers), ``n_words`` and one row per document with ``item_id`` and run null."""
-    # a last, empty word meets the marker entry, so that every document keeps a row
-    marker = table.sparkSession.range(1).select(
-        F.lit("").alias("word"), F.lit(None).cast(table.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("least"),
-        F.lit(0).alias("back"), F.array(F.lit("")).alias("around"),
-    )
-    side = table.unionByName(marker)
-    if table.limit(MOST_ENTRIES + 1).count() <= MOST_ENTRIES:
-        side = F.broadcast(side)
-    scanned = docs.withColumn("w", F.concat(words(F.col(text_col)), F.array(F.lit("")))).drop(text_col)
-    placed = scanned.select("*", F.posexplode("w").alias("at", "word"))
-    # the word before or after must agree too, unless the window is a single word
-    before = F.element_at("around", F.col("back")) == F.get("w", F.col("at") - 1)
-    after = F.get("around", F.col("back") + 1) == F.get("w", F.col("at") + 1)
-    near = (F.col("least") < 2) | F.when((F.col("back") > 0) & (F.col("at") > 0), before).otherwise(False) | F.coalesce(after, F.lit(False))
-    met = placed.join(side, "word").filter(near)
-    # equal words in a row, from the looked-up word on in either direction
-    same = F.transform(F.sequence(F.lit(0), F.size("around") - 1), lambda i: F.get("around", i) == F.get("w", F.col("at") - F.col("back") + i))
-    same = F.transform(same, lambda x: F.coalesce(x, F.lit(False)))
-    left = F.reverse(F.slice("same", F.lit(1), F.col("back")))
-    right = F.slice("same", F.col("back") + 2, F.size("around") - F.col("back") - 1)
-    stretch = lambda a: F.coalesce(F.array_position(a, False) - F.when(F.array_contains(a, False), 1).otherwise(-F.size(a)), F.lit(0))
-    found = met.withColumn("same", F.when(F.col("least") > 0, same).otherwise(F.array(F.lit(True))))
-    found = found.withColumn("before", stretch(left).cast("int")).withColumn("behind", stretch(right).cast("int"))
-    whole = F.col("before") + F.col("behind") + 1 >= F.col("least")
-    is_run = F.col("least") > 0
-    return (
-        found.filter(whole)
-        .withColumn("n_words", (F.size("w") - 1).cast("long"))
-        .withColumn("first", F.when(is_run, F.col("at") - F.col("before")))
-        .withColumn("last", F.when(is_run, F.col("at") + F.col("behind")))
-        .drop("w", "at", "word", "around", "back", "least", "same", "before", "behind")
+
+def _hasher(k: int):
+    return lambda i: _hash("w", i, k)
+
+
+def benchmark(items: DataFrame, text_col: str = "text", id_col: str = "item_id", n: int = N) -> DataFrame:
+    """(item_id, k, gram): the distinct windows of every item, their words joined by one space."""
+    split = items.select(F.col(id_col).alias("item_id"), words(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
+    split = split.withColumn("k", F.least(F.lit(n), F.size("w")))
+    starts = F.sequence(F.lit(0), F.size("w") - F.col("k"))
+    grams = F.transform(starts, lambda i: F.array_join(F.slice("w", i + 1, F.col("k")), " "))
+    return split.select("item_id", "k", F.explode(grams).alias("gram")).distinct()
+
+
+def scan(docs: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """(id, text_hash, n_words, k, start) of every window of ``docs`` (id, text_hash, text) whose hash some gram has;
+    and a row with null ``k`` for each document."""
+    hashed = None
+    for k in lengths:  # 1 to n different lengths, as a rule one
+        own = grams.filter(F.col("k") == k).select(F.split("gram", " ").alias("g")).select(_hash("g", F.lit(0), k).alias("h"))
+        hashed = own if hashed is None else hashed.unionByName(own)
+    marker = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("h"))
+    known = durable(marker if hashed is None else hashed.unionByName(marker).distinct())
+    cut = docs.select("id", "text_hash", words(F.col("text")).alias("w"))
+    nothing = F.array().cast("array<bigint>")
+    every = [F.coalesce(_windows("w", k, _hasher(k)), nothing) for k in lengths]
+    # the last number is the document's own row
+    numbers = cut.select(
+        "id", "text_hash", F.size("w").cast("long").alias("n_words"), F.concat(*every, F.array(F.lit(0).cast("long"))).alias("hs")
+    )
+    passed = numbers.select("id", "text_hash", "n_words", F.posexplode_outer("hs").alias("at", "h"))
+    met = passed.join(small_side(known, MOST_WINDOWS), "h")
+    which, start, before = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0).cast("long")
+    for k in reversed(lengths):
+        before = F.lit(0).cast("long")
+        for longer in lengths[: lengths.index(k)]:
+            before = before + F.greatest(F.lit(0), F.col("n_words") - longer + 1)
+        here = (F.col("at") >= before) & (F.col("at") < before + F.greatest(F.lit(0), F.col("n_words") - k + 1))
+        which, start = F.when(here, F.lit(k)).otherwise(which), F.when(here, F.col("at") - before).otherwise(start)
+    return durable(met.select("id", "text_hash", "n_words", which.alias("k"), start.cast("int").alias("start")))
+
+
+def verified(docs: DataFrame, met: DataFrame, grams: DataFrame) -> DataFrame:
+    """(id, text_hash, first, last, item_id) of the windows in ``met`` whose words are those of a gram."""
+    starts = met.filter("k IS NOT NULL").groupBy("id", "text_hash").agg(F.collect_set(F.struct("k", "start")).alias("starts"))
+    again = small_side(durable(starts))
+    same = F.expr("d.id <=> s.id AND d.text_hash = s.text_hash")
+    texts = docs.alias("d").join(again.alias("s"), same).select("d.id", "d.text_hash", words(F.col("d.text")).alias("w"), "starts")
+    found = F.transform("starts", lambda s: F.struct(s["k"].alias("k"), s["start"].alias("start"), F.array_join(F.slice("w", s["start"] + 1, s["k"]), " ").alias("gram")))
+    hit = texts.select("id", "text_hash", F.explode(found).alias("x")).select("id", "text_hash", "x.*").distinct()
+    return hit.join(small_side(grams), ["k", "gram"]).select(
+        "id", "text_hash", F.col("start").alias("first"), (F.col("start") + F.col("k") - 1).alias("last"), "item_id"
     )
 
 
@@ -116,20 +110,20 @@ def hits(
 ) -> DataFrame:
     """(id, text_hash, n_words, n_hit, items, spans) for every row of ``docs``; ``items`` are the ids of the items
     with a window in the text, ``spans`` the runs of hit words as (first, last) word numbers."""
-    text = F.col(text_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    found = runs(keyed, entries(items, item_text, item_id, n), "text")
-    span = F.when(F.col("first").isNotNull(), F.struct("first", "last"))
-    per_doc = found.groupBy("id", "text_hash").agg(
-        F.max("n_words").alias("n_words"),
-        F.collect_set(span).alias("spans"),
-        F.collect_set("item_id").alias("items"),
-        F.count(F.when(F.col("first").isNull(), 1)).alias("copies"),
+    grams = durable(benchmark(items, item_text, item_id, n))
+    lengths = sorted((r[0] for r in grams.select("k").distinct().collect()), reverse=True)
+    met = scan(keyed, grams, lengths)
+    spans = verified(keyed, met, grams).groupBy("id", "text_hash").agg(
+        F.collect_set(F.struct("first", "last")).alias("spans"), F.collect_set("item_id").alias("items")
     )
-    return per_doc.select(
-        "id", "text_hash", "n_words", _covered(F.col("spans")).alias("n_hit"), "items", "spans",
-        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+    return met.filter("k IS NULL").alias("d").join(spans.alias("s"), F.expr("d.id <=> s.id AND d.text_hash = s.text_hash"), "left").select(
+        "d.id", "d.text_hash", "d.n_words",
+        F.coalesce(_covered(F.col("s.spans")), F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("s.items", F.array().cast(spans.schema["items"].dataType)).alias("items"),
+        F.coalesce("s.spans", F.array().cast(spans.schema["spans"].dataType)).alias("spans"),
+    )
 
 
 def remove_documents(
@@ -140,7 +134,7 @@ def remove_documents(
     bad = durable(marked.filter(F.col("n_hit") > F.lit(most_hit) * F.col("n_words")).select("id", "text_hash").distinct())
     return docs.alias("d").join(
         small_side(bad).alias("b"),
-        (F.col(f"d.{id_col}").eqNullSafe(F.col("b.id"))) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("b.text_hash")),
+        (F.col(f"d.{id_col}").eqNullSafe(F.col("b.id"))) & (F.xxhash64(F.coalesce(F.col(f"d.{text_col}"), F.lit(""))) == F.col("b.text_hash")),
         "left_anti",
     )
 
@@ -151,7 +145,7 @@ def remove_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", id_c
     text = F.col(f"d.{text_col}")
     joined = docs.alias("d").join(
         marked.select("id", "text_hash", "spans").alias("m"),
-        (F.col(f"d.{id_col}").eqNullSafe(F.col("m.id"))) & (F.xxhash64(text) == F.col("m.text_hash")),
+        (F.col(f"d.{id_col}").eqNullSafe(F.col("m.id"))) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("m.text_hash")),
         "left",
     )
     # words and what stands before each, by the same pattern; positions agree with the numbers of the words
