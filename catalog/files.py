@@ -119,8 +119,8 @@ def segments_csv(spark: SparkSession, sf: str) -> str:
     )
 
 
-def areas_geojson(spark: SparkSession, sf: str, level: int = 3) -> str:
-    """An L-shaped area with a square hole per nation, on a grid five wide."""
+def areas_geojson(spark: SparkSession, sf: str, level: int = 3, collection: bool = False) -> str:
+    """An L-shaped area with a square hole per nation, on a grid five wide; as features, or in a collection per region."""
     nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     x0 = (F.col("n_nationkey") % 5).cast("double")
     y0 = F.lit(50.0) + F.floor(F.col("n_nationkey") / 5)
@@ -138,11 +138,15 @@ def areas_geojson(spark: SparkSession, sf: str, level: int = 3) -> str:
         "NAME_3": F.col("n_name"),
     }
     path = fresh(spark, "areas")
-    nations.select(
+    features = nations.select(
         F.lit("Feature").alias("type"),
         F.struct(*[c.alias(k) for k, c in properties.items()]).alias("properties"),
         F.struct(F.lit("Polygon").alias("type"), F.array(outer, hole).alias("coordinates")).alias("geometry"),
-    ).write.json(path)
+    )
+    if collection:
+        whole = F.collect_list(F.struct("type", "properties", "geometry")).alias("features")
+        features = features.groupBy(F.col("properties.COUNTRY").alias("name")).agg(F.lit("FeatureCollection").alias("type"), whole)
+    features.write.json(path)
     return path
 
 
@@ -157,10 +161,12 @@ def building_corners(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def buildings_xml(spark: SparkSession, sf: str) -> str:
-    """OSM XML: four nodes and one closed way per part."""
+    """OSM XML: four nodes and one closed way per part. Every 50th way repeats a tag with another value, of every
+    70th a node is missing."""
     corners = building_corners(spark, sf)
     folder = fresh(spark, "osm")
-    corners.select("p_partkey", F.posexplode("corners").alias("i", "p")).select(
+    placed = corners.select("p_partkey", F.posexplode("corners").alias("i", "p"))
+    placed.filter((F.col("p_partkey") % 70 != 0) | (F.col("i") != 2)).select(
         (F.col("p_partkey") * 10 + F.col("i")).alias("_id"), F.col("p.y").alias("_lat"), F.col("p.x").alias("_lon")
     ).write.format("xml").option("rootTag", "osm").option("rowTag", "node").save(f"{folder}/nodes")
     ref = lambda i: F.struct((F.col("p_partkey") * 10 + i).alias("_ref"))
@@ -168,9 +174,14 @@ def buildings_xml(spark: SparkSession, sf: str) -> str:
     corners.select(
         F.col("p_partkey").alias("_id"),
         F.array(*[ref(i) for i in (0, 1, 2, 3, 0)]).alias("nd"),
-        F.when(F.col("p_size") > 25, F.array(tag("landuse", "retail"), tag("source", "survey")))
-        .otherwise(F.array(tag("building", "yes"), tag("source", "survey")))
-        .alias("tag"),
+        F.concat(
+            F.when(F.col("p_size") > 25, F.array(tag("landuse", "retail"), tag("source", "survey"))).otherwise(
+                F.array(tag("building", "yes"), tag("source", "survey"))
+            ),
+            F.when(F.col("p_partkey") % 50 == 0, F.array(tag("source", "photo"), tag("building", "shed"))).otherwise(
+                F.array().cast("array<struct<_k:string,_v:string>>")
+            ),
+        ).alias("tag"),
     ).write.format("xml").option("rootTag", "osm").option("rowTag", "way").save(f"{folder}/ways")
     return folder
 

@@ -815,8 +815,34 @@ def oracle_sql() -> dict[str, str]:
     add(
         "osm_buildings",
         "buildings",
-        """SELECT 'way_' || p_partkey AS building_id, CASE WHEN p_size > 25 THEN 'unknown' ELSE 'yes' END AS building_type,
-           CASE WHEN p_size > 25 THEN 'retail' END AS landuse, round(area_m2, 3) AS area_m2, 5 AS corners FROM buildings""",
+        """SELECT 'way_' || p_partkey AS building_id,
+           CASE WHEN p_partkey % 50 = 0 THEN 'shed' WHEN p_size > 25 THEN 'unknown' ELSE 'yes' END AS building_type,
+           CASE WHEN p_size > 25 THEN 'retail' END AS landuse, CASE WHEN p_partkey % 70 <> 0 THEN round(area_m2, 3) END AS area_m2,
+           CASE WHEN p_partkey % 70 = 0 THEN 4 ELSE 5 END AS corners, CASE WHEN p_partkey % 70 = 0 THEN 1 ELSE 0 END AS missing_nodes,
+           CASE WHEN p_partkey % 50 = 0 THEN 'photo' ELSE 'survey' END AS source FROM buildings""",
+    )
+    add(
+        "admin_areas_level2",
+        "areas",
+        """SELECT 'A' || k AS gid_2, r_name AS country, r_name AS region, 'county ' || k AS county, 2 AS admin_level, 2 AS ring_count
+           FROM areas""",
+    )
+    add(
+        "temporal_metrics_open_arrivals",
+        "dirty",
+        """SELECT * FROM (WITH r AS (SELECT user_id, ts, CASE WHEN event_id % 43 <> 0 THEN arrival - arrival % 2 END AS arrival FROM dirty WHERE ts IS NOT NULL),
+           d AS (SELECT user_id, ts, arrival, count(*) AS n FROM r GROUP BY 1, 2, 3),
+           l AS (SELECT user_id, ts, arrival, ts < lag(ts) OVER (PARTITION BY user_id ORDER BY arrival, ts) AS late FROM d WHERE arrival IS NOT NULL),
+           t AS (SELECT d.user_id, d.ts, sum(n) AS n, count(*) FILTER (late) AS late,
+                   coalesce(arg_min(coalesce(late, false), coalesce(d.arrival, -1)), false) AS first_late
+                 FROM d LEFT JOIN l ON d.user_id = l.user_id AND d.ts = l.ts AND d.arrival = l.arrival GROUP BY 1, 2),
+           g AS (SELECT *, coalesce(abs(date_diff('microsecond', lag(ts) OVER (PARTITION BY user_id ORDER BY ts), ts) / 60000000.0 - 480) > 240, false) AS gap FROM t),
+           e AS (SELECT user_id, CAST(ts AS DATE) AS score_date, n AS total_records, CAST(gap AS INT) AS gap_count, n - 1 AS duplicate_count,
+                   late AS out_of_order_count, CAST(gap OR first_late AS INT) + n - 1 AS anomalous_records FROM g
+                 UNION ALL SELECT user_id, NULL, 1, 0, 0, 0, 0 FROM dirty WHERE ts IS NULL)
+           SELECT user_id, score_date, CAST(sum(total_records) AS BIGINT) AS total_records, CAST(sum(gap_count) AS BIGINT) AS gap_count,
+             CAST(sum(duplicate_count) AS BIGINT) AS duplicate_count, CAST(sum(out_of_order_count) AS BIGINT) AS out_of_order_count,
+             CAST(sum(anomalous_records) AS BIGINT) AS anomalous_records FROM e GROUP BY 1, 2)""",
     )
     add(
         "admin_areas",

@@ -121,6 +121,17 @@ def completeness_spine(spark, sf):
     return out
 
 
+@query
+def temporal_metrics_open_arrivals(spark, sf):
+    """Cadence where some readings have no arrival and copies share theirs."""
+    rows = dirty(spark, sf)
+    open_ = F.when(F.col("event_id") % 43 == 0, None).otherwise(F.col("arrival") - F.col("arrival") % 2)
+    rows = rows.withColumn("arrival", open_)
+    return checks.temporal(rows, COLS, CHECKS.interval_minutes, CHECKS.tolerance_minutes)[0].select(
+        "user_id", "score_date", "total_records", "gap_count", "duplicate_count", "out_of_order_count", "anomalous_records"
+    )
+
+
 @query
 def temporal_metrics(spark, sf):
     return checks.temporal(dirty(spark, sf), COLS, CHECKS.interval_minutes, CHECKS.tolerance_minutes)[0]
@@ -614,6 +625,13 @@ def admin_areas(spark, sf):
     )
 
 
+@query
+def admin_areas_level2(spark, sf):
+    """The same areas from collections, as level 2."""
+    areas = geo.admin_areas(spark, files.areas_geojson(spark, sf, 2, collection=True), 2)
+    return areas.select("gid_2", "country", "region", "county", "admin_level", F.size("rings").alias("ring_count"))
+
+
 @query
 def osm_buildings(spark, sf):
     found = geo.osm_buildings(spark, files.buildings_xml(spark, sf), ["building", "landuse"])
@@ -623,6 +641,8 @@ def osm_buildings(spark, sf):
         "landuse",
         F.round("area_m2", 3).alias("area_m2"),
         F.size(F.element_at("rings", 1)).alias("corners"),
+        "missing_nodes",
+        F.col("osm_tags")["source"].alias("source"),
     )
 
 

@@ -83,7 +83,7 @@ class Settings:
     checks: CheckSettings = field(default_factory=CheckSettings)
     scoring: ScoreSettings = field(default_factory=ScoreSettings)
     risk: RiskSettings = field(default_factory=RiskSettings)
-    limit_blocks: int | None = 60
+    limit_blocks: int | None = None
     trigger_interval: str = "30 seconds"
     max_files_per_trigger: int = 100
     building_tags: tuple[str, ...] = ("building", "landuse", "amenity", "type")

@@ -139,7 +139,8 @@ def timeline_flags(
     In order of time (and of arrival among equal times) a reading is a duplicate if it repeats the
     time before it, otherwise a gap if its distance from it is off by more than the tolerance. In
     order of arrival it is late if its time lies before that of the reading that came before it. An
-    entity's first reading is never wrong.
+    entity's first reading is never wrong. Readings without an arrival have no place in that order: they
+    are not late and make no other late. Readings equal in time and arrival are late once at most.
 
     Without hot entities the readings are shuffled by entity once and everything happens there. With
     them, they are first reduced to distinct times and arrivals, whose windows can then be cut into
@@ -162,16 +163,19 @@ def _times_by_entity(timed: DataFrame, cols: Cols, arrival: str | None) -> DataF
     windows and the grouping use the partitioning by entity."""
     ts, entity = F.col(cols.ts), Window.partitionBy(*cols.entity)
     columns = [*cols.entity, cols.ts] + ([arrival] if arrival else [])
-    rows = timed.select(*columns).withColumn("_prev", F.lag(cols.ts).over(entity.orderBy(*columns[len(cols.entity) :])))
+    # Equal rows become one, so that both orders below are total.
+    once = timed.select(*columns).repartition(*cols.entity).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = once.withColumn("_prev", F.lag(cols.ts).over(entity.orderBy(*columns[len(cols.entity) :])))
     late = F.lit(False)
     if arrival:
-        late = F.coalesce(ts < F.lag(cols.ts).over(entity.orderBy(arrival, cols.ts)), F.lit(False))
+        came = F.when(F.col(arrival).isNotNull(), ts)
+        late = F.coalesce(came < F.lag(came).over(entity.orderBy(arrival, cols.ts)), F.lit(False))
     first = F.col("_prev").isNull() | (F.col("_prev") != ts)
     return (
         rows.withColumn("_late", late)
         .groupBy(*cols.entity, cols.ts)
         .agg(
-            F.count(F.lit(1)).alias("readings"),
+            F.sum("_n").alias("readings"),
             F.count_if("_late").alias("late_readings"),
             F.coalesce(F.max(F.when(first, F.col("_late"))), F.lit(False)).alias("first_is_late"),
             F.max(F.when(first, F.col("_prev"))).alias("prev_timestamp"),
@@ -196,7 +200,10 @@ def _distinct_times(timed: DataFrame, cols: Cols, arrival: str | None, by_arriva
         .agg(
             F.sum("_n").alias("readings"),
             F.count("_late").alias("late_readings"),
-            F.coalesce(F.min("_late") == F.min("_came"), F.lit(False)).alias("first_is_late"),
+            # Of the readings of one time, one without an arrival is the first.
+            F.coalesce(
+                (F.min("_late") == F.min("_came")) & ~F.max((F.col("_n") == 1) & F.col("_came").isNull()), F.lit(False)
+            ).alias("first_is_late"),
         )
     )
 
@@ -208,7 +215,7 @@ def _late_arrivals(timed: DataFrame, cols: Cols, arrival: str, slices: Slices) -
     and it is compared with the latest of those that arrived before. This needs one row per entity
     and arrival, whether every reading has its own or a whole batch shares one.
     """
-    together = timed.groupBy(*cols.entity, arrival).agg(F.min(cols.ts).alias(cols.ts), F.max(cols.ts).alias("_last"))
+    together = timed.filter(F.col(arrival).isNotNull()).groupBy(*cols.entity, arrival).agg(F.min(cols.ts).alias(cols.ts), F.max(cols.ts).alias("_last"))
     return previous_value(together, "_last", "_before", slices).filter(F.col(cols.ts) < F.col("_before"))
 
 

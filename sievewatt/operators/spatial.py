@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievewatt.functions import geometry as G
 from sievewatt.operators.skew import HOT_ROWS, hot_keys
-from sievewatt.runtime import BROADCAST_BYTES, fits_broadcast
+from sievewatt.runtime import BROADCAST_BYTES, durable
 
 
 def area_cells(areas: DataFrame, cell: float) -> DataFrame:
@@ -40,6 +40,12 @@ def area_cells(areas: DataFrame, cell: float) -> DataFrame:
     )
 
 
+def cells_bytes(cells: DataFrame) -> int:
+    """Measured size of a table of cells: four doubles per edge and a few fields per cell."""
+    seen = cells.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges")).first()
+    return 96 * seen["n"] + 48 * seen["edges"]
+
+
 def points_within(
     points: DataFrame,
     areas: DataFrame,
@@ -49,11 +55,11 @@ def points_within(
 ) -> DataFrame:
     """Every (point, area) pair where the area contains the point (columns x, y).
 
-    A crowded cell is spread over several tasks by salting its points and repeating its few areas.
+    The table of cells is built once and its edges are counted; it is broadcast only if it fits. A crowded cell is spread over several tasks by salting its points and repeating its few areas.
     """
     located = points.withColumns({"cx": G.cell(F.col("x"), cell), "cy": G.cell(F.col("y"), cell)})
-    cells = area_cells(areas, cell)
-    if fits_broadcast(cells, broadcast_bytes):
+    cells = durable(area_cells(areas, cell))
+    if cells_bytes(cells) <= broadcast_bytes:
         pairs = located.join(F.broadcast(cells), ["cx", "cy"])
     else:
         hot = F.broadcast(hot_keys(located.dropna(subset=["cx", "cy"]), ["cx", "cy"], hot_rows))

@@ -14,7 +14,7 @@ DEFAULT_CRS = "EPSG:4326"
 
 BUILDING_SCHEMA = f"""
     building_id string, building_type string, landuse string, amenity string,
-    rings {G.RINGS_TYPE}, area_m2 double, osm_tags map<string,string>, source_file string, crs string
+    rings {G.RINGS_TYPE}, area_m2 double, missing_nodes int, osm_tags map<string,string>, source_file string, crs string
 """
 
 # Property of a boundary file -> our column, for the levels above the area itself.
@@ -24,11 +24,13 @@ _NODE = "_id bigint, _lat double, _lon double"
 _WAY = "_id bigint, nd array<struct<_ref:bigint>>, tag array<struct<_k:string,_v:string>>"
 
 
-def admin_areas(spark: SparkSession, path: str, level: int, crs: str = DEFAULT_CRS, multi_line: bool = False) -> DataFrame:
+def admin_areas(spark: SparkSession, path: str, level: int, crs: str = DEFAULT_CRS, multi_line: bool | None = None) -> DataFrame:
     """Areas of one level from GeoJSON features (one per line, or a FeatureCollection).
 
     Keeps those of the usual properties that the file has. Polygons and multi-polygons both become a
-    flat list of rings.
+    flat list of rings. Whether a feature or a whole collection stands on a line, or a collection is
+    spread over lines, is found out unless ``multi_line`` says so; a spread-out file is read by one task.
+    Features without a geometry are no areas; a file none of whose rows holds a feature is an error.
     """
     names = [f"GID_{level}", *[p for p in AREA_PROPERTIES if p == "COUNTRY" or int(p[-1]) <= level]]
     feature = T.StructType(
@@ -40,11 +42,21 @@ def admin_areas(spark: SparkSession, path: str, level: int, crs: str = DEFAULT_C
             ),
         ]
     )
-    if multi_line:
-        whole = T.StructType([T.StructField("features", T.ArrayType(feature))])
-        rows = spark.read.schema(whole).option("multiLine", True).json(path).select(F.explode("features").alias("f")).select("f.*")
-    else:
-        rows = spark.read.schema(feature).json(path)
+    record = T.StructType([*feature.fields, T.StructField("features", T.ArrayType(feature))])
+
+    def features(spread: bool) -> DataFrame:
+        read = spark.read.schema(record).option("multiLine", spread).json(path)
+        alone = F.array(F.struct("properties", "geometry"))
+        return read.select(F.explode(F.coalesce("features", alone)).alias("f")).select("f.*")
+
+    def none(rows: DataFrame) -> bool:
+        return rows.filter("properties IS NOT NULL OR geometry IS NOT NULL").isEmpty()
+
+    rows = features(bool(multi_line))
+    if multi_line is None and none(rows):
+        rows = features(True)
+    if none(rows) and not spark.read.text(path).filter("trim(value) <> ''").isEmpty() and not _empty_collection(spark, path):
+        raise ValueError(f"no GeoJSON feature found in {path}")
     present = set(
         # Property names only: at most the handful asked for.
         rows.select(F.explode(F.map_keys("properties")).alias("k")).filter(F.col("k").isin(names)).distinct().toPandas()["k"]
@@ -57,6 +69,12 @@ def admin_areas(spark: SparkSession, path: str, level: int, crs: str = DEFAULT_C
     )
 
 
+def _empty_collection(spark: SparkSession, path: str) -> bool:
+    """Whether the file is a collection that simply has no features."""
+    whole = spark.read.schema("type string, features array<string>").option("multiLine", True).json(path)
+    return not whole.filter("type = 'FeatureCollection' AND size(features) = 0").isEmpty()
+
+
 def _rings():
     text = F.col("geometry.coordinates")
     one = F.from_json(text, "array<array<array<double>>>")
@@ -76,14 +94,15 @@ def osm_buildings(
 
     ``path`` is an OSM XML file or a folder of them. Node positions come in by a join on the node
     number; a way's corners are put back in order by their place in it. A way that does not close
-    keeps its line and has no area. A node that is missing from the file is left out of its way.
+    keeps its line and has an area of 0. A way with nodes that are missing from the file keeps the corners
+    it has, its area is null and ``missing_nodes`` counts them. Of a repeated tag the last value holds.
     """
     ways = (
         _xml(spark, path, "way", _WAY)
         .filter(F.exists("tag", lambda t: t["_k"].isin(list(tag_keys))))
         .select(
             "_id",
-            F.map_from_entries(F.array_distinct(F.transform("tag", lambda t: F.struct(t["_k"], t["_v"])))).alias("osm_tags"),
+            _last_tags().alias("osm_tags"),
             F.coalesce("nd", F.expr("cast(array() as array<struct<_ref:bigint>>)")).alias("nd"),
             F.col("_metadata.file_name").alias("source_file"),
         )
@@ -97,7 +116,9 @@ def osm_buildings(
         .agg(F.array_sort(F.collect_list(F.struct("_pos", G.point(F.col("_lon"), F.col("_lat")).alias("p")))).alias("c"))
         .select("_id", F.transform("c", lambda c: c["p"]).alias("_ring"))
     )
-    area = F.when(G.is_closed(F.col("_ring")), G.ring_area_m2(F.col("_ring"))).otherwise(0.0)
+    # A closed way names its first node twice, so places are counted, not nodes.
+    missing = (F.size("nd") - F.coalesce(F.size("_ring"), F.lit(0))).alias("missing_nodes")
+    area = F.when(missing > 0, None).when(G.is_closed(F.col("_ring")), G.ring_area_m2(F.col("_ring"))).otherwise(0.0)
     tag = lambda k: F.try_element_at("osm_tags", F.lit(k))
     out = ways.join(corners, "_id", "left").select(
         F.concat(F.lit("way_"), F.col("_id").cast("string")).alias("building_id"),
@@ -105,7 +126,8 @@ def osm_buildings(
         tag("landuse").alias("landuse"),
         tag("amenity").alias("amenity"),
         F.when(F.size("_ring") > 0, F.array("_ring")).alias("rings"),
-        F.coalesce(area, F.lit(0.0)).alias("area_m2"),
+        area.alias("area_m2"),
+        missing,
         "osm_tags",
         "source_file",
         F.lit(crs).alias("crs"),
@@ -113,6 +135,14 @@ def osm_buildings(
     return out.filter(F.col("area_m2") >= min_area) if min_area > 0 else out
 
 
+def _last_tags():
+    named = F.filter("tag", lambda t: t["_k"].isNotNull())
+    last = F.filter(
+        named, lambda t, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda later: later["_k"] == t["_k"])
+    )
+    return F.map_from_entries(F.transform(last, lambda t: F.struct(t["_k"], t["_v"])))
+
+
 def no_buildings(spark: SparkSession) -> DataFrame:
     """The buildings table without rows, for runs that have no OSM file."""
     return spark.createDataFrame([], BUILDING_SCHEMA)

@@ -71,26 +71,28 @@ class _Cadence(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         latest = self.latest.get()[0] if self.latest.exists() else None
-        # A trigger's rows of one entity come in chunks; each is judged on arrival order and let go.
-        for chunk in rows:
-            # Only the order of the columns is certain here, not their names.
-            chunk = chunk.set_axis([*self.entity, "_us", "_arrival"], axis=1).sort_values("_arrival", kind="stable")
-            us = chunk["_us"].astype("int64")
-            seen = us.cummax().shift(1)
-            seen = seen.fillna(-1).astype("int64") if latest is None else seen.fillna(latest).clip(lower=latest).astype("int64")
-            first = seen < 0 if latest is None else pd.Series(False, index=us.index)
-            diff = us - seen
-            kind = pd.Series("ok", index=us.index)
-            kind[(diff - self.interval).abs() > self.tolerance] = "gap"
-            kind[diff == 0] = "duplicate"
-            kind[diff < 0] = "late"
-            kind[first] = "ok"
-            latest = int(us.max()) if latest is None else max(latest, int(us.max()))
-            out = chunk[[*self.entity, "_us"]].copy()
-            out["cadence"] = kind
-            yield out
-        if latest is not None:
-            self.latest.update((latest,))
+        # Spark hands a trigger's rows of one entity over in chunks of any size and order, so they are put
+        # together first: three narrow columns of one entity and trigger, which maxFilesPerTrigger bounds.
+        # Only the order of the columns is certain here, not their names.
+        names = [*self.entity, "_us", "_arrival"]
+        whole = pd.concat([c.set_axis(names, axis=1) for c in rows], ignore_index=True)
+        whole = whole.sort_values(["_arrival", "_us"], kind="stable")
+        us = whole["_us"].astype("int64")
+        seen = us.cummax().shift(1)
+        seen = seen.fillna(-1).astype("int64") if latest is None else seen.fillna(latest).clip(lower=latest).astype("int64")
+        first = pd.Series(False, index=us.index)
+        if latest is None:
+            first.iloc[0] = True
+        diff = us - seen
+        kind = pd.Series("ok", index=us.index)
+        kind[(diff - self.interval).abs() > self.tolerance] = "gap"
+        kind[diff == 0] = "duplicate"
+        kind[diff < 0] = "late"
+        kind[first] = "ok"
+        self.latest.update((int(us.max()) if latest is None else max(latest, int(us.max())),))
+        out = whole[[*self.entity, "_us"]].copy()
+        out["cadence"] = kind
+        yield out
 
     def close(self) -> None:
         pass
@@ -99,8 +101,8 @@ class _Cadence(StatefulProcessor):
 def stream_cadence(df: DataFrame, cols: Cols, interval: float = 30, tolerance: float = 1) -> DataFrame:
     """(entity, ts, cadence): each reading is ok, a gap, a duplicate or late.
 
-    Compared with the latest time seen for the entity so far, in order of arrival, across
-    micro-batches. Needs the RocksDB state store.
+    Compared with the latest time seen for the entity so far, in order of arrival (then of time) within
+    a micro-batch and across micro-batches, however Spark cuts them up. Needs the RocksDB state store.
     """
     arrival = cols.arrival if cols.arrival in df.columns else cols.ts
     rank = micros(arrival) if "timestamp" in dict(df.dtypes)[arrival] else F.col(arrival).cast("long")

@@ -113,6 +113,22 @@ def test_slicing_a_hot_entity_changes_nothing(spark, rows_per_slice):
         assert sorted(map(repr, a.select(sorted(a.columns)).collect())) == sorted(map(repr, b.select(sorted(b.columns)).collect()))
 
 
+@pytest.mark.parametrize("rows_per_slice", [None, 1, 2, 50])
+def test_missing_and_equal_arrivals_are_judged_alike_at_every_size(spark, rows_per_slice):
+    data = [("a", 180, None), ("a", 180, 5), ("a", 480, 1), ("a", 540, 2), ("a", 540, 2), ("a", 300, 9), ("a", 300, 9), ("b", 60, None), ("b", 30, None)]
+    rows = [(h, at(m), 1.0, i) for h, m, i in data]
+    df = spark.createDataFrame(rows, "household_id string, timestamp timestamp, energy_kwh double, arrival bigint")
+    metrics, incidents = checks.temporal(df, COLS, 60, 1, rows_per_slice=rows_per_slice)
+    m = by(metrics, "household_id", "score_date")
+    a, b = m["a", date(2024, 1, 1)], m["b", date(2024, 1, 1)]
+    # 180 came after 540, but first without an arrival; 300 came after 540 once, its copy repeats it
+    assert (a["total_records"], a["duplicate_count"], a["out_of_order_count"]) == (7, 3, 1)
+    assert (b["out_of_order_count"], b["gap_count"]) == (0, 1)
+    late = [r for r in incidents.collect() if r["rule_name"] == "temporal_out_of_order"]
+    assert late == []
+    assert a["anomalous_records"] == 3 + 2  # three repeats, and gaps before 300 and 480
+
+
 def test_business_rules(sample):
     metrics, incidents = checks.business(sample, COLS, high=50.0)
     m = by(metrics, "household_id")

@@ -171,6 +171,25 @@ def test_geojson_multipolygon_and_collection(spark, folder):
     assert len(row["rings"]) == 2
     whole = put(folder, "fc.geojson", '{"type":"FeatureCollection",\n"features":[' + multi + "]}")
     assert geo.admin_areas(spark, whole, 2, multi_line=True).count() == 1
+    assert geo.admin_areas(spark, whole, 2).count() == 1
+    on_a_line = put(folder, "line.geojson", '{"type":"FeatureCollection","features":[' + multi + "," + multi + "]}\n")
+    assert geo.admin_areas(spark, on_a_line, 2).count() == 2
+    assert geo.admin_areas(spark, put(folder, "none.geojson", '{"type":"FeatureCollection","features":[]}'), 2).count() == 0
+    with pytest.raises(ValueError):
+        geo.admin_areas(spark, put(folder, "other.json", '{"a":\n1}'), 2)
+
+
+def test_repeated_tags_and_missing_nodes(spark, folder):
+    nodes = "".join(f'<node id="{i}" lat="51.{i}" lon="0.{i}"/>' for i in (1, 2, 3))
+    way = '<way id="7">' + "".join(f'<nd ref="{i}"/>' for i in (1, 2, 3, 4, 1)) + '<tag k="building" v="yes"/><tag k="building" v="shed"/></way>'
+    row = geo.osm_buildings(spark, put(folder, "hole.xml", f"<osm>{nodes}{way}</osm>"), ["building"]).first()
+    assert (row["building_type"], row["missing_nodes"], row["area_m2"], len(row["rings"][0])) == ("shed", 1, None, 4)
+
+
+def test_cell_table_is_measured(spark, areas):
+    named = areas.withColumnRenamed("gid_3", "area_id")
+    coarse, fine = (spatial.cells_bytes(spatial.area_cells(named, c)) for c in (1.0, 0.1))
+    assert fine > 8 * coarse
 
 
 def test_ring_area(spark):
