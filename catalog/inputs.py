@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievewatt.config import CheckSettings, Cols, RiskSettings, ScoreSettings
 from sievewatt.operators import checks, clean, enrich, features, scoring
-from sievewatt.runtime import scratch_path
+from sievewatt.runtime import durable, scratch_path
 
 COLS = Cols(("user_id",), "ts", "value", "arrival")
 
@@ -105,10 +105,18 @@ def incidents(spark: SparkSession, sf: str, all_rules: bool = False) -> DataFram
     return checks.all_incidents(dirty(spark, sf), COLS, CHECKS, all_rules)
 
 
-def feature_rows(spark: SparkSession, sf: str, exclude_current: bool = False) -> DataFrame:
+def stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Scores and incidents, computed once and kept, as the layers keep them."""
+    rows = checks.with_entity_stats(dirty(spark, sf), COLS)
+    kept = scoring.quality_scores(dirty(spark, sf), COLS, CHECKS, SCORES, rows=rows)
+    return durable(kept), durable(checks.all_incidents(dirty(spark, sf), COLS, CHECKS, rows=rows))
+
+
+def feature_rows(spark: SparkSession, sf: str, exclude_current: bool = False, kept: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    scored, found = kept or stored(spark, sf)
     return features.features(
-        scores(spark, sf),
-        incidents(spark, sf),
+        scored,
+        found,
         readings_with_weather(spark, sf),
         COLS,
         tidy_households(spark, sf).select("user_id", "tariff_type", "acorn_group"),
@@ -118,8 +126,14 @@ def feature_rows(spark: SparkSession, sf: str, exclude_current: bool = False) ->
     )
 
 
-def label_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return features.labels(scores(spark, sf), incidents(spark, sf), COLS.entity, RISK, check=False)
+def label_rows(spark: SparkSession, sf: str, kept: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    scored, found = kept or stored(spark, sf)
+    return features.labels(scored, found, COLS.entity, RISK, check=False)
+
+
+def training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    kept = stored(spark, sf)
+    return features.training_set(feature_rows(spark, sf, kept=kept), label_rows(spark, sf, kept), check=False)
 
 
 def baseline(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,10 +150,11 @@ def baseline(spark: SparkSession, sf: str) -> DataFrame:
 
 def judged(spark: SparkSession, sf: str) -> DataFrame:
     """Baseline forecasts next to what happened."""
-    forecast = features.keyed_scores(scores(spark, sf), COLS.entity).select(
+    kept = stored(spark, sf)
+    forecast = features.keyed_scores(kept[0], COLS.entity).select(
         "entity_id", "score_date", (1 - F.col("quality_score") / 100).alias("risk_score")
     )
-    return forecast.join(label_rows(spark, sf).select("entity_id", "score_date", "target"), ["entity_id", "score_date"])
+    return forecast.join(label_rows(spark, sf, kept).select("entity_id", "score_date", "target"), ["entity_id", "score_date"])
 
 
 def newest(df: DataFrame, c: str):

@@ -760,7 +760,7 @@ def oracle_sql() -> dict[str, str]:
         "",
         """SELECT CAST(p_partkey AS VARCHAR) AS part_key, p_brand AS brand_name_, p_type AS brand_name__2 FROM part""",
     )
-    add("optional_source", "", "SELECT CAST(NULL AS DATE) AS holiday_date WHERE false")
+    add("optional_source", "holidays", "SELECT holiday_date FROM holidays")
     add("stream_ingest", "dirty", raw)
     add("stream_dedupe", "dirty", "SELECT DISTINCT user_id, ts FROM dirty WHERE ts IS NOT NULL")
     add(

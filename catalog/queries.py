@@ -18,6 +18,7 @@ from sievewatt.governance import audit, schema
 from sievewatt.operators import checks, clean, enrich, expectations, features, quantiles, scoring, spatial
 from sievewatt.plans import layers, reports, training
 from sievewatt.config import RiskSettings, Settings
+from sievewatt.runtime import durable
 from sievewatt.sources import geo, raw, tables
 from sievewatt.streaming import checks as stream_checks
 from sievewatt.streaming import ingest
@@ -211,7 +212,7 @@ def score_summary(spark, sf):
 
 @query
 def score_quantiles(spark, sf):
-    return quantiles.quantiles(inputs.scores(spark, sf), "quality_score", [0.2, 0.3, 0.4, 0.5, 0.6, 0.7])
+    return quantiles.quantiles(durable(inputs.scores(spark, sf)), "quality_score", [0.2, 0.3, 0.4, 0.5, 0.6, 0.7])
 
 
 # --------------------------------------------------------------------- reports
@@ -227,13 +228,13 @@ def _keyed(spark, sf):
 
 @query
 def worst_group_days(spark, sf):
-    scores = _keyed(spark, sf)
+    scores = durable(_keyed(spark, sf))
     return reports.worst_group_days(scores, _dim(spark, sf), ["user_id"], "acorn_group", inputs.newest(scores, "score_date"))
 
 
 @query
 def incidents_daily(spark, sf):
-    found = inputs.incidents(spark, sf)
+    found = durable(inputs.incidents(spark, sf))
     return reports.incidents_by_day(found, inputs.newest(found, "incident_timestamp"))
 
 
@@ -254,7 +255,7 @@ def incident_timeline(spark, sf):
 
 @query
 def next_day_predictions(spark, sf):
-    forecast = inputs.baseline(spark, sf)
+    forecast = durable(inputs.baseline(spark, sf))
     return reports.predictions_for(forecast, inputs.newest(forecast, "prediction_date"))
 
 
@@ -292,7 +293,7 @@ def score_categories(spark, sf):
 
 @query
 def score_statistics(spark, sf):
-    return reports.statistics(inputs.scores(spark, sf), "quality_score", SCORES.low_quality_threshold)
+    return reports.statistics(durable(inputs.scores(spark, sf)), "quality_score", SCORES.low_quality_threshold)
 
 
 @query
@@ -327,7 +328,7 @@ def risk_categories(spark, sf):
 
 @query
 def risk_statistics(spark, sf):
-    return reports.statistics(inputs.baseline(spark, sf), "risk_score", step=0.001)
+    return reports.statistics(durable(inputs.baseline(spark, sf)), "risk_score", step=0.001)
 
 
 # ---------------------------------------------------------- features and labels
@@ -361,18 +362,18 @@ def labels_next_day(spark, sf):
 @query
 def labels_median_threshold(spark, sf):
     return features.labels(
-        inputs.scores(spark, sf), inputs.incidents(spark, sf), COLS.entity, RISK, auto_median=True, any_incident=True
+        *inputs.stored(spark, sf), COLS.entity, RISK, auto_median=True, any_incident=True
     ).select("entity_id", "score_date", "target")
 
 
 @query
 def training_set(spark, sf):
-    return features.training_set(inputs.feature_rows(spark, sf), inputs.label_rows(spark, sf), check=False)
+    return inputs.training_rows(spark, sf)
 
 
 @query
 def train_test_split(spark, sf):
-    rows = inputs.label_rows(spark, sf).select("entity_id", "score_date", "target")
+    rows = durable(inputs.label_rows(spark, sf).select("entity_id", "score_date", "target"))
     return quantiles.stratified_split(rows, "target", features.KEYS, RISK.train_fraction, RISK.seed)
 
 
@@ -399,7 +400,7 @@ def calibration(spark, sf):
 def _trained(spark, sf, cfg: RiskSettings):
     """Fit on the split's training side; features are written once, since boosting reads them often."""
     path = fresh(spark, "training-set")
-    rows = features.training_set(inputs.feature_rows(spark, sf), inputs.label_rows(spark, sf), check=False)
+    rows = inputs.training_rows(spark, sf)
     tables.write(rows, path)
     stored = tables.read(spark, path)
     train_rows, test_rows = training.split(stored, cfg)
@@ -466,7 +467,7 @@ def version_history(spark, sf):
 def schema_evolution(spark, sf):
     path, events = fresh(spark, "evolution"), table(spark, sf, "events")
     schema.evolve(events.select("event_id", "value"), path)
-    schema.evolve(events.select("event_id", F.col("event_id").alias("value"), "event_type"), path, mode="merge")
+    schema.evolve(events.select("event_id", F.col("event_id").cast("int").alias("value"), "event_type"), path, mode="merge")
     return tables.read(spark, path)
 
 
@@ -481,7 +482,7 @@ def schema_diff(spark, sf):
 def zorder_rewrite(spark, sf):
     path = fresh(spark, "zorder")
     tables.write(_slim(spark, sf), path)
-    tables.optimize(spark, path, zorder=["user_id", "ts"], files=4)
+    tables.optimize(spark, path, zorder=["user_id", "ts"])
     return tables.read(spark, path)
 
 
@@ -542,21 +543,33 @@ def csv_holidays(spark, sf):
 
 @query
 def csv_segments(spark, sf):
-    return raw.read_segments(spark, files.segments_csv(spark, sf)).withColumnRenamed("part_key", "part_key")
+    return raw.read_segments(spark, files.segments_csv(spark, sf))
 
 
 @query
 def optional_source(spark, sf):
-    missing = f"{sf}/no-such-holidays.csv"
-    return raw.read_optional(lambda: raw.read_holidays(spark, missing), spark, raw.HOLIDAY_OUT)
+    """An existing source, and a missing one in whose place comes the empty table."""
+    there = files.holidays_csv(inputs.holidays(spark, sf))
+    paths = {"there": there, "missing": f"{sf}/no-such-holidays.csv"}
+    read = {n: raw.read_optional(lambda p=p: raw.read_holidays(spark, p), spark, raw.HOLIDAY_OUT) for n, p in paths.items()}
+    return read["there"].select("holiday_date").unionByName(read["missing"])
 
 
 # --------------------------------------------------------------------- streams
 
 
+# Files, and with one file a trigger micro-batches, that the events come in.
+STREAM_FILES = 3
+
+
 def _event_stream(spark, sf):
-    """The events table as a file stream, with the same faults added."""
-    source = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events table as a file stream of several micro-batches, with the same faults added."""
+    events, folder = table(spark, sf, "events"), fresh(spark, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    third = F.floor((F.col("event_id") - low) * STREAM_FILES / (high - low + 1))
+    for part in range(STREAM_FILES):  # one after the other, as they would arrive
+        events.filter(third == part).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     return inputs.dirty_rows(source)
 
 
@@ -595,12 +608,14 @@ def stream_completeness(spark, sf):
 
 @query
 def stream_cadence(spark, sf):
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    judged = stream_checks.stream_cadence(_event_stream(spark, sf), COLS, CHECKS.interval_minutes, CHECKS.tolerance_minutes)
-    out = _drain(judged, spark, "cadence")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        judged = stream_checks.stream_cadence(_event_stream(spark, sf), COLS, CHECKS.interval_minutes, CHECKS.tolerance_minutes)
+        out = _drain(judged, spark, "cadence")
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
     return out.groupBy("user_id", "cadence").agg(F.count(F.lit(1)).alias("rows"))
 
 

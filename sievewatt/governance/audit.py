@@ -59,7 +59,7 @@ def query_runs(
     path: str,
     pipeline_name: str | None = None,
     status: str | None = None,
-    limit: int = 100,
+    limit: int | None = None,
 ) -> DataFrame:
     """Runs by name and status, newest first."""
     runs = tables.read(spark, path)
@@ -67,7 +67,8 @@ def query_runs(
         runs = runs.filter(F.col("pipeline_name") == pipeline_name)
     if status:
         runs = runs.filter(F.col("status") == status)
-    return runs.orderBy(F.col("run_timestamp").desc(), "pipeline_name").limit(limit)
+    found = runs.orderBy(F.col("run_timestamp").desc(), "pipeline_name")
+    return found if limit is None else found.limit(limit)
 
 
 def row_count(spark: SparkSession, path: str) -> int:

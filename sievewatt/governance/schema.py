@@ -10,13 +10,15 @@ NUMERIC_ORDER = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.F
 
 
 def wider_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
-    """The type that holds both, or None if neither can be widened to the other."""
+    """The type that holds every value of both, or None if there is none."""
     if a == b:
         return a
     if a in NUMERIC_ORDER and b in NUMERIC_ORDER:
-        wide = max(a, b, key=NUMERIC_ORDER.index)
-        # A float cannot hold every whole number of a long; a double is the closest there is.
-        return T.DoubleType() if isinstance(wide, T.FloatType) else wide
+        narrow, wide = sorted((a, b), key=NUMERIC_ORDER.index)
+        if isinstance(wide, (T.FloatType, T.DoubleType)) and not isinstance(narrow, T.FloatType):
+            # Not every long is a double; smaller whole numbers are.
+            return None if isinstance(narrow, T.LongType) else T.DoubleType()
+        return wide
     if {type(a), type(b)} == {T.DateType, T.TimestampType}:
         return T.TimestampType()
     if {type(a), type(b)} == {T.DateType, T.TimestampNTZType}:

@@ -164,7 +164,14 @@ def labels(
     counts = incident_counts(incidents).select(
         "entity_id", back, F.col("total_incidents").alias("future_incident_count")
     )
-    known = keyed.select(*KEYS).join(future, KEYS).join(counts, KEYS, "left").fillna({"future_incident_count": 0})
+    # Scores and incidents are unique per entity and day, so one union and one grouping replace two joins.
+    here = keyed.select(*KEYS, F.lit(True).alias("_here"))
+    known = (
+        outer_merge([here, future, counts], KEYS)
+        .filter("_here AND future_quality_score IS NOT NULL")
+        .drop("_here")
+        .fillna({"future_incident_count": 0})
+    )
     risky = (F.col("future_quality_score") < threshold) | (
         F.col("future_incident_count") >= (1 if any_incident else cfg.high_incident_threshold)
     )

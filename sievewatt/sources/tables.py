@@ -14,6 +14,7 @@ log grows by one short row per write however long a table lives.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
@@ -57,13 +58,14 @@ def latest(spark: SparkSession, path: str) -> int | None:
     return None if rows is None else rows.agg(F.max("version")).first()[0]
 
 
-def history(spark: SparkSession, path: str, limit: int = 20) -> DataFrame:
+def history(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """(version, timestamp, operation, rows_written), newest first; empty if there is no table."""
     rows = log(spark, path)
     if rows is None:
         return spark.createDataFrame([], "version bigint, timestamp timestamp, operation string, rows_written bigint")
     at = F.timestamp_micros("written_us").alias("timestamp")
-    return rows.select("version", at, "operation", "rows_written").orderBy(F.col("version").desc()).limit(limit)
+    found = rows.select("version", at, "operation", "rows_written").orderBy(F.col("version").desc())
+    return found if limit is None else found.limit(limit)
 
 
 def rows_written(spark: SparkSession, path: str) -> int:
@@ -244,6 +246,7 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
     Places are counted against approximate quantiles of the column, so that skewed columns spread
     evenly too. All quantiles come from one aggregate; 2^bits - 1 numbers per column reach the driver.
     """
+    bits = min(bits, 62 // len(columns))  # the key is a long
     probs = [i / 2**bits for i in range(1, 2**bits)]
     numeric = {c: _as_number(df, c) for c in columns}
     cuts = df.agg(*[F.percentile_approx(v, probs, 10000).alias(c) for c, v in numeric.items()]).first()
@@ -346,8 +349,10 @@ def _as_number(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
     if isinstance(dtype, T.StringType):
-        # The first six bytes keep the alphabetical order and fit a double exactly.
-        return F.conv(F.substring(F.rpad(F.hex(name), 12, "0"), 1, 12), 16, 10).cast("double")
+        # Six bytes keep the alphabetical order and fit a double exactly; what all values start with is left out.
+        ends = df.agg(F.hex(F.min(name)), F.hex(F.max(name))).first()
+        same = len(os.path.commonprefix([e or "" for e in ends])) // 2 * 2
+        return F.conv(F.rpad(F.substring(F.hex(name), same + 1, 12), 12, "0"), 16, 10).cast("double")
     return F.col(name).cast("double")
 
 
