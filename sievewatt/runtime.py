@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +37,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession, root: str, names: Sequence[str]) -> None:
+    """Send the Python files of the named packages and modules under ``root`` to every worker, once per application.
+
+    Workers do not share the driver's ``sys.path``; Spark hands the archive to late executors too.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="sievewatt-code-"), "sievewatt-code.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for name in names:
+            for folder, _, found in os.walk(os.path.join(root, name)):
+                for f in sorted(found):
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        archive.write(full, os.path.relpath(full, root))
+            if os.path.isfile(os.path.join(root, f"{name}.py")):
+                archive.write(os.path.join(root, f"{name}.py"), f"{name}.py")
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing has used before."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -104,6 +106,8 @@ def stream_cadence(df: DataFrame, cols: Cols, interval: float = 30, tolerance: f
     Compared with the latest time seen for the entity so far, in order of arrival (then of time) within
     a micro-batch and across micro-batches, however Spark cuts them up. Needs the RocksDB state store.
     """
+    # The worker in which Spark sets up the state gets no shipped files, so the processor travels by value.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     arrival = cols.arrival if cols.arrival in df.columns else cols.ts
     rank = micros(arrival) if "timestamp" in dict(df.dtypes)[arrival] else F.col(arrival).cast("long")
     slim = df.filter(F.col(cols.ts).isNotNull()).select(*cols.entity, micros(cols.ts).alias("_us"), rank.alias("_arrival"))

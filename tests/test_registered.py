@@ -1,5 +1,10 @@
 """A sample of the registered queries against their SQL; ``check_oracle.py`` compares them all."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -58,3 +63,58 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "props" not in plan and "event_type" not in plan
     untimed = entry.queries()["temporal_metrics"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "value" not in untimed.split("ReadSchema")[1].split("\n")[0]
+
+
+WITHOUT = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as e
+names = set(e.queries())
+assert "quality_scores" in names and "pipeline" not in names and not any(n.startswith("op1_") for n in names)
+assert set(e.oracle_sql()) <= names
+"""
+
+
+def copied(folder, leave_out):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    skip = shutil.ignore_patterns("__pycache__", "llm", "corpus_pipeline.py") if leave_out else shutil.ignore_patterns("__pycache__")
+    for name in ("sievewatt", "catalog"):
+        shutil.copytree(f"{root}/{name}", f"{folder}/{name}", ignore=skip)
+    for name in os.listdir(root):
+        if name.endswith(".py") and not (leave_out and name == "corpus_pipeline.py"):
+            shutil.copy(f"{root}/{name}", folder)
+
+
+def test_the_rest_works_without_the_training_data_operators(folder):
+    copied(folder, True)
+    subprocess.run([sys.executable, "-c", WITHOUT, folder], check=True, cwd="/tmp")
+
+
+def test_a_broken_import_is_not_hidden(folder):
+    copied(folder, False)
+    if not os.path.exists(f"{folder}/corpus_pipeline.py"):
+        pytest.skip("the operators are not there")
+    with open(f"{folder}/corpus_pipeline.py", "a") as f:
+        f.write("\nimport no_such_module\n")
+    done = subprocess.run([sys.executable, "-c", WITHOUT, folder], cwd="/tmp", capture_output=True, text=True)
+    assert done.returncode and "no_such_module" in done.stderr
+
+
+WORKERS = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as e
+from sievewatt.session import build_session
+spark = build_session("workers", "local[2]", spark__ui__enabled="false", spark__sql__shuffle__partitions="2")
+print("rows", e.queries()[sys.argv[2]](spark, sys.argv[3]).count())
+"""
+
+
+def test_workers_get_the_code(folder):
+    """Python workers find the package although only the driver's path names it."""
+    copied(folder, False)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", WORKERS, folder, "stream_cadence", SF], cwd="/tmp", env=env, capture_output=True, text=True
+    )
+    assert "rows" in done.stdout, done.stderr[-2000:]
