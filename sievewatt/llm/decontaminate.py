@@ -84,9 +84,12 @@ def scan(docs: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
 def verified(docs: DataFrame, met: DataFrame, grams: DataFrame) -> DataFrame:
     """(id, text_hash, first, last, item_id) of the windows in ``met`` whose words are those of a gram."""
     starts = met.filter("k IS NOT NULL").groupBy("id", "text_hash").agg(F.collect_set(F.struct("k", "start")).alias("starts"))
-    again = small_side(durable(starts))
+    starts = durable(starts)
     same = F.expr("d.id <=> s.id AND d.text_hash = s.text_hash")
-    texts = docs.alias("d").join(again.alias("s"), same).select("d.id", "d.text_hash", words(F.col("d.text")).alias("w"), "starts")
+    # only keys are broadcast; what is found in a document goes to it in a shuffle of the documents with a hit
+    keys = small_side(starts.select("id", "text_hash"))
+    hit_docs = docs.alias("d").join(keys.alias("s"), same, "left_semi").dropDuplicates(["id", "text_hash"])
+    texts = hit_docs.alias("d").join(starts.alias("s"), same).select("d.id", "d.text_hash", words(F.col("d.text")).alias("w"), "starts")
     found = F.transform("starts", lambda s: F.struct(s["k"].alias("k"), s["start"].alias("start"), F.array_join(F.slice("w", s["start"] + 1, s["k"]), " ").alias("gram")))
     hit = texts.select("id", "text_hash", F.explode(found).alias("x")).select("id", "text_hash", "x.*").distinct()
     return hit.join(small_side(grams), ["k", "gram"]).select(
