@@ -13,15 +13,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sievewatt.config import Cols, Settings
 from sievewatt.governance import audit
-from sievewatt.operators.checks import all_incidents, with_entity_stats
-from sievewatt.operators.clean import clean_readings
+from sievewatt.operators.checks import all_incidents, completeness, with_entity_stats
+from sievewatt.operators.clean import clean_readings, rejected_readings
 from sievewatt.operators.enrich import consumption_analytics, enrich_entities, enrich_hourly
 from sievewatt.operators.features import features, labels, training_set
 from sievewatt.operators.scoring import quality_scores, summary
 from sievewatt.operators.spatial import buildings_by_area
 from sievewatt.plans import training
 from sievewatt.sources import geo, raw, tables
-from sievewatt.streaming.ingest import stream_readings, write_stream
+from sievewatt.streaming.ingest import stream_readings, stream_weather, write_stream
 
 READINGS = Cols()
 
@@ -62,25 +62,27 @@ class Run:
         try:
             step()
         except Exception as err:  # noqa: BLE001 - any cause is recorded in the audit row
-            self.skipped.append(f"{name}: {err}"[:500])
+            self.skipped.append(f"{name}: {err}")
 
 
 def bronze(run: Run) -> None:
     spark, paths, limit = run.spark, run.settings.paths, run.settings.limit_blocks
-    run.ingest(raw.read_households(spark, paths["household_info"]), "household_info", "informations_households.csv")
+    def take(df: DataFrame, table: str, source: str, **options: Any) -> None:
+        run.ingest(df, table, paths[source], **options)
+
+    take(raw.read_households(spark, paths["household_info"]), "household_info", "household_info")
     if "acorn_details" in paths:
-        run.ingest(raw.read_segments(spark, paths["acorn_details"]), "acorn_details", "acorn_details.csv")
+        take(raw.read_segments(spark, paths["acorn_details"]), "acorn_details", "acorn_details")
     readings = raw.read_readings(spark, paths["halfhourly_dir"], limit)
-    run.ingest(readings, "halfhourly_consumption", "halfhourly_dataset", partition_by=["source_block"])
-    run.ingest(raw.read_weather_hourly(spark, paths["weather_hourly"]), "weather_hourly", "weather_hourly_darksky.csv")
+    take(readings, "halfhourly_consumption", "halfhourly_dir", partition_by=["source_block"])
+    take(raw.read_weather_hourly(spark, paths["weather_hourly"]), "weather_hourly", "weather_hourly")
     if "weather_daily" in paths:
-        run.ingest(raw.read_weather_daily(spark, paths["weather_daily"]), "weather_daily", "weather_daily_darksky.csv")
+        take(raw.read_weather_daily(spark, paths["weather_daily"]), "weather_daily", "weather_daily")
     if "daily_dir" in paths:
-        daily = raw.read_daily(spark, paths["daily_dir"], limit)
-        run.ingest(daily, "daily_consumption", "daily_dataset", partition_by=["source_block"])
+        take(raw.read_daily(spark, paths["daily_dir"], limit), "daily_consumption", "daily_dir", partition_by=["source_block"])
     if "bank_holidays" in paths:
         listed = raw.read_optional(lambda: raw.read_holidays(spark, paths["bank_holidays"]), spark, raw.HOLIDAY_OUT)
-        run.ingest(listed, "bank_holidays", "uk_bank_holidays.csv")
+        take(listed, "bank_holidays", "bank_holidays")
 
 
 def geography(run: Run) -> None:
@@ -119,6 +121,8 @@ def silver(run: Run) -> None:
         "_silver_processed",
     )
     readings = run.save(typed, "silver", "halfhourly_consumption", partition_by=["year", "month"])
+    rejected = rejected_readings(run.load("bronze", "halfhourly_consumption"), READINGS, cfg.min_value, cfg.max_value)
+    run.save(rejected, "silver", "rejected_readings")
     households = run.load("bronze", "household_info")
     attributes = ["tariff_type", "acorn_code", "acorn_group"]
     enriched = enrich_entities(readings, households, ["household_id"], attributes, upper=["tariff_type"])
@@ -132,6 +136,8 @@ def quality(run: Run) -> dict[str, float]:
     cfg, rows = run.settings.checks, with_entity_stats(readings, READINGS)
     scores = run.save(quality_scores(readings, READINGS, cfg, run.settings.scoring, rows=rows), "gold", "quality_scores")
     run.save(all_incidents(readings, READINGS, cfg, rows=rows), "gold", "quality_incidents")
+    weekly = completeness(readings, READINGS, cfg.interval_minutes, cfg.weekly_missing, "week", critical=cfg.critical_missing)
+    run.save(weekly[1], "gold", "weekly_completeness_incidents")
     return summary(scores).first().asDict()
 
 
@@ -181,6 +187,7 @@ def run_batch(spark: SparkSession, settings: Settings) -> bool:
             status=status,
             error_message=error,
         )
+        audit.apply_retention(spark, run.path("gold", "audit_log"), settings.audit_retention_days)
     return status != "FAILED"
 
 
@@ -198,6 +205,21 @@ def run_stream(spark: SparkSession, settings: Settings, wait: bool = True, once:
     return query
 
 
+def run_weather_stream(spark: SparkSession, settings: Settings, wait: bool = True, once: bool = False) -> StreamingQuery:
+    """Stream new weather files into bronze."""
+    paths = settings.paths
+    query = write_stream(
+        stream_weather(spark, paths["streaming_weather"], settings.max_files_per_trigger),
+        f"{paths['bronze_root'].rstrip('/')}/weather_hourly",
+        paths["streaming_weather_checkpoint"],
+        "weather_streaming",
+        trigger=None if once else settings.trigger_interval,
+    )
+    if wait:
+        query.awaitTermination()
+    return query
+
+
 def risk_features(run: Run) -> DataFrame:
     """Features from the gold tables, with weather, segment, tariff and holidays."""
     readings = run.load("silver", "weather_enriched")
@@ -220,7 +242,8 @@ def train_risk(spark: SparkSession, settings: Settings, auto_median: bool = Fals
     labelled = labels(
         run.load("gold", "quality_scores"), run.load("gold", "quality_incidents"), READINGS.entity, cfg, auto_median
     )
-    rows = training_set(risk_features(run), labelled)
+    # Kept once: the split, the weights, boosting and the report all read it.
+    rows = run.save(training_set(risk_features(run), labelled), "gold", "risk_training_set")
     train_rows, test_rows = training.split(rows, cfg)
     model, numbers = training.train(train_rows, cfg, categories=["acorn_group", "tariff_type"])
     metrics = training.evaluate(training.scored(model, test_rows, numbers))

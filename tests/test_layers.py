@@ -62,6 +62,8 @@ def lake(spark, tmp_path_factory):
         "gold_root": root + "/gold",
         "streaming_source": root + "/incoming",
         "streaming_checkpoint": root + "/checkpoint",
+        "streaming_weather": root + "/incoming-weather",
+        "streaming_weather_checkpoint": root + "/checkpoint-weather",
     }
     risk = RiskSettings(max_iter=5, min_instances=2, low_quality_threshold=90.0, model_path=root + "/models")
     settings = Settings(paths=paths, risk=risk, limit_blocks=None)
@@ -88,6 +90,15 @@ def test_batch_run_fills_the_layers(spark, lake):
     assert tariffs.count() == 0
 
 
+def test_rejects_sources_and_weekly_alerts_are_kept(spark, lake):
+    bronze, silver = gold(spark, lake, "halfhourly_consumption", "bronze"), gold(spark, lake, "halfhourly_consumption", "silver")
+    rejected = gold(spark, lake, "rejected_readings", "silver").agg({"row_count": "sum"}).first()[0]
+    assert rejected == bronze.count() - silver.count()
+    assert {r[0] for r in bronze.select("_source").distinct().collect()} == {lake.paths["halfhourly_dir"]}
+    weekly = gold(spark, lake, "weekly_completeness_incidents")
+    assert all(r["rule_name"].startswith("completeness") for r in weekly.collect())
+
+
 def test_a_failed_optional_input_makes_the_run_partial(spark, lake):
     run = audit.query_runs(spark, lake.paths["gold_root"] + "/audit_log").first()
     assert run["status"] == "PARTIAL" and "buildings" in run["error_message"]
@@ -121,4 +132,7 @@ def test_stream_run_appends_to_bronze(spark, lake):
     layers.run_stream(spark, lake, once=True)
     bronze = gold(spark, lake, "halfhourly_consumption", "bronze")
     assert bronze.count() == before + 1
+    put(lake.paths["streaming_weather"], "w.csv", "time,temperature,apparentTemperature,humidity,pressure,windSpeed,windBearing,visibility,dewPoint,precipType,icon,summary\n2013-02-01 00:00:00,1.5,1,0.5,1000,2,3,4,5,rain,i,s\n")
+    layers.run_weather_stream(spark, lake, once=True)
+    assert gold(spark, lake, "weather_hourly", "bronze").filter("_source = 'weather_streaming'").count() == 1
     assert bronze.filter("household_id = 'H9'").first()["source_block"] == "9"
