@@ -7,8 +7,9 @@ bound of its k-th best overall. A block can then be left out for a query whose t
 ``threshold / (|q| * longest)`` and prunes in one of two ways: by length (only candidates with
 ``|q| * |p| >= threshold``) where it is low, or by coordinates where it is high: with cosine ``t``, a unit
 vector ``p`` must have, at every coordinate where the unit query has value ``q``,
-``q*t - sqrt((1-t*t)*(1-q*q)) <= p <= q*t + sqrt((1-t*t)*(1-q*q))``; the query's largest coordinates are
-tested. The products of what remains are then computed exactly, in integers.
+``q*t - sqrt((1-t*t)*(1-q*q)) <= p <= q*t + sqrt((1-t*t)*(1-q*q))``, where the upper bound is 1 if ``q > t``
+and the lower bound is -1 if ``q < -t`` (the axis itself is then near enough); the query's largest coordinates
+are tested. The products of what remains are then computed exactly, in integers.
 
 Queries meet candidates in blocks of both, so no task holds all of either.
 
@@ -105,7 +106,9 @@ def block_hits(
                 for f in np.argsort(-np.abs(uq), kind="stable")[:FOCUS]:
                     cosine = np.minimum(1.0, low / (qlen[i] * clen[kept]))
                     slack = np.sqrt((1 - cosine**2) * max(0.0, 1 - uq[f] ** 2)) + 1e-9
-                    kept = kept[np.abs(unit[kept, f] - uq[f] * cosine) <= slack]
+                    lower = np.where(uq[f] < -cosine, -np.inf, uq[f] * cosine - slack)
+                    upper = np.where(uq[f] > cosine, np.inf, uq[f] * cosine + slack)
+                    kept = kept[(lower <= unit[kept, f]) & (unit[kept, f] <= upper)]
         kept = kept[ids[kept] != qid[i]]
         if not len(kept):
             continue

@@ -55,3 +55,37 @@ def test_random_vectors_of_many_lengths(spark, block, query_block):
 def test_products_stay_exact_when_doubles_do_not_hold_them():
     q = np.array([[2**40, 3]])
     assert topk._products(q, np.array([[2**20 + 1, 1]]))[0, 0] == 2**40 * (2**20 + 1) + 3
+
+
+def shaped(kind):
+    rng = np.random.default_rng(5)
+    if kind == "sparse":
+        v = np.maximum(rng.normal(size=(3000, 64)) - 1.2, 0)
+    elif kind == "one-hot":
+        v = np.eye(16)[rng.integers(0, 16, 3000)] * rng.uniform(0.5, 3, size=(3000, 1)) + 0.02 * rng.normal(size=(3000, 16))
+    elif kind == "negative":
+        v = -np.maximum(rng.normal(size=(3000, 64)) - 1.2, 0)
+    else:
+        v = rng.normal(size=(3000, 2))
+    return np.floor(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9) * 256).astype(np.int64)
+
+
+@pytest.mark.parametrize("kind", ["sparse", "one-hot", "negative", "flat"])
+def test_pruning_loses_no_hit_where_one_coordinate_outweighs(kind):
+    c = shaped(kind)
+    ids, length = np.arange(len(c)), np.sqrt((c.astype(float) ** 2).sum(1))
+    q = ids[:60]
+    seeds = np.argsort(-length, kind="stable")[:300]
+    start = [np.sort((c[seeds[seeds != i]] @ c[i]))[-5] for i in q]
+    got = sorted(topk.block_hits(q, c[q], length[q], np.array(start, float), ids, c, length, 5))
+    scores = c[q] @ c.T
+    want = [(int(i), int(j), int(scores[i, j])) for i in q for j in sorted(ids[ids != i], key=lambda j: (-scores[i, j], j))[:5]]
+    assert got == sorted(want)
+
+
+def test_one_hot_vectors_over_a_whole_table(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SEEDS", 20)
+    rng = np.random.default_rng(11)
+    v = np.eye(6)[rng.integers(0, 6, 300)] * rng.uniform(0.8, 1.0, size=(300, 1)) + np.abs(0.05 * rng.normal(size=(300, 6)))
+    rows = [(int(i), [float(np.float32(x)) for x in r]) for i, r in enumerate(v)]
+    assert found(frame(spark, rows), 10) == plain(rows, 10)
