@@ -14,8 +14,11 @@ Signatures meet by hash. The members of a signature form a group around their sm
 the groups of one leader are united. First a sketch of each member is brought to the group, the counts of its
 elements in bins: the difference of two sketches is a lower bound of the sets' difference, so members that are
 too far from all others leave. Then the sets of those that stay are brought, and all their pairs are checked,
-again by the bound and then exactly. A group gives links that span its classes, not all pairs. A group too large for one task is taken apart by the same signatures with another cut of the
-domain. Copies (equal sets) are one set from the start, and each task names a set once.
+again by the bound and then exactly. A group gives links that span its classes, not all pairs. A group too large
+for one task is taken apart by the same signatures with another cut of the domain. One that no cut makes small
+enough is dealt into blocks of bounded size: first each block is checked in itself, with some members that go to
+all blocks; then all that is not in the group's largest class so far is checked block by block against everything
+else. Copies (equal sets) are one set from the start, and each task names a set once.
 
 Linked pairs connect to classes by label propagation with pointer jumping over checkpointed tables.
 
@@ -52,6 +55,8 @@ FLUSH = 1 << 20
 GROUP_MEMBERS = 4096
 GROUP_ELEMENTS = 6_000_000
 LEVELS = 3
+# Of a group in blocks, one block's members over this number go to every block.
+EVERYWHERE = 16
 BINS_PER_ELEMENT = 1.0
 
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -134,19 +139,22 @@ def _counts(raw: bytes, bins: int) -> np.ndarray:
 
 
 def _staying(percent: int):
-    """Of each group, the members whose sketch is near enough to another's."""
+    """Of each group, the members whose sketch is near enough to another's; to one of another ``label`` where there
+    are labels."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("n")
         sizes, raw = table["n"].to_numpy(), table["sketch"].to_pylist()
         bins = 2 * min(map(len, raw))
         counts = np.stack([_counts(r, bins) for r in raw])
+        label = table["label"].to_numpy() if "label" in table.column_names else np.arange(len(sizes))
         stays = np.zeros(len(sizes), bool)
         for i in range(len(sizes) - 1):
             end = int(np.searchsorted(sizes, sizes[i] * 100 // percent, side="right"))
             others = np.arange(i + 1, end)
+            others = others[label[others] != label[i]]
             if stays[i]:
-                others = others[~stays[i + 1 : end]]
+                others = others[~stays[others]]
             for at in range(0, len(others), 1024):
                 j = others[at : at + 1024]
                 apart = np.abs(counts[j] - counts[i]).sum(1, dtype=np.int64)
@@ -431,24 +439,68 @@ def _verified(wanted: DataFrame, named: DataFrame, stars: DataFrame, width: int,
     for level in range(LEVELS):
         members = stars.unionByName(stars.select("lead", F.col("lead").alias("key")).distinct())
         sized = durable(members.join(named, "key").select("lead", "key", "row", "n", "sketch"))
-        large = sized.groupBy("lead").agg(F.count("*").alias("m"), F.sum("n").alias("e"))
-        large = large.filter((F.col("m") > GROUP_MEMBERS) | (F.col("e") > GROUP_ELEMENTS)).select("lead")
-        last = level == LEVELS - 1 or large.isEmpty()
-        small = sized if last else sized.join(large, "lead", "left_anti")
-        staying = durable(small.groupBy("lead").applyInArrow(_staying(percent), "lead long, key long, row string"))
-        checked = _carry(wanted, staying, width).groupBy("lead").applyInArrow(_checked(percent), "a long, b long")
-        checked = durable(checked.distinct())
+        blocks = _blocks(F.count("*"), F.sum("n"))
+        large = sized.groupBy("lead").agg(F.count("*").alias("m"), F.sum("n").alias("e"), blocks.alias("blocks"))
+        large = durable(large.filter((F.col("m") > GROUP_MEMBERS) | (F.col("e") > GROUP_ELEMENTS)).select("lead", "blocks"))
+        none = large.isEmpty()
+        small = sized if none else sized.join(small_side(large), "lead", "left_anti")
+        checked = _compared(wanted, small, width, percent)
         out = checked if out is None else out.unionByName(checked)
-        if last:
+        if none:
             break
-        rest = _carry(wanted, sized.join(large, "lead", "left_semi"), width)
-        n = sized.join(large, "lead", "left_semi").agg(F.sum("n")).first()[0] or 0
+        if level == LEVELS - 1:
+            out = out.unionByName(_in_blocks(wanted, sized.join(small_side(large), "lead"), width, percent))
+            break
+        rest = _carry(wanted, sized.join(small_side(large), "lead", "left_semi"), width)
+        n = sized.join(small_side(large), "lead", "left_semi").agg(F.sum("n")).first()[0] or 0
         groups = max(LEAST_GROUPS, int(n * 0.65) // TOKENS_PER_GROUP)
         dealt = rest.mapInArrow(_split(groups, percent, level + 1), DEALT)
         stars = durable(dealt.groupBy("g").applyInArrow(_met, "lead long, key long").distinct())
     return out
 
 
+def _compared(wanted: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): links between the members of each ``lead``, which go to one task."""
+    staying = durable(members.groupBy("lead").applyInArrow(_staying(percent), "lead long, key long, row string"))
+    checked = _carry(wanted, staying, width).groupBy("lead").applyInArrow(_checked(percent), "a long, b long")
+    return durable(checked.distinct())
+
+
+def _blocks(members: Column, elements: Column) -> Column:
+    """So many blocks that two of them are about as large as a group may be."""
+    return F.greatest(F.ceil(2 * members / GROUP_MEMBERS), F.ceil(2 * F.coalesce(elements, F.lit(0)) / GROUP_ELEMENTS)).cast("long")
+
+
+def _in_blocks(wanted: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b): links in groups too large for one task, with the number of ``blocks`` of each; no pair is left out
+    unless both are connected already."""
+    slim = ["key", "row", "n", "sketch"]
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    block = lambda n: F.pmod(F.xxhash64("key"), F.col(n))
+    shared = (F.col("key") == F.col("lead")) | (F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks") * EVERYWHERE) == 0)
+    placed = members.withColumn("b", F.explode(F.when(shared, upto("blocks")).otherwise(F.array(block("blocks")))))
+    first = _compared(wanted, placed.select(F.xxhash64("lead", "b").alias("lead"), *slim), width, percent)
+
+    labels = components(first).withColumnRenamed("node", "key")
+    told = durable(members.join(labels, "key", "left").select("lead", *slim, F.coalesce("label", "key").alias("label")))
+    main = told.groupBy("lead", "label").count().groupBy("lead").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
+    told = durable(told.join(small_side(durable(main)), "lead").withColumn("apart", F.col("label") != F.col("main")))
+    sizes = [_blocks(F.count_if(c), F.sum(F.when(c, F.col("n")))).alias(n) for n, c in (("rest", F.col("apart")), ("most", ~F.col("apart")))]
+    told = told.join(small_side(durable(told.groupBy("lead").agg(*sizes).filter("rest > 0"))), "lead")
+
+    def pairs(rows: DataFrame, other: str, kind: int, i: Column, j: Column, label: Column) -> DataFrame:
+        each = rows.withColumn("o", F.explode(upto(other)))
+        return each.select(F.xxhash64("lead", F.lit(kind), i, j).alias("lead"), *slim, label.cast("long").alias("label"))
+
+    rest, most, o = told.filter("apart"), told.filter(~F.col("apart")), F.col("o")
+    met = (
+        pairs(rest, "rest", 0, F.least(block("rest"), o), F.greatest(block("rest"), o), F.col("label"))
+        .unionByName(pairs(rest, "most", 1, block("rest"), o, F.lit(0)))
+        .unionByName(pairs(most, "rest", 1, o, block("most"), F.lit(1)))
+    )
+    return first.unionByName(_compared(wanted, met, width, percent))
+
+
 def _carry(wanted: DataFrame, members: DataFrame, width: int, most: int = 500_000) -> DataFrame:
     """Members with their elements, made again from the texts of the documents that stand for them."""
     needed = members.groupBy("row", "key").agg(F.collect_list("lead").alias("leads"))

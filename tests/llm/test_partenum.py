@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from rows import ODD, documents
 
@@ -59,6 +60,17 @@ def classes(df):
     return sorted((repr(r["id"]), r["n"], repr(r["class_id"])) for r in partenum.join(df).collect())
 
 
+def _one_group():
+    def one_group(table):
+        keys = np.unique(np.concatenate([np.frombuffer(k, np.int64) for k in table["keys"].to_pylist()]))
+        return pa.table({"lead": pa.array(np.full(len(keys) - 1, keys[0])), "key": pa.array(keys[1:])})
+
+    return one_group
+
+
+one_group = _one_group()
+
+
 def test_awkward_rows(spark):
     rows = [r[:2] for r in ODD]
     assert classes(documents(spark, rows)) == plain_classes(rows)
@@ -77,6 +89,48 @@ def test_large_groups_are_split_and_still_exact(spark, monkeypatch):
     assert classes(documents(spark, rows)) == plain_classes(rows)
 
 
+def bounded(monkeypatch, most):
+    """Make a task that is given more than ``most`` members fail."""
+    for name in ("_staying", "_checked"):
+        made = getattr(partenum, name)
+
+        def guarded(percent, made=made):
+            run = made(percent)
+
+            def checked(table):
+                assert table.num_rows <= most, table.num_rows
+                return run(table)
+
+            return checked
+
+        monkeypatch.setattr(partenum, name, guarded)
+
+
+def test_cluster_above_the_limit_goes_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(partenum, "GROUP_MEMBERS", 60)
+    bounded(monkeypatch, 120)
+    rng = random.Random(8)
+    base = [f"t{i}" for i in range(80)]
+    rows = []
+    for i in range(260):  # near the template; some are near it only by way of others
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            words[rng.randrange(80)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    assert classes(documents(spark, rows)) == plain_classes(rows)
+
+
+@pytest.mark.parametrize("members", [2, 5])
+def test_blocks_leave_out_no_pair(spark, monkeypatch, members):
+    monkeypatch.setattr(partenum, "GROUP_MEMBERS", members)
+    monkeypatch.setattr(partenum, "LEVELS", 1)
+    # one group of all sets, most of them apart from each other
+    monkeypatch.setattr(partenum, "_met", one_group)
+    monkeypatch.setattr(partenum, "LEAST_GROUPS", 1)
+    rows = near_copies(60, 7)
+    assert classes(documents(spark, rows)) == plain_classes(rows)
+
+
 def test_one_of_each_class_stays(spark):
     kept = partenum.one_of_each(documents(spark, [r[:2] for r in ODD]))
     ids = sorted((repr(r["doc_id"]), (r["text"] or "")[:9]) for r in kept.collect())
