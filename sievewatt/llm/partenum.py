@@ -431,7 +431,16 @@ def links(docs: DataFrame, found: DataFrame, text_col: str, id_col: str, width:
     named = found.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("row").alias("row"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
     )
-    return _verified(wanted, named, stars, width, percent)
+    again = durable(found.filter("key IS NOT NULL").groupBy("row").count().filter("count > 1").select("row"))
+    return _verified(_once(wanted, again), named, stars, width, percent)
+
+
+def _once(wanted: DataFrame, again: DataFrame) -> DataFrame:
+    """``wanted`` with one text for each ``row``; ``again`` has those that repeat."""
+    if again.isEmpty():
+        return wanted
+    side = small_side(again)
+    return wanted.join(side, "row", "left_anti").unionByName(wanted.join(side, "row", "left_semi").dropDuplicates(["row"]))
 
 
 def _verified(wanted: DataFrame, named: DataFrame, stars: DataFrame, width: int, percent: int) -> DataFrame:

@@ -131,6 +131,14 @@ def test_blocks_leave_out_no_pair(spark, monkeypatch, members):
     assert classes(documents(spark, rows)) == plain_classes(rows)
 
 
+def test_repeated_rows_are_carried_once(spark, monkeypatch):
+    bounded(monkeypatch, 10)
+    text = " ".join(f"t{i}" for i in range(80))
+    rows = [(1, text)] * 1500 + [(None, text + " a")] * 1500 + [(2, text + " b"), (3, text + " b")]
+    got = classes(documents(spark, rows).repartition(5))
+    assert got == sorted([("1", 76, "1")] * 1500 + [("None", 77, "1")] * 1500 + [("2", 77, "1"), ("3", 77, "1")])
+
+
 def test_one_of_each_class_stays(spark):
     kept = partenum.one_of_each(documents(spark, [r[:2] for r in ODD]))
     ids = sorted((repr(r["doc_id"]), (r["text"] or "")[:9]) for r in kept.collect())
