@@ -177,6 +177,46 @@ WITH a AS (
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c
 """
 
+
+def _ball_rounds(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """One pair of CTEs for each round: the nearest entry of every part, then the floored means."""
+    nearest = """a{k} AS MATERIALIZED (
+  SELECT row_id, p, arg_min(e, (d, e)) AS e, min(d)::BIGINT AS d FROM (
+    SELECT x.row_id, x.p, b.e, x.xx - 2 * list_inner_product(x.x, b.c) + list_inner_product(b.c, b.c) AS d FROM parts x JOIN b{k} b USING (p)
+  ) GROUP BY row_id, p
+)"""
+    moved = """m{k} AS (
+  SELECT p, e, i, floor(sum(x[i]::BIGINT)::DOUBLE / count(*)) AS c FROM a{k} JOIN parts USING (row_id, p), range(1, 1 + (SELECT any_value(len(x)) FROM parts)) g(i)
+  GROUP BY p, e, i
+), b{n} AS MATERIALIZED (
+  SELECT p, e, coalesce(l.c, b.c) AS c FROM b{k} b LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS c FROM m{k} GROUP BY p, e) l USING (p, e)
+)"""
+    chain = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+  SELECT row_id, vec_id, p, list_slice(v, p * len(v) // {parts} + 1, (p + 1) * len(v) // {parts}) AS x FROM kept, range({parts}) g(p)
+), parts AS MATERIALIZED (
+  SELECT *, list_inner_product(x, x) AS xx FROM cut
+), b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id, row_id) - 1 AS e, x AS c FROM parts
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id, row_id) <= {entries}
+)"""]
+    for k in range(rounds):
+        chain += [nearest.format(k=k), moved.format(k=k, n=k + 1)]
+    return ", ".join([*chain, nearest.format(k=rounds)])
+
+
+OP12 = f"""
+WITH {_ball_rounds()}, books AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b4
+), coded AS (
+  SELECT row_id, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a4 GROUP BY row_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (row_id), books
+"""
+
 SQL: dict[str, str] = {
     "op1_topk": OP1,
     "op3_mixing": OP3,
@@ -185,4 +225,5 @@ SQL: dict[str, str] = {
     "op8_chat_formatting": OP8,
     "op9_ngram_jaccard_join": OP9,
     "op10_html_extraction": OP10,
+    "op12_vector_code_compression": OP12,
 }

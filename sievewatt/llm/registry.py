@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewatt.llm import decontaminate, htmltext, mixing, oracle, partenum, pii, quotes, sharding, topk, toxicity, urlfilter
+from sievewatt.llm import (
+    ballkmeans,
+    crosstok,
+    decontaminate,
+    htmltext,
+    mixing,
+    multiindex,
+    oracle,
+    partenum,
+    pii,
+    quotes,
+    sharding,
+    topk,
+    toxicity,
+    urlfilter,
+)
 from sievewatt.llm.common import table
 
 # Fixed values: (host, path, verdict).
@@ -101,6 +116,19 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.link_counts(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = ballkmeans.compress(ballkmeans.scaled(table(spark, sf_dir, "embeddings")))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.search(multiindex.usable(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,6 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_formatting,
         op9_ngram_jaccard_join,
         op10_html_extraction,
+        op11_cross_tokenizer_alignment,
+        op12_vector_code_compression,
+        op13_nearest_neighbours,
     )
 }
 
