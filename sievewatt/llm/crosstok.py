@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import slices_of
+from sievewatt.llm.common import bounded_batches, lean, slices_of
 from sievewatt.runtime import scratch_path
 
 FOLDER = "/opt/tokenizers"
@@ -287,7 +287,7 @@ def aligned(
                 yield pa.RecordBatch.from_pydict(columns)
 
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(run, ALIGNED.format(id=id_type))
+    return chosen.mapInArrow(lean(run), ALIGNED.format(id=id_type))
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
@@ -306,6 +306,7 @@ def link_counts(
     Texts are tokenized once; what later passes need is written to the shared folder.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     path, pairs_path = scratch_path(spark, "crosstok-docs"), scratch_path(spark, "crosstok-pairs")
     found = aligned(docs, text_col, id_col, keep_groups=False, **files).drop("groups")
     found.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)

@@ -3,11 +3,13 @@
 Sizes are summed per source, each source gets a target and the rate ``target / source size``, and a document
 is emitted ``floor(rate)`` times plus once more with a probability of the rate's fraction. The draw is a
 number in [0, 1) from a digest of the document's id, so it does not depend on partitions, order or retries.
-A digest holds several such numbers; per source, the one whose draws come nearest to the target is used
-for all its documents.
+Rows that share an id are numbered by source and text, and each but the first draws with its number as well. A
+digest holds several such numbers; per source, the one whose draws come nearest to the target is used for all its
+documents.
 
 Defined results: a null text has size 0; a null source is a source of its own, after the others; a null id
-is drawn like any other value; repeated rows get the same draw, each for itself; a source without words
+is a value like any other; repeated rows draw each for itself, so that the same rows in another order give the same
+rows with the same numbers of copies; a source without words
 has target 0 and its documents are taken once or not at all, which adds nothing; no rows give no rows.
 """
 
@@ -16,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import durable, small_side
+from sievewatt.llm.common import durable, numbered, small_side
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -24,6 +26,8 @@ SHARE = 1.5
 MOST = 2.0
 # Numbers of 32 bits that two SHA-256 digests of an id hold.
 DRAWS = 16
+# Rows of one id that one task numbers at a time.
+ROWS_PER_RUN = 20_000
 
 
 def _draw(key: Column, j: int) -> Column:
@@ -76,13 +80,13 @@ def plan_copies(
 ) -> DataFrame:
     """(source, source_size, target, whole, fraction, seed): how every source's documents are repeated.
 
-    ``sized`` has (id, source, size) and is read twice. ``seed`` is the draw of :data:`DRAWS` to use.
+    ``sized`` has (draw, source, size) and is read twice. ``seed`` is the draw of :data:`DRAWS` to use.
     """
     rates = durable(targets(sized, weights, share, most))
     rates = (
         rates.withColumn("whole", F.floor("rate").cast("long")).withColumn("fraction", F.col("rate") - F.col("whole"))
     )
-    key = F.coalesce(F.col("d.id").cast("string"), F.lit("null"))
+    key = F.col("d.draw")
     joined = sized.alias("d").join(small_side(rates).alias("r"), F.expr("d.source <=> r.source"))
     sums = joined.groupBy("r.source").agg(
         *[
@@ -100,32 +104,56 @@ def plan_copies(
 
 def copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """``sized`` with source_size, target and the number of ``copies`` of each row."""
-    key = F.coalesce(F.col("d.id").cast("string"), F.lit("null"))
+    key = F.col("d.draw")
     drawn = F.element_at(F.array(*[_draw(key, j) for j in range(DRAWS)]), F.col("p.seed") + 1)
     return sized.alias("d").join(small_side(plan).alias("p"), F.expr("d.source <=> p.source")).select(
-        "d.*", "p.source_size", "p.target", (F.col("p.whole") + (drawn < F.col("p.fraction")).cast("long")).alias("copies")
+        *[f"d.{c}" for c in sized.columns if c != "draw"], "p.source_size", "p.target", (F.col("p.whole") + (drawn < F.col("p.fraction")).cast("long")).alias("copies")
     )
 
 
+def drawing(rows: DataFrame, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
+    """``rows`` (id, source, text_hash and others) with the name that each draws by in ``draw`` instead of ``text_hash``.
+
+    Only rows whose id repeats are shuffled. ``rows`` is read several times and has to be a checkpointed table.
+    """
+    name = F.coalesce(F.col("id").cast("string"), F.lit("null"))
+    named = rows.withColumn("draw", name)
+    again = durable(named.groupBy("draw").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("draw").alias("shared")))
+    if again.isEmpty():
+        return named.drop("text_hash")
+    side = small_side(again)
+    once = named.join(side, F.col("draw") == F.col("shared"), "left_anti")
+    repeated = durable(named.join(side, F.col("draw") == F.col("shared"), "left_semi"))
+    numbers = numbered(repeated, "draw", ["source", "text_hash"], "nth", rows_per_run)
+    nth = F.when(F.col("nth") > 0, F.concat(F.lit("#"), F.col("nth").cast("string"))).otherwise("")
+    return once.unionByName(numbers.withColumn("draw", F.concat("draw", nth)).drop("nth")).drop("text_hash")
+
+
 def sizes_of(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """(id, source, size): words per document."""
+    """(id, source, size, text_hash): words per document."""
     return docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64(text_col).alias("text_hash"),
     )
 
 
 def mix(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **rules) -> DataFrame:
     """(id, source, size, source_size, target, copies) for every row of ``docs``. Texts are read once."""
-    sized = durable(sizes_of(docs, text_col, id_col, source_col))
+    sized = drawing(durable(sizes_of(docs, text_col, id_col, source_col)))
     return copies(sized, durable(plan_copies(sized, **rules)))
 
 
 def mixed(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source", **rules) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with their own columns."""
-    plan = durable(plan_copies(durable(sizes_of(docs, text_col, id_col, source_col)), **rules))
-    marked = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"))
-    taken = copies(marked, plan)
+    plan = durable(plan_copies(drawing(durable(sizes_of(docs, text_col, id_col, source_col))), **rules))
+    marked = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("source"),
+        F.xxhash64(text_col).alias("text_hash"),
+    )
+    taken = copies(drawing(marked), plan)
     repeated = taken.filter("copies > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
     return repeated.select("row.*")

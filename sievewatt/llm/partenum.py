@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import durable, small_side
+from sievewatt.llm.common import bounded_batches, durable, lean, small_side
 from sievewatt.llm.shingles import WIDTH, mix, sets_of
 
 PERCENT = 75
@@ -48,7 +48,7 @@ FINENESS = 2.5
 FREQUENT = 8
 # So many frequent elements are shipped at most (8 MB), those of the most documents first.
 MOST_FREQUENT = 1_000_000
-TOKENS_PER_GROUP = 1_500_000
+TOKENS_PER_GROUP = 500_000
 LEAST_GROUPS = 64
 FLUSH = 1 << 20
 # A group of more members, or more elements in all, is split by another cut of the domain.
@@ -166,6 +166,21 @@ def _staying(percent: int):
     return run
 
 
+class Seen:
+    """Which keys a task has met lately: of a bounded number, so that a copy may be taken for new, which only costs."""
+
+    def __init__(self, most: int = 1 << 17):
+        self.most, self.keys = most, set()
+
+    def first(self, key: int) -> bool:
+        if key in self.keys:
+            return False
+        if len(self.keys) >= self.most:
+            self.keys.clear()
+        self.keys.add(key)
+        return True
+
+
 def set_key(s: np.ndarray) -> int:
     with np.errstate(over="ignore"):
         return int(mix(np.array([np.add.reduce(mix(s ^ _B)) + np.uint64(len(s))], np.uint64)).view(np.int64)[0])
@@ -175,14 +190,18 @@ def _measured(width: int):
     """(id, row, n, key) per document, and at the end of a task its frequent elements with id null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        often_h, often_n, held, size = [], [], [], 0
+        seen = Seen()
+        held, size = [], 0
+        often_h, often_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def close() -> None:
-            nonlocal held, size
+            nonlocal held, size, often_h, often_n
             h, n = np.unique(np.concatenate(held), return_counts=True)
-            often_h.append(h[n > 1])
-            often_n.append(n[n > 1])
+            often_h, at = np.unique(np.concatenate((often_h, h[n > 1])), return_inverse=True)
+            often_n = np.bincount(at, np.concatenate((often_n, n[n > 1])), len(often_h)).astype(np.int64)
+            if len(often_h) > MOST_FREQUENT:
+                kept = np.sort(np.argsort(-often_n, kind="stable")[: MOST_FREQUENT // 2])
+                often_h, often_n = often_h[kept], often_n[kept]
             held, size = [], 0
 
         for batch in batches:
@@ -191,8 +210,7 @@ def _measured(width: int):
                 n.append(len(s))
                 key.append(set_key(s) if len(s) else None)
                 drawn.append(sketch(s) if len(s) else None)
-                if len(s) and key[-1] not in seen:
-                    seen.add(key[-1])
+                if len(s) and seen.first(key[-1]):
                     held.append(s)
                     size += len(s)
                     if size > FLUSH:
@@ -209,10 +227,8 @@ def _measured(width: int):
             )
         if held:
             close()
-        if often_h:
-            h, at = np.unique(np.concatenate(often_h), return_inverse=True)
-            n = np.bincount(at, np.concatenate(often_n), len(h)).astype(np.int64)
-            h, n = h[n >= FREQUENT], n[n >= FREQUENT]
+        if len(often_h):
+            h, n = often_h[often_n >= FREQUENT], often_n[often_n >= FREQUENT]
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": pa.nulls(len(h), pa.int64()),
@@ -253,13 +269,12 @@ def _emitted(groups: int, frequent, width: int, percent: int):
     bands = Bands.of(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, seen = frequent.value, set()
+        often, seen = frequent.value, Seen()
         tokens, keys, size = [], [], 0
         for batch in batches:
             for s in sets_of(batch.column("text").to_pylist(), width):
-                if not len(s) or (key := set_key(s)) in seen:
+                if not len(s) or not seen.first(key := set_key(s)):
                     continue
-                seen.add(key)
                 with np.errstate(over="ignore"):
                     tokens.append(signatures(s, often, bands))
                 keys.append(np.full(len(tokens[-1]), key))
@@ -399,8 +414,9 @@ CARRIED = "lead long, key long, elements binary"
 
 def measured(docs: DataFrame, text_col: str, id_col: str, width: int) -> DataFrame:
     """(id, row, n, key, sketch, frequent): the set size, key and sketch of every document, and frequent elements."""
+    bounded_batches(docs.sparkSession)
     wanted = _named(docs, text_col, id_col)
-    return durable(wanted.mapInArrow(_measured(width), "id long, row string, n long, key long, sketch binary, frequent long"))
+    return durable(wanted.mapInArrow(lean(_measured(width)), "id long, row string, n long, key long, sketch binary, frequent long"))
 
 
 def _named(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -425,7 +441,7 @@ def links(docs: DataFrame, found: DataFrame, text_col: str, id_col: str, width:
     groups = max(LEAST_GROUPS, int(elements * 0.65) // TOKENS_PER_GROUP)
     shipped = spark.sparkContext.broadcast(np.sort(frequent))
     wanted = _named(docs, text_col, id_col).select("row", "text")
-    dealt = wanted.select("text").mapInArrow(_emitted(groups, shipped, width, percent), DEALT)
+    dealt = wanted.select("text").mapInArrow(lean(_emitted(groups, shipped, width, percent)), DEALT)
     stars = durable(dealt.groupBy("g").applyInArrow(_met, "lead long, key long").distinct())
     # one document stands for each set
     named = found.filter("key IS NOT NULL").groupBy("key").agg(
@@ -463,7 +479,7 @@ def _verified(wanted: DataFrame, named: DataFrame, stars: DataFrame, width: int,
         rest = _carry(wanted, sized.join(small_side(large), "lead", "left_semi"), width)
         n = sized.join(small_side(large), "lead", "left_semi").agg(F.sum("n")).first()[0] or 0
         groups = max(LEAST_GROUPS, int(n * 0.65) // TOKENS_PER_GROUP)
-        dealt = rest.mapInArrow(_split(groups, percent, level + 1), DEALT)
+        dealt = rest.mapInArrow(lean(_split(groups, percent, level + 1)), DEALT)
         stars = durable(dealt.groupBy("g").applyInArrow(_met, "lead long, key long").distinct())
     return out
 
@@ -515,7 +531,7 @@ def _carry(wanted: DataFrame, members: DataFrame, width: int, most: int = 500_00
     needed = members.groupBy("row", "key").agg(F.collect_list("lead").alias("leads"))
     few = members.limit(most + 1).count() <= most
     texts = wanted.join(F.broadcast(needed) if few else needed, "row")
-    return texts.select("text", "key", "leads").mapInArrow(_carried(width), CARRIED)
+    return texts.select("text", "key", "leads").mapInArrow(lean(_carried(width)), CARRIED)
 
 
 def components(edges: DataFrame) -> DataFrame:

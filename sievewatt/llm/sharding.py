@@ -8,7 +8,7 @@ bundles, which are items too. The driver schedules that bounded list; rows find
 broadcast of the large groups.
 
 Defined results: a null text has no bytes and all null texts are one group; an empty text is a text like any
-other; equal rows keep one slot each; fewer groups than shards leave shards empty; no rows give no rows.
+other; equal rows have one slot each; fewer groups than shards leave shards empty; no rows give no rows.
 A group larger than a shard's share stays whole, and its shard is then above the others.
 """
 
@@ -16,10 +16,10 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import durable
+from sievewatt.llm.common import durable, numbered
 
 SHARDS = 40
 # Items per shard: groups over 1/GRAIN of a shard's share are scheduled singly.
@@ -42,50 +42,40 @@ def schedule(sizes: list[tuple[str, int]], shards: int) -> dict[str, int]:
 
 
 def group_key(text: Column) -> Column:
-    """128 bits that stand for a text; null texts share one."""
+    """128 bits that stand for a text; null texts share a name that no text has."""
     return F.coalesce(F.md5(F.encode(text, "utf-8")), F.lit("null"))
 
 
+def _item(kind: str, name: Column) -> Column:
+    """The name of a scheduled item: a single group and a bundle never share one."""
+    return F.concat(F.lit(f"{kind}:"), name)
+
+
 def assign(rows: DataFrame, shards: int = SHARDS, grain: int = GRAIN, bundles: int | None = None) -> DataFrame:
     """``rows`` (with ``group`` and ``size``) and the ``shard`` of each. ``rows`` is read three times."""
     spark = rows.sparkSession
     bundles = bundles or shards * BUNDLES_PER_SHARD
     groups = durable(rows.groupBy("group").agg(F.sum("size").alias("size")))
     total = groups.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    bundle = F.pmod(F.xxhash64("group"), F.lit(bundles)).cast("string")
+    single, bundle = _item("group", F.col("group")), _item("bundle", F.pmod(F.xxhash64("group"), F.lit(bundles)).cast("string"))
     large = F.col("size") * (shards * grain) > F.lit(total)
-    items = groups.groupBy(F.when(large, F.col("group")).otherwise(bundle).alias("item")).agg(F.sum("size").alias("size"))
+    items = groups.groupBy(F.when(large, single).otherwise(bundle).alias("item")).agg(F.sum("size").alias("size"))
     # at most bundles + shards * grain rows, whatever the input
     placed = schedule([(r["item"], r["size"]) for r in items.collect()], shards)
-    where = spark.createDataFrame(list(placed.items()) or [("", 0)], "item string, shard int")
-    singles = where.filter(F.length("item") == 32).withColumnRenamed("item", "group")
-    by_bundle = where.filter(F.length("item") < 32).withColumnRenamed("item", "bundle")
+    where = F.broadcast(spark.createDataFrame(list(placed.items()), "item string, shard int"))
     return (
         rows.withColumn("bundle", bundle)
-        .join(F.broadcast(singles.withColumnRenamed("shard", "single")), "group", "left")
-        .join(F.broadcast(by_bundle), "bundle", "left")
-        .withColumn("shard", F.coalesce("single", "shard"))
-        .drop("bundle", "single")
+        .withColumn("single", single)
+        .join(where.select(F.col("item").alias("single"), F.col("shard").alias("own")), "single", "left")
+        .join(where.withColumnRenamed("item", "bundle"), "bundle", "left")
+        .withColumn("shard", F.coalesce("own", "shard"))
+        .drop("bundle", "single", "own")
     )
 
 
-def slots(rows: DataFrame, order: list[str], rows_per_run: int = ROWS_PER_RUN, parts: str = "shard") -> DataFrame:
-    """``slot``: a number per row, from 0 without gaps within each ``parts``.
-
-    A shard holds a fixed share of all rows, so it is numbered in runs of about ``rows_per_run`` rows: a run's
-    first number is the count of the runs before it. ``rows`` is read twice.
-    """
-    runs = rows.count() // rows_per_run + 1
-    dealt = rows.withColumn("run", F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(runs)).cast("int"))
-    counts = dealt.groupBy(parts, "run").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(parts).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(parts, "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    numbered = dealt.withColumn("place", F.row_number().over(Window.partitionBy(parts, "run").orderBy(*order)) - 1)
-    return (
-        numbered.join(starts, [parts, "run"])
-        .withColumn("slot", (F.col("start") + F.col("place")).cast("long"))
-        .drop("run", "place", "start")
-    )
+def slots(rows: DataFrame, order: list[str], rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
+    """``slot``: a number per row, from 0 without gaps within each shard."""
+    return numbered(rows, "shard", order, "slot", rows_per_run)
 
 
 def shard(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shards: int = SHARDS, **limits) -> DataFrame:

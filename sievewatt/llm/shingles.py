@@ -36,7 +36,7 @@ def _power(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, 1 << 16), base, np.uint64)
         steps[0] = 1
         have = np.multiply.accumulate(steps)
-        if n <= 1 << 22:
+        if n <= 1 << 18:
             _powers[str(base)] = have
     return have[:n]
 
@@ -53,7 +53,7 @@ def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return start, mix((upto[end] - upto[start]) * _power(_INVERSE, len(a) + 1)[start])
 
 
-def word_hashes(text: str, piece: int = 1 << 21) -> np.ndarray:
+def word_hashes(text: str, piece: int = 1 << 18) -> np.ndarray:
     """Hash of every word of one text, in order; long texts go piece by piece, cut between words."""
     data = text.encode("utf-8", "surrogatepass").lower()
     out, at = [], 0

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewatt.llm.common import durable
+from sievewatt.llm.common import bounded_batches, durable, lean
 
 TOXIC_ROWS = 4000
 CLEAN_ROWS = 8000
@@ -48,6 +48,8 @@ THRESHOLD = 0.7
 WINDOW = 6
 # States of the automaton kept before it starts anew.
 MOST_STATES = 200_000
+# Words that a task remembers as matched, and as counted but not yet given out.
+MOST_WORDS = 100_000
 
 # Words that tell of someone's words, and words that address someone.
 REPORTING = frozenset(
@@ -177,13 +179,15 @@ class Reader:
         lower = (text or "").lower()
         words = WORD.findall(lower)
         distinct = set(words)
+        if len(self.hits) > MOST_WORDS:
+            self.hits.clear()
         for w in distinct - self.clean - self.hits.keys():
             found = self.matcher.match(w)
             if found:
                 self.hits[w] = found
             else:
                 self.clean.add(w)
-        if len(self.clean) > 1_000_000:
+        if len(self.clean) > MOST_WORDS:
             self.clean.clear()
         if not distinct & self.hits.keys():
             return (0.0, 0.0, 0.0, 0.0), []
@@ -269,6 +273,9 @@ def _words_used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows["word"].append(w)
                     rows["context"].append(xxhash.xxh64_intdigest(" ".join(words[max(0, i - 1) : i + 2])) >> 1)
         yield _used(rows["word"], [0] * len(rows["word"]), rows["context"])
+        if len(clean) > MOST_WORDS:
+            yield _used(list(clean), list(clean.values()), [None] * len(clean))
+            clean.clear()
     yield _used(list(clean), list(clean.values()), [None] * len(clean))
 
 
@@ -280,7 +287,7 @@ def _used(word: list, clean: list, context: list) -> pa.RecordBatch:
 
 def learn_terms(texts: DataFrame) -> Lexicon:
     """The lexicon from labelled ``texts`` (text, y)."""
-    used = texts.mapInArrow(_words_used, "word string, clean long, context long")
+    used = texts.mapInArrow(lean(_words_used), "word string, clean long, context long")
     # a context that several near copies share counts once
     words = durable(
         used.groupBy("word").agg(F.countDistinct("context").alias("toxic"), F.sum("clean").alias("clean"))
@@ -341,7 +348,7 @@ def _usual(words: DataFrame, lexicon: Lexicon) -> frozenset[str]:
             out = [w for w in batch.column("word").to_pylist() if (m := matcher.match(w)) and m[0]]
             yield pa.RecordBatch.from_pydict({"word": pa.array(out, pa.string())})
 
-    seen = words.filter(F.col("clean") > 0).select("word").mapInArrow(near, "word string")
+    seen = words.filter(F.col("clean") > 0).select("word").mapInArrow(lean(near, 10_000), "word string")
     return frozenset(r[0] for r in seen.orderBy("word").limit(1_000_000).collect())
 
 
@@ -381,6 +388,7 @@ def train(
 ) -> Model:
     """Terms from labelled rows whose crc32 of the id leaves 0 by three, the model from those that leave 2."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     chosen = _sampled(labels, 0, id_col, label_col, rows).withColumn("part", F.lit(0)).unionByName(
         _sampled(labels, 2, id_col, label_col, rows).withColumn("part", F.lit(2))
     )
@@ -389,7 +397,7 @@ def train(
     texts = durable(wanted.join(F.broadcast(chosen), "id").select("text", "y", "part"))
     lexicon = learn_terms(texts.filter("part = 0").select("text", "y"))
     shipped = spark.sparkContext.broadcast(lexicon)
-    made = texts.filter("part = 2").select("text", "y").mapInArrow(_features(shipped), "y int, x array<double>").collect()
+    made = texts.filter("part = 2").select("text", "y").mapInArrow(lean(_features(shipped)), "y int, x array<double>").collect()
     y = np.array([r["y"] for r in made], float)
     if not lexicon.terms or not 0 < y.sum() < len(y):
         return Model(lexicon, 0.0 if not len(y) else float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), (0.0,) * 4)
@@ -417,7 +425,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "
             )
 
     wanted = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return wanted.mapInArrow(run, "id long, score double, terms string")
+    return wanted.mapInArrow(lean(run), "id long, score double, terms string")
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -430,4 +438,4 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", thresho
             scores = [shipped.value.score(reader.features(t)[0]) for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

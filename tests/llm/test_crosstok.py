@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from sievewatt.llm import crosstok
-from tests.llm.rows import BASE, CLASH, LONG, ODD, SCHEMA, documents
+from rows import BASE, CLASH, LONG, ODD, SCHEMA, documents
 
 
 @pytest.fixture(scope="module")

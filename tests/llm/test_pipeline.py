@@ -71,5 +71,5 @@ def test_run_gives_the_last_stage(spark, sf):
 
 def test_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in entry.queries() and set(registry.ORACLE) <= set(registry.QUERIES)
