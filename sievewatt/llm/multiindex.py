@@ -40,9 +40,11 @@ LEAST = 5000
 SAMPLE = 16_384
 STEPS = 8
 # Candidates and queries in one block; queries whose products are made at a time.
-BLOCK = 8192
-QUERY_BLOCK = 4096
+BLOCK = 2048
+QUERY_BLOCK = 2048
 AT_ONCE = 128
+# Queries whose cells one task finds.
+ROUTED = 256
 
 HITS = "query_id long, vec_id long, score double"
 Centres = dict[int, tuple[float, np.ndarray, np.ndarray]]
@@ -51,12 +53,14 @@ Centres = dict[int, tuple[float, np.ndarray, np.ndarray]]
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, v, dim, length) of the vectors that take part."""
     x = F.col(vec_col)
+    kind = vectors.schema[vec_col].dataType.simpleString()
+    kept = x if kind in ("array<float>", "array<double>") else x.cast("array<double>")
     fine = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     return (
         vectors.filter(F.col(id_col).isNotNull() & fine & F.exists(x, lambda c: c != 0))
-        .select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
+        .select(F.col(id_col).cast("long").alias("vec_id"), kept.alias("v"))
         .withColumn("dim", F.size("v"))
-        .withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)))
+        .withColumn("length", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))))
     )
 
 
@@ -273,10 +277,10 @@ def search(
     """(query_id, rank, vec_id, score): the ``k`` nearest found among ``vectors`` (as :func:`usable` gives them) for
     every vector that ``queries`` selects."""
     spark = vectors.sparkSession
-    vectors = durable(vectors)
+    vectors, kind = durable(vectors), vectors.schema["v"].dataType.simpleString()
     centres = train(vectors, centroids)
     indexed = durable(
-        vectors.select("vec_id", "v", "dim").mapInArrow(_cells(centres), "vec_id long, v array<double>, dim int, cell int")
+        vectors.select("vec_id", "v", "dim").mapInArrow(_cells(centres), f"vec_id long, v {kind}, dim int, cell int")
     )
     # at most centroids ** 2 rows for each number of components
     tally = (
@@ -297,11 +301,12 @@ def search(
     where = spark.createDataFrame(places, "dim int, cell int, first int, parts int")
     n_queries = vectors.filter(queries).count()
     qblock = F.pmod(F.xxhash64("vec_id"), F.lit(n_queries // query_block + 1)).cast("int").alias("qblock")
-    chosen = vectors.filter(queries).select("vec_id", "v", "dim").dropDuplicates(["vec_id", "v"])
+    spread = vectors.filter(queries).select("vec_id", "v", "dim").repartition(n_queries // ROUTED + 1, "vec_id")
+    chosen = spread.dropDuplicates(["vec_id", "v"])
     routed = durable(
         chosen.mapInArrow(
             _routes(centres, counts, first, parts, share, least),
-            "vec_id long, v array<double>, dim int, block int, limit double",
+            f"vec_id long, v {kind}, dim int, block int, limit double",
         ).select("*", qblock)
     )
     # candidates go only to the blocks of queries that want them
