@@ -194,3 +194,22 @@ def building_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.array(ring).alias("rings"),
         G.ring_area_m2(ring).alias("area_m2"),
     )
+
+
+# Where the sides of a zone may lie within its square of the grid: on, inside, outside and between the areas' outlines.
+ZONE_SIDES = (0.0, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9, 1.0)
+
+
+def zone_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A rectangle per part, which crosses, holds, fills, borders or misses areas and their holes."""
+    key, sides, n = F.col("p_partkey"), F.array(*[F.lit(s) for s in ZONE_SIDES]), len(ZONE_SIDES)
+
+    def side(k, base):
+        low = k % (n - 1)
+        high = low + 1 + F.floor(k / (n - 1)) % (n - 1 - low)
+        return base + F.get(sides, low.cast("int")), base + F.get(sides, high.cast("int"))
+
+    x1, x2 = side(key * 7, (key % 5).cast("double"))
+    y1, y2 = side(key * 11 + F.floor(key / 25), F.lit(50.0) + F.floor(key / 5) % 5)
+    ring = F.array(G.point(x1, y1), G.point(x2, y1), G.point(x2, y2), G.point(x1, y2), G.point(x1, y1))
+    return table(spark, sf, "part").select(key.cast("string").alias("area_id"), F.array(ring).alias("rings"))

@@ -811,6 +811,54 @@ def oracle_sql() -> dict[str, str]:
         "located",
         f"SELECT * FROM ({totals}) ORDER BY building_count DESC, admin_area_id LIMIT 50",
     )
+    add(
+        "areas_without_ids",
+        "located",
+        f"""SELECT (row_number() OVER (ORDER BY admin_area_name) - 1)::VARCHAR AS admin_area_id, admin_area_name, building_count, total_area_m2
+            FROM ({totals})""",
+    )
+    part(
+        "zones",
+        "",
+        """SELECT p_partkey AS z, bx + s[ix + 1] AS zx1, bx + s[ix + 2 + ((p_partkey * 7) // 9) % (9 - ix)] AS zx2,
+             y0z + s[iy + 1] AS zy1, y0z + s[iy + 2 + (ky // 9) % (9 - iy)] AS zy2
+           FROM (SELECT p_partkey, (p_partkey % 5)::DOUBLE AS bx, 50 + (p_partkey // 5 % 5)::DOUBLE AS y0z, p_partkey * 7 % 9 AS ix,
+                   p_partkey * 11 + p_partkey // 25 AS ky, (p_partkey * 11 + p_partkey // 25) % 9 AS iy,
+                   [0.0::DOUBLE, 0.1::DOUBLE, 0.15::DOUBLE, 0.2::DOUBLE, 0.3::DOUBLE, 0.4::DOUBLE, 0.5::DOUBLE, 0.7::DOUBLE, 0.9::DOUBLE, 1.0::DOUBLE] AS s FROM part)""",
+    )
+    corners = {
+        "outer": ((0, 0), (0.9, 0), (0.9, 0.5), (0.5, 0.5), (0.5, 0.9), (0, 0.9), (0, 0)),
+        "hole": ((0.1, 0.1), (0.3, 0.1), (0.3, 0.3), (0.1, 0.3), (0.1, 0.1)),
+    }
+    sides = ", ".join(
+        f"{{'x1': x0 + {a[0]}::DOUBLE, 'y1': y0 + {a[1]}::DOUBLE, 'x2': x0 + {b[0]}::DOUBLE, 'y2': y0 + {b[1]}::DOUBLE}}"
+        for ring in corners.values()
+        for a, b in zip(ring, ring[1:], strict=False)
+    )
+    zone = ["zx1", "zy1", "zx2", "zy1", "zx2", "zy2", "zx1", "zy2", "zx1", "zy1"]
+    zone_sides = ", ".join(
+        "{" + ", ".join(f"'{n}': {zone[i + j]}" for j, n in enumerate(("x1", "y1", "x2", "y2"))) + "}" for i in range(0, 8, 2)
+    )
+    part("area_sides", "areas", f"SELECT k, unnest([{sides}]) AS e FROM areas")
+    part("zone_sides", "zones", f"SELECT z, unnest([{zone_sides}]) AS e FROM zones")
+    turn = "sign(({a}.x2 - {a}.x1) * ({b}.y{i} - {a}.y1) - ({a}.y2 - {a}.y1) * ({b}.x{i} - {a}.x1))"
+    across = [
+        " * ".join(turn.format(a=f"{p}.e", b=f"{q}.e", i=i) for i in (1, 2)) + " <= 0" for p, q in (("a", "b"), ("b", "a"))
+    ]
+    boxes = [
+        f"least({p}.e.{c}1, {p}.e.{c}2) <= greatest({q}.e.{c}1, {q}.e.{c}2)" for c in "xy" for p, q in (("a", "b"), ("b", "a"))
+    ]
+    in_zone = "zx1 < x0 + {d}::DOUBLE AND x0 + {d}::DOUBLE < zx2 AND zy1 < y0 + {d}::DOUBLE AND y0 + {d}::DOUBLE < zy2"
+    add(
+        "areas_touching",
+        "area_sides zone_sides",
+        f"""SELECT * FROM (WITH met AS (SELECT DISTINCT k, z FROM area_sides a JOIN zone_sides b ON {" AND ".join(boxes + across)}),
+              held AS (SELECT k, z FROM areas JOIN zones ON ({in_zone.format(d=0)}) OR ({in_zone.format(d=0.1)})
+                OR (zx1 > x0 AND zx1 < x0 + 0.9::DOUBLE AND zy1 > y0 AND zy1 < y0 + 0.9::DOUBLE AND (zx1 < x0 + 0.5::DOUBLE OR zy1 < y0 + 0.5::DOUBLE)
+                  AND NOT (zx1 > x0 + 0.1::DOUBLE AND zx1 < x0 + 0.3::DOUBLE AND zy1 > y0 + 0.1::DOUBLE AND zy1 < y0 + 0.3::DOUBLE)))
+            SELECT 'A' || k AS left_id, z::VARCHAR AS right_id, bool_or(m) AS boundaries_meet
+            FROM (SELECT k, z, true AS m FROM met UNION ALL SELECT k, z, false FROM held) GROUP BY k, z)""",
+    )
     add("points_in_areas", "located", "SELECT p_partkey AS building_key, 'A' || k AS area_id FROM located")
     add(
         "osm_buildings",

@@ -671,6 +671,20 @@ def points_in_areas(spark, sf):
     return spatial.points_within(points, areas, 0.25).select("building_key", "area_id")
 
 
+@query
+def areas_touching(spark, sf):
+    """Areas and zones that share a point; whether their boundaries do, or one holds the other."""
+    areas = spatial.named_areas(_areas(spark, sf)).select("area_id", "rings")
+    return spatial.areas_touching(areas, files.zone_rows(spark, sf), 0.25)
+
+
+@query
+def areas_without_ids(spark, sf):
+    """Buildings per area where the areas have names but no ids and get numbers."""
+    totals = spatial.buildings_by_area(files.building_rows(spark, sf), _areas(spark, sf).drop("gid_3"), 0.25)
+    return totals.withColumn("total_area_m2", F.round("total_area_m2", 2))
+
+
 def _totals(spark, sf):
     totals = spatial.buildings_by_area(files.building_rows(spark, sf), _areas(spark, sf), 0.25)
     return totals.withColumn("total_area_m2", F.round("total_area_m2", 2))

@@ -84,22 +84,58 @@ def cell(v: Column, size: float | Column) -> Column:
     return F.floor(v / size).cast("long")
 
 
-def crossings(edge_list: Column, x: Column, y: Column) -> Column:
-    """How many edges a ray from (x, y) to the right crosses.
+def height_met(e: Column, y: Column) -> Column:
+    """Does the edge cross the line at height ``y``? Its lower end belongs to it, its upper end does not."""
+    return (e["y1"] > y) != (e["y2"] > y)
 
-    The lower end of an edge belongs to it and the upper end does not, so a corner is counted once.
+
+def met_at(e: Column, y: Column) -> Column:
+    """Where along x an edge is at height ``y``."""
+    return (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+
+
+def _column_at(e: Column, y: Column, size: float) -> Column:
+    """The column of cells that an edge is in at height ``y``, or at the end that is nearest to it."""
+    lower, upper = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+    at_end = F.when((y < lower) == (e["y1"] < e["y2"]), e["x1"]).otherwise(e["x2"])
+    return cell(F.when((y >= lower) & (y < upper), met_at(e, y)).otherwise(at_end), size)
+
+
+def inside_cell(corner_inside: Column, edge_list: Column, x: Column, y: Column, cx: Column, cy: Column, size: float) -> Column:
+    """Is the point (x, y) of cell (cx, cy) inside, told by the edges that touch the cell alone?
+
+    ``corner_inside`` says whether the cell's lower right corner is, by a ray to the right. A ray from the point
+    crosses the cell's own edges first. What it crosses beyond the cell's right side differs from what the corner's
+    ray crosses by the edges that pass that side between the two heights, and these touch the cell as well. Every
+    place where an edge meets a height is rounded to its column in one way, so the parts always add up to the count
+    that one ray over all edges gives.
     """
-    return F.aggregate(
-        edge_list,
-        F.lit(0),
-        lambda acc, e: acc
-        + F.when(
-            ((e["y1"] > y) != (e["y2"] > y))
-            & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]),
-            1,
-        ).otherwise(0),
-    )
+    bottom = cy * F.lit(float(size))
+
+    def odd(e: Column) -> Column:
+        within = height_met(e, y) & (x < met_at(e, y)) & (cell(met_at(e, y), size) == cx)
+        level = e["y1"] == e["y2"]
+        passes = F.when(level, (e["y1"] > bottom) & (e["y1"] <= y) & ((cell(e["x1"], size) > cx) != (cell(e["x2"], size) > cx))).otherwise(
+            (_column_at(e, y, size) > cx) != (_column_at(e, bottom, size) > cx)
+        )
+        return F.coalesce(within, F.lit(False)).cast("int") + F.coalesce(passes, F.lit(False)).cast("int")
+
+    return F.aggregate(edge_list, corner_inside.cast("int"), lambda n, e: n + odd(e)) % 2 == 1
+
+
+def _turn(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Column) -> Column:
+    return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
+
+
+def edges_meet(a: Column, b: Column) -> Column:
+    """Do two edges share a point, their ends included?"""
+    t1 = _turn(a["x1"], a["y1"], a["x2"], a["y2"], b["x1"], b["y1"])
+    t2 = _turn(a["x1"], a["y1"], a["x2"], a["y2"], b["x2"], b["y2"])
+    t3 = _turn(b["x1"], b["y1"], b["x2"], b["y2"], a["x1"], a["y1"])
+    t4 = _turn(b["x1"], b["y1"], b["x2"], b["y2"], a["x2"], a["y2"])
 
+    def overlap(p: str, q: str) -> Column:
+        return (F.least(a[p], a[q]) <= F.greatest(b[p], b[q])) & (F.least(b[p], b[q]) <= F.greatest(a[p], a[q]))
 
-def contains(edge_list: Column, x: Column, y: Column) -> Column:
-    return crossings(edge_list, x, y) % 2 == 1
+    # edges on one line only meet if their boxes do
+    return (t1 * t2 <= 0) & (t3 * t4 <= 0) & overlap("x1", "x2") & overlap("y1", "y2")

@@ -13,6 +13,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewatt.operators.skew import Slices, join_null_safe, with_slice
+from sievewatt.runtime import durable
+
+
+def row_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` and each row's number in ``order``, from 0 without gaps, the same however the rows are partitioned.
+
+    The rows are sorted over all tasks and written once; each task then numbers its own range, and a range starts
+    where the ones before it end. Only rows that are equal in ``order`` share a range for certain.
+    """
+    sorted_rows = durable(df.orderBy(*order).withColumn("_range", F.spark_partition_id()))
+    # one row per task
+    counts = sorted_rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return (
+        sorted_rows.withColumn("_at", inside)
+        .join(F.broadcast(starts), "_range")
+        .withColumn(name, (F.col("_start") + F.col("_at")).cast("long"))
+        .drop("_range", "_at", "_start")
+    )
 
 
 def previous_value(

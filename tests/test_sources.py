@@ -1,4 +1,6 @@
+import math
 import os
+import random
 from datetime import date, datetime
 
 import pytest
@@ -159,6 +161,7 @@ def test_buildings_by_area_shows_empty_areas(spark, areas):
     out = {r["admin_area_id"]: (r["building_count"], r["total_area_m2"]) for r in spatial.buildings_by_area(buildings, areas, 2.0).collect()}
     assert out == {"holed": (1, 5.0), "twin": (1, 1.0), "empty": (0, 0.0)}
     assert spatial.admin_columns(["GID_2", "county"], 2) == ("GID_2", "county")
+    assert spatial.admin_columns(["county"], 2) == (None, "county")
     with pytest.raises(ValueError):
         spatial.admin_columns(["x"], 3)
 
@@ -188,8 +191,72 @@ def test_repeated_tags_and_missing_nodes(spark, folder):
 
 def test_cell_table_is_measured(spark, areas):
     named = areas.withColumnRenamed("gid_3", "area_id")
-    coarse, fine = (spatial.cells_bytes(spatial.area_cells(named, c)) for c in (1.0, 0.1))
-    assert fine > 8 * coarse
+    sizes = {}
+    for c in (1.0, 0.1, 0.05):
+        cells = spatial.area_cells(named, c)
+        edges, rows = cells.agg(F.sum(F.size("edges")), F.count("*")).first()
+        sizes[c] = spatial.cells_bytes(cells)
+        assert sizes[c] == 96 * rows + 48 * edges
+        # an outline of length 56 passes 56 / c cells, each side of a square touches a few more
+        assert edges <= 2 * (56 / c + 4 * 20)
+        assert rows <= 100 / c**2 + edges
+    # no edge is carried to cells it does not touch
+    assert sizes[0.05] < 4.2 * sizes[0.1]
+
+
+def ray(rings, x, y):
+    """Inside by the plain count of all edges a ray to the right crosses."""
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]], strict=True):
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("cell", [0.25, 0.7, 5.0])
+def test_points_in_ragged_outlines(spark, cell):
+    """Slanted edges, corners and points on the grid's own lines, outlines through corners of cells."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(12):
+        angles = sorted(rng.uniform(0, 6.283) for _ in range(rng.randint(3, 25)))
+        polar = [(rng.uniform(1, 3), a) for a in angles]
+        ring = [(r * math.cos(a), r * math.sin(a)) for r, a in polar]
+        if k % 2:  # corners on the lines of the grid
+            ring = [(round(x * 4) / 4, round(y * 4) / 4) for x, y in ring]
+        rows.append((str(k), [ring]))
+    rows.append(("diamond", [[(0.0, -2.0), (2.0, 0.0), (0.0, 2.0), (-2.0, 0.0)], [(0.0, -1.0), (1.0, 0.0), (0.0, 1.0), (-1.0, 0.0)]]))
+    areas = spark.createDataFrame(rows, f"area_id string, rings {G.RINGS_TYPE}")
+    pts = [(i, rng.uniform(-3.5, 3.5), rng.uniform(-3.5, 3.5)) for i in range(400)]
+    pts += [(1000 + i, (i % 25 - 12) / 4, (i // 25 - 12) / 4) for i in range(625)]
+    found = spatial.points_within(spark.createDataFrame(pts, "id int, x double, y double"), areas, cell)
+    assert {(r["id"], r["area_id"]) for r in found.collect()} == {(i, k) for i, x, y in pts for k, rings in rows if ray(rings, x, y)}
+
+
+def test_outlines_that_touch(spark):
+    left = [("holed", [square(0, 0, 10, 10), square(4, 4, 6, 6)]), ("far", [square(90, 90, 91, 91)])]
+    right = {
+        "crossing": (square(9, 9, 12, 12), True), "nested": (square(1, 1, 2, 2), False), "in the hole": (square(4.5, 4.5, 5, 5), None),
+        "around": (square(-1, -1, 11, 11), False), "beside": (square(10, 0, 12, 10), True), "at a corner": (square(10, 10, 11, 11), True),
+        "apart": (square(10.1, 0, 12, 10), None), "in the hole at its side": (square(4, 4.5, 5, 5), True), "same": (square(0, 0, 10, 10), True),
+        "slanted": ([(-5.0, 5.0), (5.0, -5.0), (-5.0, -5.0)], True), "slanted apart": ([(-5.0, 4.0), (4.0, -5.0), (-5.0, -5.0)], None),
+    }
+    schema = f"area_id string, rings {G.RINGS_TYPE}"
+    b = spark.createDataFrame([(k, [ring]) for k, (ring, _) in right.items()], schema)
+    for cell in (0.7, 3.0, 50.0):
+        got = spatial.areas_touching(spark.createDataFrame(left, schema), b, cell).collect()
+        assert {(r["left_id"], r["right_id"], r["boundaries_meet"]) for r in got} == {("holed", k, m) for k, (_, m) in right.items() if m is not None}
+
+
+def test_areas_without_ids_get_the_same_numbers(spark):
+    rows = [(f"area {i * 37 % 50}", [square(i, 0, i + 1, 1)]) for i in range(50)] + [("area 7", [square(99, 0, 100, 1)])]
+    df = spark.createDataFrame(rows, f"district string, rings {G.RINGS_TYPE}")
+    found = [
+        sorted((int(r["area_id"]), r["admin_area_name"], r["rings"][0][0]["x"]) for r in spatial.named_areas(df.repartition(n)).collect()) for n in (1, 8)
+    ]
+    assert found[0] == found[1]
+    assert [f[0] for f in found[0]] == list(range(51)) and [f[1] for f in found[0]] == sorted(r[0] for r in rows)
 
 
 def test_ring_area(spark):
