@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from catalog.inputs import dirty, fresh, households, table, weather
 from sievewatt.functions import geometry as G
 
+# Users' blocks as households name them, events in one file of readings, and users in one file of daily sums.
 BLOCKS = 16
+EVENTS_PER_BLOCK = 1000
+USERS_PER_BLOCK = 50
+# Events in one file of a stream, and files in one micro-batch of many.
+STREAM_ROWS = 10_000
+FILES_PER_TRIGGER = 4
 
 
 def name_blocks(spark: SparkSession, staged: str, folder: str) -> str:
@@ -24,10 +30,12 @@ def name_blocks(spark: SparkSession, staged: str, folder: str) -> str:
 
 
 def write_blocks(rows: DataFrame, folder_name: str) -> str:
-    """One CSV file per block, as the meters deliver them."""
+    """One CSV file per block, as the meters deliver them. Blocks are ranges of a key, so that their number, and with
+    it the number of tasks, follows the number of rows."""
     spark = rows.sparkSession
     staged, folder = fresh(spark, f"{folder_name}-staged"), fresh(spark, folder_name)
-    rows.repartition(BLOCKS, "block").write.partitionBy("block").option("header", True).csv(staged)
+    low, high = rows.agg(F.min("block"), F.max("block")).first()
+    rows.repartitionByRange((high or 0) - (low or 0) + 1, "block").write.partitionBy("block").option("header", True).csv(staged)
     return name_blocks(spark, staged, folder)
 
 
@@ -37,32 +45,57 @@ def readings_csv(spark: SparkSession, sf: str) -> str:
             F.col("user_id").cast("string").alias("LCLid"),
             F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(".0000000")).alias("tstp"),
             F.concat(F.lit(" "), F.coalesce(F.col("value").cast("string"), F.lit("Null"))).alias("energy(kWh/hh)"),
-            (F.col("user_id") % BLOCKS).alias("block"),
+            F.floor(F.col("event_id") / EVENTS_PER_BLOCK).alias("block"),
         ),
         "halfhourly",
     )
 
 
 def daily_csv(spark: SparkSession, sf: str) -> str:
+    v = F.col("value")
     daily = table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
-        F.sum("value").alias("energy_sum"), F.count(F.lit(1)).alias("energy_count")
+        F.percentile(v, 0.5).alias("energy_median"),
+        F.avg(v).alias("energy_mean"),
+        F.max(v).alias("energy_max"),
+        F.count(F.lit(1)).alias("energy_count"),
+        # a day of one reading has no spread: the file holds an empty string
+        F.coalesce(F.stddev_samp(v).cast("string"), F.lit("")).alias("energy_std"),
+        F.sum(v).alias("energy_sum"),
+        F.min(v).alias("energy_min"),
     )
-    gaps = [F.lit("").alias(c) for c in ("energy_median", "energy_mean", "energy_max")]
     return write_blocks(
         daily.select(
             F.col("user_id").alias("LCLid"),
             "day",
-            *gaps,
+            "energy_median",
+            "energy_mean",
+            "energy_max",
             "energy_count",
-            F.lit("").alias("energy_std"),
+            "energy_std",
             "energy_sum",
-            F.lit("").alias("energy_min"),
-            (F.col("user_id") % BLOCKS).alias("block"),
+            "energy_min",
+            F.floor(F.col("user_id") / USERS_PER_BLOCK).alias("block"),
         ),
         "daily",
     )
 
 
+def stream_files(rows: DataFrame, key: str, rows_per_file: int = STREAM_ROWS) -> tuple[str, int]:
+    """A folder of Parquet files that come one after the other in order of ``key``, and how many of them a micro-batch
+    should take: one of a few, a fixed number of many. Each file is a range of the key of bounded size."""
+    spark = rows.sparkSession
+    folder, n = fresh(spark, "stream"), rows.count()
+    parts = max(3, -(-n // rows_per_file))
+    rows.repartitionByRange(parts, key).sortWithinPartitions(key).write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
+    fs_classes = spark._jvm.org.apache.hadoop.fs
+    fs = fs_classes.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    # a file stream takes older files first
+    paths = sorted(f.getPath().toString() for f in fs.globStatus(fs_classes.Path(f"{folder}/part-*")))
+    for i, path in enumerate(paths):
+        fs.setTimes(fs_classes.Path(path), 1_700_000_000_000 + 1000 * i, -1)
+    return folder, 1 if parts <= FILES_PER_TRIGGER else FILES_PER_TRIGGER
+
+
 def _csv(df: DataFrame, name: str) -> str:
     path = fresh(df.sparkSession, name)
     # Text categories keep the blanks around them, as in the files this stands for.

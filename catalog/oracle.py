@@ -727,13 +727,15 @@ def oracle_sql() -> dict[str, str]:
 
     # raw files and streams
     raw = """SELECT CAST(user_id AS VARCHAR) AS household_id, date_trunc('second', ts) AS timestamp, value AS energy_kwh,
-           CAST(user_id % 16 AS VARCHAR) AS source_block FROM dirty"""
+           CAST(event_id // 1000 AS VARCHAR) AS source_block FROM dirty"""
     add("csv_readings", "dirty", raw)
     add(
         "csv_daily",
         "",
         """SELECT CAST(user_id AS VARCHAR) AS household_id, CAST(ts AS DATE) AS date, round(sum(value), 9) AS energy_sum_kwh,
-           count(*)::DOUBLE AS energy_count, CAST(user_id % 16 AS VARCHAR) AS source_block FROM events GROUP BY ALL""",
+           round(median(value), 9) AS energy_median_kwh, round(avg(value), 9) AS energy_mean_kwh, round(max(value), 9) AS energy_max_kwh,
+           round(min(value), 9) AS energy_min_kwh, round(stddev_samp(value), 9) AS energy_std_kwh,
+           count(*)::DOUBLE AS energy_count, CAST(user_id // 50 AS VARCHAR) AS source_block FROM events GROUP BY ALL""",
     )
     add(
         "csv_weather_hourly",
@@ -741,6 +743,20 @@ def oracle_sql() -> dict[str, str]:
         """SELECT hour_at AS timestamp, round(temperature_celsius, 9) AS temperature_celsius, round(humidity_ratio, 9) AS humidity_ratio,
            weather_summary FROM weather""",
     )
+    add(
+        "stream_weather",
+        "weather",
+        """SELECT hour_at AS timestamp, round(temperature_celsius, 9) AS temperature_celsius, round(humidity_ratio, 9) AS humidity_ratio,
+           weather_summary FROM weather""",
+    )
+    add("replayed_batches", "", "SELECT event_id, user_id, round(value, 9) AS value, (event_id % 3)::INTEGER AS batch FROM events")
+    add(
+        "repeated_predictions",
+        "baseline",
+        """SELECT entity_id, prediction_date, round(risk_score, 9) AS risk_score, risk_category,
+             CASE WHEN nth = 1 THEN 'again' END AS model_version
+           FROM (SELECT *, dense_rank() OVER (ORDER BY prediction_date DESC) AS nth FROM baseline) WHERE nth <= 2""",
+    )
     add(
         "csv_weather_daily",
         "",

@@ -19,7 +19,7 @@ from sievewatt.operators import checks, clean, enrich, expectations, features, q
 from sievewatt.plans import layers, reports, training
 from sievewatt.config import RiskSettings, Settings
 from sievewatt.runtime import durable
-from sievewatt.sources import geo, raw, tables
+from sievewatt.sources import geo, raw, sinks, tables
 from sievewatt.streaming import checks as stream_checks
 from sievewatt.streaming import ingest
 
@@ -517,7 +517,7 @@ def csv_readings(spark, sf):
 @query
 def csv_daily(spark, sf):
     out = raw.read_daily(spark, files.daily_csv(spark, sf))
-    return out.select("household_id", "date", "energy_sum_kwh", "energy_count", "source_block")
+    return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
 @query
@@ -558,32 +558,24 @@ def optional_source(spark, sf):
 # --------------------------------------------------------------------- streams
 
 
-# Files, and with one file a trigger micro-batches, that the events come in.
-STREAM_FILES = 3
-
-
 def _event_stream(spark, sf):
     """The events table as a file stream of several micro-batches, with the same faults added."""
-    events, folder = table(spark, sf, "events"), fresh(spark, "events")
-    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
-    third = F.floor((F.col("event_id") - low) * STREAM_FILES / (high - low + 1))
-    for part in range(STREAM_FILES):  # one after the other, as they would arrive
-        events.filter(third == part).coalesce(1).write.mode("append").parquet(folder)
-    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    events = table(spark, sf, "events")
+    folder, files_per_trigger = files.stream_files(events, "event_id")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
     return inputs.dirty_rows(source)
 
 
 def _drain(df, spark, name, output_mode="append"):
-    """Run a stream until its input is used up and return the table it wrote."""
+    """Run a stream until its input is used up and return the rows it wrote."""
     target = fresh(spark, name)
 
     def number(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_batch_no", F.lit(batch_id))
-        tables.write(rows, target, mode="append", operation="stream", writer=name, batch_id=batch_id)
+        sinks.replace_parts(batch.withColumn("_batch_no", F.lit(batch_id)), target, ["_batch_no"])
 
     out = df.writeStream.outputMode(output_mode).option("checkpointLocation", fresh(spark, f"{name}-checkpoint"))
     out.foreachBatch(number).trigger(availableNow=True).start().awaitTermination()
-    return tables.read(spark, target)
+    return sinks.read_parts(spark, target)
 
 
 @query
@@ -591,7 +583,36 @@ def stream_ingest(spark, sf):
     folder, target, checkpoint = files.readings_csv(spark, sf), fresh(spark, "bronze"), fresh(spark, "checkpoint")
     for _ in range(2):  # a restart on the same checkpoint adds nothing
         ingest.write_stream(ingest.stream_readings(spark, folder, 8), target, checkpoint, trigger=None).awaitTermination()
-    return tables.read(spark, target).select("household_id", "timestamp", "energy_kwh", "source_block")
+    return sinks.read_parts(spark, target).select("household_id", "timestamp", "energy_kwh", "source_block")
+
+
+@query
+def stream_weather(spark, sf):
+    folder, target = files.weather_hourly_csv(spark, sf), fresh(spark, "bronze-weather")
+    weather = ingest.stream_weather(spark, folder, 8)
+    ingest.write_stream(weather, target, fresh(spark, "checkpoint"), "weather_streaming", trigger=None).awaitTermination()
+    return sinks.read_parts(spark, target).select("timestamp", "temperature_celsius", "humidity_ratio", "weather_summary")
+
+
+@query
+def replayed_batches(spark, sf):
+    """Events in batches, one of them written again, as after a crash between write and checkpoint."""
+    events, target = _slim(spark, sf).drop("ts"), fresh(spark, "replayed")
+    batch = F.pmod("event_id", F.lit(3)).cast("int")
+    for number in (0, 1, 1, 2, 0):
+        sinks.replace_parts(events.filter(batch == number).withColumn("batch", F.lit(number)), target, ["batch"])
+    return sinks.read_parts(spark, target)
+
+
+@query
+def repeated_predictions(spark, sf):
+    """Forecasts stored day by day, the second run of a day with one column more."""
+    target, forecast = fresh(spark, "predictions"), durable(inputs.baseline(spark, sf))
+    days = [r[0] for r in forecast.select("prediction_date").distinct().orderBy(F.desc("prediction_date")).limit(2).collect()]
+    for day, more in ((days[0], False), (days[-1], False), (days[0], True)):
+        rows = forecast.filter(F.col("prediction_date") == day)
+        sinks.replace_parts(rows.withColumn("model_version", F.lit("again")) if more else rows, target, ["prediction_date"])
+    return sinks.read_parts(spark, target)
 
 
 @query

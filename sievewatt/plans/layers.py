@@ -20,7 +20,7 @@ from sievewatt.operators.features import features, labels, training_set
 from sievewatt.operators.scoring import quality_scores, summary
 from sievewatt.operators.spatial import buildings_by_area
 from sievewatt.plans import training
-from sievewatt.sources import geo, raw, tables
+from sievewatt.sources import geo, raw, sinks, tables
 from sievewatt.streaming.ingest import stream_readings, stream_weather, write_stream
 
 READINGS = Cols()
@@ -29,6 +29,11 @@ READINGS = Cols()
 CELL_DEGREES = 0.05
 
 
+def streamed_path(path: str) -> str:
+    """Where streams put what belongs to the table at ``path``."""
+    return f"{path}_stream"
+
+
 class Run:
     """What one run read and wrote, for its audit row."""
 
@@ -52,7 +57,15 @@ class Run:
         return self.load(layer, table)
 
     def load(self, layer: str, table: str) -> DataFrame:
-        return tables.read(self.spark, self.path(layer, table))
+        """A table with what streams added to it."""
+        path = self.path(layer, table)
+        streamed = streamed_path(path)
+        if not sinks.exists(self.spark, streamed):
+            return tables.read(self.spark, path)
+        added = sinks.read_parts(self.spark, streamed)
+        if not tables.exists(self.spark, path):
+            return added
+        return tables.read(self.spark, path).unionByName(added, allowMissingColumns=True)
 
     def ingest(self, df: DataFrame, table: str, source: str, **options: Any) -> DataFrame:
         return self.save(raw.with_ingest_metadata(df, source, self.batch_id), "bronze", table, **options)
@@ -196,7 +209,7 @@ def run_stream(spark: SparkSession, settings: Settings, wait: bool = True, once:
     paths = settings.paths
     query = write_stream(
         stream_readings(spark, paths["streaming_source"], settings.max_files_per_trigger),
-        f"{paths['bronze_root'].rstrip('/')}/halfhourly_consumption",
+        streamed_path(f"{paths['bronze_root'].rstrip('/')}/halfhourly_consumption"),
         paths["streaming_checkpoint"],
         trigger=None if once else settings.trigger_interval,
     )
@@ -210,7 +223,7 @@ def run_weather_stream(spark: SparkSession, settings: Settings, wait: bool = Tru
     paths = settings.paths
     query = write_stream(
         stream_weather(spark, paths["streaming_weather"], settings.max_files_per_trigger),
-        f"{paths['bronze_root'].rstrip('/')}/weather_hourly",
+        streamed_path(f"{paths['bronze_root'].rstrip('/')}/weather_hourly"),
         paths["streaming_weather_checkpoint"],
         "weather_streaming",
         trigger=None if once else settings.trigger_interval,
@@ -252,10 +265,18 @@ def train_risk(spark: SparkSession, settings: Settings, auto_median: bool = Fals
 
 
 def predict_risk(spark: SparkSession, settings: Settings, on_date: date | str | None = None) -> DataFrame:
-    """Score one day (default: the latest) with the newest model and store the predictions."""
+    """Score one day (default: the latest) with the newest model and store the predictions.
+
+    The table keeps every day's predictions; a day that is predicted again replaces its own.
+    """
     run = Run(spark, settings)
     model, meta = training.load_model(spark, settings.risk.model_path)
     out = training.predict(
         model, risk_features(run), meta["features"], meta["model_version"], meta["importances"], on_date
     ).withColumnRenamed("entity_id", "household_id")
-    return run.save(out, "gold", "quality_risk_predictions")
+    path = run.path("gold", "quality_risk_predictions")
+    sinks.replace_parts(out, path, ["prediction_date"])
+    stored = sinks.read_parts(spark, path)
+    if on_date is None:
+        return stored.join(F.broadcast(stored.agg(F.max("prediction_date").alias("prediction_date"))), "prediction_date", "left_semi")
+    return stored.filter(F.col("prediction_date") == F.date_add(F.lit(str(on_date)).cast("date"), 1))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -62,62 +63,157 @@ def stream_dedupe(df: DataFrame, cols: Cols, watermark: str = "2 days") -> DataF
     return _event_time(df, cols).withWatermark(cols.ts, watermark).dropDuplicatesWithinWatermark([*cols.entity, cols.ts])
 
 
+# Rows of one entity that are sorted in memory at a time, and of each sorted run while runs are merged.
+RUN_ROWS = 65_536
+PIECE_ROWS = 4_096
+
+
 class _Cadence(StatefulProcessor):
-    """Keeps the latest time per entity and judges every reading as it arrives."""
+    """Keeps the latest time per entity and judges every reading in order of arrival, then of time.
+
+    Spark hands a trigger's rows of one entity over in chunks of any size and order. They are sorted in runs of
+    bounded size; only if there is more than one run do the runs go into the map state, in pieces, and are merged
+    from there piece by piece and then removed. What is in memory is one run, or one piece of each run.
+
+    With ``forget`` an event-time timer drops the latest time of an entity once the watermark has passed it.
+    """
 
-    def __init__(self, entity: Sequence[str], interval: float, tolerance: float):
+    def __init__(self, entity: Sequence[str], interval: float, tolerance: float, run_rows: int, piece_rows: int, forget: bool):
         self.entity, self.interval, self.tolerance = list(entity), interval * 6e7, tolerance * 6e7
+        self.run_rows, self.piece_rows, self.forget = run_rows, piece_rows, forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.latest = handle.getValueState("latest", "us bigint")
+        self.pieces = handle.getMapState("pieces", "run int, piece int", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues):
         latest = self.latest.get()[0] if self.latest.exists() else None
-        # Spark hands a trigger's rows of one entity over in chunks of any size and order, so they are put
-        # together first: three narrow columns of one entity and trigger, which maxFilesPerTrigger bounds.
-        # Only the order of the columns is certain here, not their names.
-        names = [*self.entity, "_us", "_arrival"]
-        whole = pd.concat([c.set_axis(names, axis=1) for c in rows], ignore_index=True)
-        whole = whole.sort_values(["_arrival", "_us"], kind="stable")
-        us = whole["_us"].astype("int64")
-        seen = us.cummax().shift(1)
-        seen = seen.fillna(-1).astype("int64") if latest is None else seen.fillna(latest).clip(lower=latest).astype("int64")
-        first = pd.Series(False, index=us.index)
-        if latest is None:
-            first.iloc[0] = True
+        before = latest
+        for us in self._in_order(rows):
+            kind, latest = self._judged(us, latest)
+            out = {name: [value] * len(us) for name, value in zip(self.entity, key, strict=True)}
+            yield pd.DataFrame({**out, "_us": us, "cadence": kind})
+        if latest is not None:
+            self.latest.update((latest,))
+        if self.forget and latest is not None and latest != before:
+            if before is not None:
+                self.handle.deleteTimer(before // 1000 + 1)
+            self.handle.registerTimer(latest // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.latest.clear()
+        return iter(())
+
+    def _in_order(self, rows) -> Iterator[np.ndarray]:
+        """The times of all rows, sorted by arrival and time, in parts."""
+        held, size, lengths = [], 0, []
+        for chunk in rows:
+            # only the order of the columns is certain here, not their names
+            held.append(chunk.iloc[:, [-2, -1]].to_numpy(np.int64))
+            size += len(chunk)
+            if size >= self.run_rows:
+                lengths.append(self._store(len(lengths), held))
+                held, size = [], 0
+        if not lengths:
+            yield from ([_sorted(held)[:, 0]] if size else [])
+            return
+        if size:
+            lengths.append(self._store(len(lengths), held))
+        yield from self._merged(lengths)
+        self.pieces.clear()
+
+    def _store(self, run: int, held: list[np.ndarray]) -> int:
+        whole = _sorted(held)
+        starts = range(0, len(whole), self.piece_rows)
+        for piece, at in enumerate(starts):
+            self.pieces.updateValue((run, piece), (whole[at : at + self.piece_rows].tobytes(),))
+        return len(starts)
+
+    def _piece(self, run: int, piece: int) -> np.ndarray:
+        return np.frombuffer(bytes(self.pieces.getValue((run, piece))[0]), np.int64).reshape(-1, 2)
+
+    def _merged(self, lengths: list[int]) -> Iterator[np.ndarray]:
+        at = [0] * len(lengths)
+        current = {run: self._piece(run, 0) for run in range(len(lengths))}
+        while current:
+            # up to the smallest end of a piece that others of its run follow, nothing is missing
+            ends = [tuple(p[-1, ::-1]) for run, p in current.items() if at[run] + 1 < lengths[run]]
+            ready = []
+            for run, p in list(current.items()):
+                n = len(p)
+                if ends:
+                    arrival, us = min(ends)
+                    n = int(((p[:, 1] < arrival) | ((p[:, 1] == arrival) & (p[:, 0] <= us))).sum())
+                ready.append(p[:n])
+                if n < len(p):
+                    current[run] = p[n:]
+                elif at[run] + 1 < lengths[run]:
+                    at[run] += 1
+                    current[run] = self._piece(run, at[run])
+                else:
+                    del current[run]
+            yield _sorted(ready)[:, 0]
+
+    def _judged(self, us: np.ndarray, latest: int | None) -> tuple[np.ndarray, int | None]:
+        """What each of the times, in order, is against the latest before it; and the latest after them."""
+        if not len(us):
+            return np.zeros(0, object), latest
+        start = us[0] if latest is None else latest
+        seen = np.maximum(np.concatenate([[start], np.maximum.accumulate(us)[:-1]]), start)
         diff = us - seen
-        kind = pd.Series("ok", index=us.index)
-        kind[(diff - self.interval).abs() > self.tolerance] = "gap"
+        kind = np.full(len(us), "ok", object)
+        kind[np.abs(diff - self.interval) > self.tolerance] = "gap"
         kind[diff == 0] = "duplicate"
         kind[diff < 0] = "late"
-        kind[first] = "ok"
-        self.latest.update((int(us.max()) if latest is None else max(latest, int(us.max())),))
-        out = whole[[*self.entity, "_us"]].copy()
-        out["cadence"] = kind
-        yield out
+        if latest is None:
+            kind[0] = "ok"
+        return kind, int(max(start, us.max()))
 
     def close(self) -> None:
         pass
 
 
-def stream_cadence(df: DataFrame, cols: Cols, interval: float = 30, tolerance: float = 1) -> DataFrame:
+def _sorted(parts: list[np.ndarray]) -> np.ndarray:
+    """Rows (time, arrival) of all parts, by arrival and time."""
+    whole = np.concatenate(parts)
+    return whole[np.lexsort((whole[:, 0], whole[:, 1]))]
+
+
+def stream_cadence(
+    df: DataFrame,
+    cols: Cols,
+    interval: float = 30,
+    tolerance: float = 1,
+    watermark: str | None = None,
+    run_rows: int = RUN_ROWS,
+    piece_rows: int = PIECE_ROWS,
+) -> DataFrame:
     """(entity, ts, cadence): each reading is ok, a gap, a duplicate or late.
 
     Compared with the latest time seen for the entity so far, in order of arrival (then of time) within
-    a micro-batch and across micro-batches, however Spark cuts them up. Needs the RocksDB state store.
+    a micro-batch and across micro-batches, however Spark cuts them up. A task holds a bounded number of rows of an
+    entity, whatever a micro-batch has of it. Needs the RocksDB state store.
+
+    State is one time per entity. With a ``watermark`` it is dropped when the watermark passes that time, and
+    Spark drops readings behind the watermark; an entity that comes back later starts anew.
     """
     # The worker in which Spark sets up the state gets no shipped files, so the processor travels by value.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     arrival = cols.arrival if cols.arrival in df.columns else cols.ts
     rank = micros(arrival) if "timestamp" in dict(df.dtypes)[arrival] else F.col(arrival).cast("long")
-    slim = df.filter(F.col(cols.ts).isNotNull()).select(*cols.entity, micros(cols.ts).alias("_us"), rank.alias("_arrival"))
+    timed = df.filter(F.col(cols.ts).isNotNull())
+    slim = timed.select(*cols.entity, micros(cols.ts).alias("_us"), rank.alias("_arrival"))
+    if watermark:
+        marked = _event_time(timed, cols).withWatermark(cols.ts, watermark)
+        slim = marked.select(*cols.entity, F.col(cols.ts).alias("_at"), micros(cols.ts).alias("_us"), rank.alias("_arrival"))
     kinds = dict(slim.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in cols.entity) + ", _us bigint, cadence string"
     judged = slim.groupBy(*cols.entity).transformWithStateInPandas(
-        statefulProcessor=_Cadence(cols.entity, interval, tolerance),
+        statefulProcessor=_Cadence(cols.entity, interval, tolerance, run_rows, piece_rows, watermark is not None),
         outputStructType=schema,
         outputMode="Append",
-        timeMode="None",
+        timeMode="EventTime" if watermark else "None",
     )
     at = F.timestamp_micros("_us").cast(df.schema[cols.ts].dataType)
     return judged.select(*cols.entity, at.alias(cols.ts), "cadence")

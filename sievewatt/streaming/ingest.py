@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sievewatt.functions.columns import parse_time
-from sievewatt.sources import tables
+from sievewatt.sources import sinks
 from sievewatt.sources.raw import READING_SCHEMA, WEATHER_HOURLY_NUMBERS, WEATHER_HOURLY_TEXTS, select_readings
 
 WEATHER_STREAM_SCHEMA = T.StructType(
@@ -46,20 +46,20 @@ def _csv_stream(spark: SparkSession, folder: str, schema: T.StructType, max_file
     )
 
 
-def with_stream_metadata(df: DataFrame, source: str, batch_id: int) -> DataFrame:
-    """The columns the batch path adds, so that both fill one bronze table."""
+def with_stream_metadata(df: DataFrame, source: str, batch: str) -> DataFrame:
+    """The columns the batch path adds, so that both have one bronze schema."""
     return df.withColumns(
         {
             "_ingestion_timestamp": F.current_timestamp(),
             "_source": F.lit(source),
-            "_batch_id": F.lit(f"stream-{batch_id}"),
+            "_batch_id": F.lit(batch),
         }
     )
 
 
 def write_stream(
     df: DataFrame,
-    table: str,
+    folder: str,
     checkpoint: str,
     source: str = "halfhourly_streaming",
     trigger: str | None = "30 seconds",
@@ -67,18 +67,17 @@ def write_stream(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     output_mode: str = "append",
 ) -> StreamingQuery:
-    """Append every micro-batch to a versioned table.
+    """Write every micro-batch into its own partition ``_batch_id`` of a Parquet folder.
 
-    The table's log remembers (writer, batch), so a batch that is run again after a crash between
-    write and checkpoint adds nothing. ``writer`` must stay the same across restarts and defaults to
-    the checkpoint folder. ``trigger=None`` processes what is there and stops.
+    A batch that is run again after a crash between write and checkpoint replaces its own partition. ``writer``
+    names the partitions, must stay the same across restarts and defaults to the checkpoint folder.
+    ``trigger=None`` processes what is there and stops.
     """
     name = writer or checkpoint
 
     def save(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
-        rows = with_stream_metadata(rows, source, batch_id)
-        tables.write(rows, table, mode="append", merge=True, operation="stream", writer=name, batch_id=batch_id)
+        sinks.replace_parts(with_stream_metadata(rows, source, sinks.batch_name(name, batch_id)), folder, ["_batch_id"])
 
     out = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(save)
     out = out.trigger(availableNow=True) if trigger is None else out.trigger(processingTime=trigger)

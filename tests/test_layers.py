@@ -6,7 +6,7 @@ import pytest
 from sievewatt.config import RiskSettings, Settings
 from sievewatt.governance import audit
 from sievewatt.plans import layers
-from sievewatt.sources import tables
+from sievewatt.sources import sinks, tables
 
 HOUSES = ["H1", "H2", "H3", "H4"]
 DAYS = 12
@@ -124,15 +124,18 @@ def test_train_and_predict(spark, lake):
     assert {str(r["prediction_date"]) for r in out.collect()} == {"2013-01-13"}
     earlier = layers.predict_risk(spark, lake, "2013-01-05")
     assert {str(r["prediction_date"]) for r in earlier.collect()} == {"2013-01-06"}
+    layers.predict_risk(spark, lake, "2013-01-05")
+    stored = sinks.read_parts(spark, lake.paths["gold_root"] + "/quality_risk_predictions")
+    assert stored.count() == 2 * len(HOUSES)
 
 
 def test_stream_run_appends_to_bronze(spark, lake):
     before = gold(spark, lake, "halfhourly_consumption", "bronze").count()
     put(lake.paths["streaming_source"], "block_9.csv", "LCLid,tstp,energy(kWh/hh)\nH9,2013-02-01 00:00:00.0000000,1.0\n")
     layers.run_stream(spark, lake, once=True)
-    bronze = gold(spark, lake, "halfhourly_consumption", "bronze")
+    bronze = layers.Run(spark, lake).load("bronze", "halfhourly_consumption")
     assert bronze.count() == before + 1
     put(lake.paths["streaming_weather"], "w.csv", "time,temperature,apparentTemperature,humidity,pressure,windSpeed,windBearing,visibility,dewPoint,precipType,icon,summary\n2013-02-01 00:00:00,1.5,1,0.5,1000,2,3,4,5,rain,i,s\n")
     layers.run_weather_stream(spark, lake, once=True)
-    assert gold(spark, lake, "weather_hourly", "bronze").filter("_source = 'weather_streaming'").count() == 1
+    assert layers.Run(spark, lake).load("bronze", "weather_hourly").filter("_source = 'weather_streaming'").count() == 1
     assert bronze.filter("household_id = 'H9'").first()["source_block"] == "9"

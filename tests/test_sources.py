@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sievewatt.functions import geometry as G
 from sievewatt.operators import spatial
-from sievewatt.sources import geo, raw, tables
+from sievewatt.sources import geo, raw, sinks
 from sievewatt.streaming import ingest
 
 OSM = """<?xml version="1.0"?><osm>
@@ -79,11 +79,11 @@ def test_stream_equals_batch_and_restarts_cleanly(spark, folder):
     put(src, "block_1.csv", block("A,2012-10-12 00:30:00.0000000,0.5", "A,2012-10-12 01:00:00.0000000,Null"))
     for _ in range(2):
         ingest.write_stream(ingest.stream_readings(spark, src), target, check, trigger=None).awaitTermination()
-    assert tables.read(spark, target).count() == 2
+    assert sinks.read_parts(spark, target).count() == 2
     put(src, "block_2.csv", block("B,2012-10-12 00:30:00.0000000,1.5"))
     ingest.write_stream(ingest.stream_readings(spark, src, 1), target, check, trigger=None).awaitTermination()
     columns = ["household_id", "timestamp", "energy_kwh", "source_block"]
-    streamed = tables.read(spark, target).select(columns).collect()
+    streamed = sinks.read_parts(spark, target).select(columns).collect()
     batch = raw.read_readings(spark, src).select(columns).collect()
     assert sorted(map(repr, streamed)) == sorted(map(repr, batch))
 
@@ -96,7 +96,20 @@ def test_replayed_stream_batch_is_not_written_twice(spark, folder):
         ingest.write_stream(
             ingest.stream_readings(spark, src), target, folder + check, trigger=None, writer="meter-feed"
         ).awaitTermination()
-    assert tables.read(spark, target).count() == 1
+    assert sinks.read_parts(spark, target).count() == 1
+
+
+def test_a_part_written_again_replaces_itself(spark, folder):
+    rows = lambda *r: spark.createDataFrame(r, "day date, id long")
+    one, two = date(2012, 1, 1), date(2012, 1, 2)
+    path = folder + "/parts"
+    assert not sinks.exists(spark, path)
+    assert sinks.replace_parts(rows((one, 1), (one, 2), (two, 3)), path, ["day"]) == 3
+    assert sinks.replace_parts(rows((one, 4)).withColumn("note", F.lit("later")), path, ["day"]) == 1
+    assert sinks.replace_parts(rows().limit(0), path, ["day"]) == 0
+    got = sorted((r["day"], r["id"], r["note"]) for r in sinks.read_parts(spark, path).collect())
+    assert got == [(one, 4, "later"), (two, 3, None)] and sinks.exists(spark, path)
+    assert sinks.batch_name("a", 1) != sinks.batch_name("b", 1)
 
 
 def test_weather_stream(spark, folder):
@@ -104,7 +117,7 @@ def test_weather_stream(spark, folder):
     put(src, "a.csv", "time,temperature,apparentTemperature,humidity,pressure,windSpeed,windBearing,visibility,dewPoint,precipType,icon,summary\n"
         "2012-01-01 05:00:00,1.5,1,0.5,1000,2,3,4,5,rain,i,s\n")
     ingest.write_stream(ingest.stream_weather(spark, src), folder + "/t", folder + "/c", "weather", trigger=None).awaitTermination()
-    row = tables.read(spark, folder + "/t").first()
+    row = sinks.read_parts(spark, folder + "/t").first()
     assert (row["timestamp"], row["temperature_celsius"], row["_source"]) == (datetime(2012, 1, 1, 5), 1.5, "weather")
 
 
