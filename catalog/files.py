@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import dirty, fresh, households, table, weather
 from sievewatt.functions import geometry as G
+from sievewatt.sources import raw
 
 # Users' blocks as households name them, events in one file of readings, and users in one file of daily sums.
 BLOCKS = 16
@@ -104,15 +105,16 @@ def _csv(df: DataFrame, name: str) -> str:
 
 
 def weather_hourly_csv(spark: SparkSession, sf: str) -> str:
-    w = weather(spark, sf)
-    gaps = ["apparentTemperature", "pressure", "windSpeed", "windBearing", "visibility", "dewPoint", "precipType", "icon"]
+    known = {
+        "temperature": F.col("temperature_celsius"),
+        "humidity": F.col("humidity_ratio"),
+        "summary": F.col("weather_summary"),
+    }
+    columns = [*raw.WEATHER_HOURLY_NUMBERS, *raw.WEATHER_HOURLY_TEXTS]
     return _csv(
-        w.select(
+        weather(spark, sf).select(
             F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("time"),
-            F.col("temperature_celsius").alias("temperature"),
-            F.col("humidity_ratio").alias("humidity"),
-            F.col("weather_summary").alias("summary"),
-            *[F.lit(None).cast("string").alias(c) for c in gaps],
+            *[known.get(c, F.lit(None).cast("string")).alias(c) for c in columns],
         ),
         "weather-hourly",
     )

@@ -41,6 +41,8 @@ def _csv_stream(spark: SparkSession, folder: str, schema: T.StructType, max_file
         spark.readStream.option("header", True)
         .option("maxFilesPerTrigger", max_files)
         .option("pathGlobFilter", "*.csv")
+        # a file whose header names other columns, or the same in another order, is an error
+        .option("enforceSchema", False)
         .schema(schema)
         .csv(folder)
     )
