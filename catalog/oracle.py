@@ -653,11 +653,34 @@ def oracle_sql() -> dict[str, str]:
         "train_test_split",
         "labels",
         """SELECT entity_id, score_date, target, CASE WHEN place <= floor(n * 0.8 + 1e-9) THEN 1 ELSE 0 END AS is_train
-        FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY h % 1024, h, entity_id, score_date) AS place,
+        FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY h, entity_id, score_date) AS place,
                 count(*) OVER (PARTITION BY target) AS n
               FROM (SELECT entity_id, score_date, target,
                       ('0x' || substr(md5('42|' || entity_id || '|' || CAST(score_date AS VARCHAR)), 1, 12))::BIGINT AS h FROM labels))""",
     )
+    add(
+        "time_split",
+        "labels",
+        """SELECT entity_id, score_date, target, CASE WHEN score_date >= edge THEN 'test' WHEN score_date > edge - 3 THEN 'gap' ELSE 'train' END AS part
+        FROM labels, (SELECT min(score_date) AS edge FROM (
+          SELECT score_date, sum(count(*)) OVER (ORDER BY score_date) - count(*) AS before, sum(count(*)) OVER () AS n FROM labels GROUP BY 1)
+          WHERE before >= 0.8 * n)""",
+    )
+    add(
+        "ranking_metrics",
+        "judged",
+        """SELECT positives, negatives, round(auc, 9) AS auc, round(average_precision, 9) AS average_precision FROM
+          (SELECT count(*) FILTER (target = 1) AS positives, count(*) FILTER (target = 0) AS negatives FROM judged),
+          (SELECT avg(CASE WHEN p.risk_score > q.risk_score THEN 1 WHEN p.risk_score = q.risk_score THEN 0.5 ELSE 0 END::DOUBLE) AS auc
+           FROM judged p JOIN judged q ON p.target = 1 AND q.target = 0),
+          (SELECT avg(share) AS average_precision FROM (SELECT target, avg(target) OVER (ORDER BY risk_score DESC) AS share FROM judged) WHERE target = 1)""",
+    )
+    add(
+        "predicted_days",
+        "feature_rows",
+        """SELECT entity_id, score_date + 1 AS prediction_date, true AS fits FROM feature_rows
+        WHERE score_date IN ((SELECT max(score_date) FROM feature_rows), (SELECT min(score_date) FROM feature_rows))""",
+    )
     add(
         "class_weights",
         "labels",

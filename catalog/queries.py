@@ -377,6 +377,17 @@ def train_test_split(spark, sf):
     return quantiles.stratified_split(rows, "target", features.KEYS, RISK.train_fraction, RISK.seed)
 
 
+@query
+def time_split(spark, sf):
+    rows = inputs.label_rows(spark, sf).select("entity_id", "score_date", "target")
+    return training.time_parts(durable(rows), RISK.train_fraction, 3)
+
+
+@query
+def ranking_metrics(spark, sf):
+    return training.ranking(durable(inputs.judged(spark, sf)))
+
+
 @query
 def class_weights(spark, sf):
     return training.class_weights(inputs.label_rows(spark, sf))
@@ -415,6 +426,19 @@ def risk_predictions(spark, sf):
     return out.drop("top_features")
 
 
+@query
+def predicted_days(spark, sf):
+    """Whom and which day the newest model and an earlier day's run score, and whether all scores are in their
+    category; the scores themselves have no counterpart in SQL."""
+    model, numbers, _ = _trained(spark, sf, RiskSettings(model_type="logistic_regression"))
+    rows = durable(inputs.feature_rows(spark, sf))
+    runs = [training.predict(model, rows, numbers, on_date=d) for d in (None, rows.agg(F.min("score_date")).first()[0])]
+    score, category = F.col("risk_score"), F.col("risk_category")
+    low, high = score < 0.3, score >= 0.7
+    fits = F.when(low, category == "low").when(high, category == "high").otherwise(category == "medium")
+    return runs[0].unionByName(runs[1]).select("entity_id", "prediction_date", (score.between(0, 1) & fits).alias("fits"))
+
+
 @query
 def model_evaluation(spark, sf):
     model, numbers, test_rows = _trained(spark, sf, RiskSettings(model_type="logistic_regression"))

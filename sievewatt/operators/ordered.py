@@ -16,24 +16,26 @@ from sievewatt.operators.skew import Slices, join_null_safe, with_slice
 from sievewatt.runtime import durable
 
 
-def row_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """``df`` and each row's number in ``order``, from 0 without gaps, the same however the rows are partitioned.
+def running_totals(df: DataFrame, order: Sequence[str | Column], totals: dict[str, str]) -> DataFrame:
+    """``df`` and, for each column and name in ``totals``, the sum of the column over all rows before, in ``order``.
 
-    The rows are sorted over all tasks and written once; each task then numbers its own range, and a range starts
-    where the ones before it end. Only rows that are equal in ``order`` share a range for certain.
+    The rows are sorted over all tasks and written once; each task then adds up its own range, and a range starts
+    with the sums of the ones before it. Only rows that are equal in ``order`` share a range for certain.
     """
     sorted_rows = durable(df.orderBy(*order).withColumn("_range", F.spark_partition_id()))
     # one row per task
-    counts = sorted_rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-    return (
-        sorted_rows.withColumn("_at", inside)
-        .join(F.broadcast(starts), "_range")
-        .withColumn(name, (F.col("_start") + F.col("_at")).cast("long"))
-        .drop("_range", "_at", "_start")
-    )
+    per_range = sorted_rows.groupBy("_range").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_range.select("_range", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in totals])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = sorted_rows.withColumns({f"_{c}_in": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in totals})
+    out = out.join(F.broadcast(starts), "_range").withColumns({name: F.col(f"_{c}") + F.col(f"_{c}_in") for c, name in totals.items()})
+    return out.drop("_range", *[f"_{c}" for c in totals], *[f"_{c}_in" for c in totals])
+
+
+def row_numbers(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` and each row's number in ``order``, from 0 without gaps, the same however the rows are partitioned."""
+    return running_totals(df.withColumn("_one", F.lit(1).cast("long")), order, {"_one": name}).drop("_one")
 
 
 def previous_value(

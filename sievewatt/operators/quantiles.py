@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Rows of one bucket of a split, and the number of different hashes that the buckets are ranges of.
+ROWS_PER_BUCKET = 50_000
+HASHES = 1 << 48
+
+
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], step: float = 0.05) -> DataFrame:
     """(prob, value): quantiles with linear interpolation between neighbouring ranks.
 
@@ -56,17 +61,19 @@ def stratified_split(
     keys: Sequence[str],
     train_fraction: float = 0.8,
     seed: int = 42,
-    buckets: int = 1024,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add ``is_train``: exactly the wanted share of every class, the same on every run.
 
     Rows are ranked by a hash of their key. The rank is the number of rows in lower hash buckets plus
-    the place within the bucket, so a class never has to be sorted as a whole. A class with fewer
+    the place within the bucket, so a class never has to be sorted as a whole. Buckets are ranges of the
+    hash; their number follows the number of rows and does not change the ranks. A class with fewer
     than two rows is put in training.
     """
+    buckets = df.count() // rows_per_bucket + 1
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
     spot = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
-    rows = df.withColumn("_h", spot).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)).cast("int"))
+    rows = df.withColumn("_h", spot).withColumn("_b", F.floor(F.col("_h") / F.lit(float(HASHES)) * buckets).cast("int"))
     # At most classes x buckets rows.
     sizes = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     by_label = Window.partitionBy(label)

@@ -9,16 +9,16 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievewatt.config import RiskSettings
 from sievewatt.functions.columns import risk_category
 from sievewatt.operators.checks import DAY
 from sievewatt.operators.features import KEYS, feature_columns
+from sievewatt.operators.ordered import running_totals
 from sievewatt.operators.quantiles import stratified_split
 from sievewatt.runtime import scratch_path
 from sievewatt.sources import tables
@@ -36,10 +36,32 @@ def split(df: DataFrame, cfg: RiskSettings = RiskSettings()) -> tuple[DataFrame,
     )
 
 
-def split_by_time(df: DataFrame, first_test_day: date | str) -> tuple[DataFrame, DataFrame]:
-    """Everything before a day for training, the rest for testing."""
-    edge = F.lit(str(first_test_day)).cast("date")
-    return df.filter(F.col(DAY) < edge), df.filter(F.col(DAY) >= edge)
+def time_parts(df: DataFrame, train_fraction: float = 0.8, horizon_days: int = 1) -> DataFrame:
+    """``df`` with ``part``: train, gap or test, by day.
+
+    The first test day is the earliest one before which there are at least ``train_fraction`` of all rows that have
+    a day. Rows less than ``horizon_days`` before it are the gap: their labels come from test days. Rows without a
+    day are in no part.
+    """
+    per_day = df.filter(F.col(DAY).isNotNull()).groupBy(DAY).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per day
+    earlier = Window.orderBy(DAY).rowsBetween(Window.unboundedPreceding, -1)
+    days = per_day.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    enough = F.col("_before") >= F.lit(train_fraction) * F.sum("_n").over(Window.partitionBy()) - 1e-9
+    edge = days.select(DAY, enough.alias("_enough")).agg(F.min(F.when(F.col("_enough"), F.col(DAY))).alias("_edge"))
+    since = F.datediff(DAY, "_edge")
+    # no day has that many rows before it: all of them are for training
+    part = (
+        F.when(F.col(DAY).isNull(), None).when(F.col("_edge").isNull(), "train")
+        .when(since >= 0, "test").when(since > -horizon_days, "gap").otherwise("train")
+    )
+    return df.join(F.broadcast(edge)).withColumn("part", part).drop("_edge")
+
+
+def split_by_time(df: DataFrame, train_fraction: float = 0.8, horizon_days: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Earlier days for training and later ones for testing, with a gap of the horizon between them."""
+    marked = time_parts(df, train_fraction, horizon_days)
+    return tuple(marked.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
 
 
 def class_weights(df: DataFrame, label: str = "target") -> DataFrame:
@@ -166,15 +188,45 @@ def calibration(df: DataFrame, label: str = "target", score: str = "risk_score",
     )
 
 
+def ranking(df: DataFrame, label: str = "target", score: str = "risk_score") -> DataFrame:
+    """(positives, negatives, auc, average_precision), exact, one row.
+
+    Rows are counted per score and label first; then the scores are gone through from the highest on, with running
+    counts carried from one range of scores to the next, so no task sorts them all. Equal scores are one step: a pair
+    of them counts half in the AUC, and precision is taken after all of them. With one class only the AUC is 0.5,
+    and the average precision 0 without positives; rows without a score or a label do not count.
+    """
+    known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    counts = known.groupBy(F.col(score).cast("double").alias("_score")).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg")
+    )
+    steps = running_totals(counts, [F.desc("_score")], {"_pos": "_pos_above", "_neg": "_neg_above"})
+    above, below = F.col("_pos_above") + F.col("_pos"), F.col("_neg_above") + F.col("_neg")
+    sums = steps.agg(
+        F.coalesce(F.sum("_pos"), F.lit(0)).alias("positives"),
+        F.coalesce(F.sum("_neg"), F.lit(0)).alias("negatives"),
+        F.sum(F.col("_neg") * (2 * F.col("_pos_above") + F.col("_pos"))).alias("_pairs"),
+        F.sum(F.col("_pos") * (above / (above + below))).alias("_precision"),
+    )
+    pairs = F.col("positives").cast("double") * F.col("negatives") * 2
+    return sums.select(
+        "positives",
+        "negatives",
+        F.coalesce(F.try_divide(F.col("_pairs"), pairs), F.lit(0.5)).alias("auc"),
+        F.coalesce(F.try_divide(F.col("_precision"), F.col("positives")), F.lit(0.0)).alias("average_precision"),
+    )
+
+
 def evaluate(df: DataFrame, label: str = "target", score: str = "risk_score") -> dict[str, Any]:
-    """AUC (0.5 if there is one class only), F1 at 0.5 and the report per class."""
+    """AUC (0.5 if there is one class only), average precision, F1 at 0.5 and the report per class."""
     report = {r["class"]: r.asDict() for r in class_report(df, label, score).collect()}
-    one_class = report[0]["support"] == 0 or report[1]["support"] == 0
-    auc = 0.5
-    if not one_class:
-        judged = df.select(F.col(label).cast("double").alias("label"), F.col(score).alias("rawPrediction"))
-        auc = BinaryClassificationEvaluator(metricName="areaUnderROC").evaluate(judged)
-    return {"auc": float(auc), "f1": float(report[1]["f1"]), "report": report}
+    ranked = ranking(df, label, score).first()
+    return {
+        "auc": float(ranked["auc"]),
+        "average_precision": float(ranked["average_precision"]),
+        "f1": float(report[1]["f1"]),
+        "report": report,
+    }
 
 
 def importances(model: PipelineModel, numbers: Sequence[str]) -> dict[str, float]:

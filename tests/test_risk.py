@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -182,3 +183,36 @@ def test_settings_from_nested_config():
     assert s.scoring.low_quality_threshold == 60.0
     assert s.risk.model_type == "logistic_regression" and s.risk.horizon_days == 2
     assert s.max_files_per_trigger == 3
+
+
+def test_ranking_matches_plain_pairs(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([0.0, 0.25, 0.5, rng.random()]), rng.random() < 0.3) for _ in range(400)]
+    df = spark.createDataFrame([(s, int(t)) for s, t in rows] + [(None, 1), (0.5, None)], "risk_score double, target int").repartition(6)
+    got = training.ranking(df).first()
+    pos, neg = [s for s, t in rows if t], [s for s, t in rows if not t]
+    auc = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+    share = [sum(t for s, t in rows if s >= p) / sum(s >= p for s, _ in rows) for p in pos]
+    assert (got["positives"], got["negatives"]) == (len(pos), len(neg))
+    assert abs(got["auc"] - auc) < 1e-12 and abs(got["average_precision"] - sum(share) / len(pos)) < 1e-12
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    judged = df.dropna().select(F.col("target").cast("double").alias("label"), F.col("risk_score").alias("rawPrediction"))
+    assert abs(BinaryClassificationEvaluator().evaluate(judged) - auc) < 1e-9
+    assert training.ranking(df.limit(0)).first().asDict() == {"positives": 0, "negatives": 0, "auc": 0.5, "average_precision": 0.0}
+
+
+def test_time_split_leaves_a_gap(spark):
+    rows = [(f"e{i}", date(2024, 1, 1 + d), 0) for d in range(10) for i in range(3)] + [("e0", None, 1)]
+    df = spark.createDataFrame(rows, "entity_id string, score_date date, target int")
+    parts = {(r["score_date"].day if r["score_date"] else None): r["part"] for r in training.time_parts(df, 0.7, 2).collect()}
+    assert parts == {None: None, **{d: "train" for d in range(1, 7)}, 7: "gap", **{d: "test" for d in range(8, 11)}}
+    train_rows, test_rows = training.split_by_time(df, 0.7, 2)
+    assert (train_rows.count(), test_rows.count()) == (18, 9)
+    assert {r["part"] for r in training.time_parts(df.filter("score_date < '2024-01-02'"), 0.7).collect()} == {"train"}
+
+
+def test_split_does_not_depend_on_buckets(spark):
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 3 == 0).cast("int").alias("target"))
+    one, many = ({r["k"] for r in stratified_split(df, "target", ["k"], 0.8, 42, n).filter("is_train = 1").collect()} for n in (10_000, 7))
+    assert one == many and len(one) == int(167 * 0.8) + int(333 * 0.8)
