@@ -124,7 +124,7 @@ part(
 part(
     "judged_rows",
     "dirty entity_stats",
-    """SELECT d.*, coalesce(value < 0, false) AS neg, coalesce(value > 100, false) AS over,
+    """SELECT d.*, mean_value, std_value, coalesce(value < 0, false) AS neg, coalesce(value > 100, false) AS over,
        coalesce(std_value > 0 AND abs((value - mean_value) / std_value) > 3, false) AS spike,
        d.ts IS NULL AS no_ts, coalesce(NOT value BETWEEN 0 AND 400, true) AS out_range,
        event_type NOT IN ('view', 'click', 'signup', 'purchase', 'error') AS bad_type
@@ -169,23 +169,27 @@ def _incidents(every: bool) -> str:
         return one.format(cond) if one else ""
 
     rows = "SELECT user_id, ts AS incident_timestamp, CAST(ts AS DATE) AS score_date"
+    number = "round({}, 8)::DOUBLE::VARCHAR".format
+    minutes = number("date_diff('microsecond', prev_ts, ts) / 60000000::DOUBLE")
+    z = number("(value - mean_value) / std_value")
     families = [
-        f"{rows}, 'temporal_gap', 'warning' FROM flags WHERE is_gap = 1",
-        f"{rows}, 'temporal_duplicate', 'warning' FROM flags WHERE is_dup = 1",
-        f"{rows}, 'temporal_out_of_order', 'warning' FROM flags WHERE is_late = 1 {unless('is_gap = 1 OR is_dup = 1')}",
-        f"{rows}, 'business_negative_consumption', 'critical' FROM judged_rows WHERE neg",
-        f"{rows}, 'business_above_max', 'warning' FROM judged_rows WHERE over {unless('neg')}",
-        f"{rows}, 'business_extreme_spike', 'warning' FROM judged_rows WHERE spike {unless('neg OR over')}",
-        f"{rows}, 'schema_null_timestamp', 'warning' FROM judged_rows WHERE no_ts",
-        f"{rows}, 'schema_out_of_range', 'warning' FROM judged_rows WHERE out_range {unless('no_ts')}",
-        f"{rows}, 'schema_invalid_event_type', 'warning' FROM judged_rows WHERE bad_type {unless('no_ts OR out_range')}",
+        f"{rows}, 'temporal_gap', 'warning', {minutes} || '||' FROM flags WHERE is_gap = 1",
+        f"{rows}, 'temporal_duplicate', 'warning', '|duplicate|' FROM flags WHERE is_dup = 1",
+        f"{rows}, 'temporal_out_of_order', 'warning', '||out_of_order' FROM flags WHERE is_late = 1 {unless('is_gap = 1 OR is_dup = 1')}",
+        f"{rows}, 'business_negative_consumption', 'critical', {number('value')} || '||' FROM judged_rows WHERE neg",
+        f"{rows}, 'business_above_max', 'warning', '|' || {number('value')} || '|' FROM judged_rows WHERE over {unless('neg')}",
+        f"{rows}, 'business_extreme_spike', 'warning', '||' || {z} FROM judged_rows WHERE spike {unless('neg OR over')}",
+        f"{rows}, 'schema_null_timestamp', 'warning', 'schema_violation' FROM judged_rows WHERE no_ts",
+        f"{rows}, 'schema_out_of_range', 'warning', 'schema_violation' FROM judged_rows WHERE out_range {unless('no_ts')}",
+        f"{rows}, 'schema_invalid_event_type', 'warning', 'schema_violation' FROM judged_rows WHERE bad_type {unless('no_ts OR out_range')}",
     ]
-    day = """SELECT user_id, CAST(score_date AS TIMESTAMP) AS incident_timestamp, score_date, 'completeness_high_missing_rate' AS rule_name,
-       CASE WHEN 1 - actual_records / 3.0::DOUBLE > 0.25 THEN 'critical' ELSE 'warning' END AS severity
+    day = f"""SELECT user_id, CAST(score_date AS TIMESTAMP) AS incident_timestamp, score_date, 'completeness_high_missing_rate' AS rule_name,
+       CASE WHEN 1 - actual_records / 3.0::DOUBLE > 0.25 THEN 'critical' ELSE 'warning' END AS severity,
+       {number('actual_records')} || '|3.0|' || {number('(1 - actual_records / 3.0::DOUBLE) * 100')} AS evidence
     FROM daily WHERE 1 - actual_records / 3.0::DOUBLE > 0.10"""
     union = " UNION ALL ".join([day, *families])
-    return f"""SELECT DISTINCT CAST(user_id AS VARCHAR) AS entity_id, score_date, incident_timestamp, rule_name, severity
-    FROM ({union})"""
+    return f"""SELECT CAST(user_id AS VARCHAR) AS entity_id, score_date, incident_timestamp, rule_name, severity, min(evidence) AS evidence
+    FROM ({union}) GROUP BY ALL"""
 
 
 part("incidents", "daily flags judged_rows", _incidents(False))
@@ -367,7 +371,7 @@ def oracle_sql() -> dict[str, str]:
         "joined_enriched",
         "weathered households",
         """SELECT w.user_id, ts, round(value, 9) AS value, acorn_group, round(temperature_celsius, 9) AS temperature_celsius
-        FROM weathered w LEFT JOIN households h ON w.user_id = h.user_id WHERE ts IS NOT NULL""",
+        FROM weathered w LEFT JOIN households h ON w.user_id = h.user_id""",
     )
 
     # checks

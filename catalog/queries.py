@@ -96,9 +96,7 @@ def consumption_analytics(spark, sf):
 
 @query
 def joined_enriched(spark, sf):
-    timed = F.col("ts").isNotNull()
-    household = _household_enriched(spark, sf).filter(timed)
-    return enrich.join_enriched(household, inputs.readings_with_weather(spark, sf).filter(timed), COLS).select(
+    return enrich.join_enriched(_household_enriched(spark, sf), inputs.readings_with_weather(spark, sf), COLS).select(
         "user_id", "ts", "value", "acorn_group", "temperature_celsius"
     )
 
@@ -148,14 +146,20 @@ def schema_metrics(spark, sf):
     return checks.schema_validity(dirty(spark, sf), COLS, CHECKS.enums, CHECKS.value_range)[0]
 
 
+def _plain_evidence(found: DataFrame) -> DataFrame:
+    """Numbers in the evidence to eight places, as the SQL side writes them."""
+    plain = F.transform(F.split("evidence", "[|]"), lambda t: F.coalesce(F.round(t.try_cast("double"), 8).cast("string"), t))
+    return found.withColumn("evidence", F.array_join(plain, "|"))
+
+
 @query
 def incidents_all(spark, sf):
-    return inputs.incidents(spark, sf).drop("evidence")
+    return _plain_evidence(inputs.incidents(spark, sf))
 
 
 @query
 def incidents_every_rule(spark, sf):
-    return inputs.incidents(spark, sf, all_rules=True).drop("evidence")
+    return _plain_evidence(inputs.incidents(spark, sf, all_rules=True))
 
 
 @query

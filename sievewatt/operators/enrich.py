@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sievewatt.config import Cols
 from sievewatt.functions.columns import number
 from sievewatt.operators.clean import dedupe, standardise
-from sievewatt.operators.skew import lookup_join
+from sievewatt.operators.skew import join_null_safe, lookup_join
 
 # The weather columns that readings are enriched with.
 WEATHER_COLUMNS = [
@@ -58,10 +58,10 @@ def enrich_hourly(
 
 
 def join_enriched(household: DataFrame, weather: DataFrame, cols: Cols, columns: Sequence[str] = WEATHER_COLUMNS) -> DataFrame:
-    """Put the two enriched tables side by side; both are unique on entity and time."""
+    """Put the two enriched tables side by side; both are unique on entity and time, a missing time included."""
     keys = [*cols.entity, cols.ts]
     extra = [c for c in columns if c in weather.columns and c not in household.columns]
-    return household.join(weather.select(*keys, *extra), keys, "left")
+    return join_null_safe(household, weather.select(*keys, *extra), keys, "left")
 
 
 def consumption_analytics(
