@@ -40,8 +40,8 @@ LEAST = 5000
 SAMPLE = 16_384
 STEPS = 8
 # Candidates and queries in one block; queries whose products are made at a time.
-BLOCK = 2048
-QUERY_BLOCK = 2048
+BLOCK = 8192
+QUERY_BLOCK = 4096
 AT_ONCE = 128
 # Queries whose cells one task finds.
 ROUTED = 256
