@@ -11,7 +11,6 @@ import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from sievewatt.runtime import counted
 
@@ -29,12 +28,10 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.option("mergeSchema", True).parquet(path).columns)
-    except AnalysisException as err:
-        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    """Has any partition been written?"""
+    parts = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*=*")
+    found = parts.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(parts)
+    return bool(found) and len(found) > 0
 
 
 def batch_name(writer: str, batch_id: int) -> str:
