@@ -12,11 +12,12 @@ def part(name: str, needs: str, sql: str) -> None:
     PARTS[name] = (needs.split(), sql)
 
 
-def build(needs: str, sql: str) -> str:
+def build(needs: str, sql: str, **other: str) -> str:
+    """The query behind the parts it needs; ``other`` gives parts another SQL that needs no parts."""
     order: list[str] = []
 
     def visit(name: str) -> None:
-        for dep in PARTS[name][0]:
+        for dep in () if name in other else PARTS[name][0]:
             visit(dep)
         if name not in order:
             order.append(name)
@@ -25,7 +26,7 @@ def build(needs: str, sql: str) -> str:
         visit(name)
     if not order:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({PARTS[n][1]})" for n in order) + "\n" + sql
+    return "WITH " + ",\n".join(f"{n} AS ({other.get(n) or PARTS[n][1]})" for n in order) + "\n" + sql
 
 
 # ---------------------------------------------------------------------- inputs
@@ -309,6 +310,87 @@ part(
     FROM keyed JOIN labels USING (entity_id, score_date)""",
 )
 
+# ------------------------------------------------------------------ whole runs
+
+# The lake holds seconds, and all readings of a run arrive at one time.
+part(
+    "lake_copies",
+    "dirty",
+    """SELECT *, count(*) AS n, row_number() OVER (PARTITION BY user_id, ts ORDER BY value NULLS FIRST, block) AS place
+    FROM (SELECT user_id, date_trunc('second', ts) AS ts, value, CAST(event_id // 1000 AS VARCHAR) AS block FROM dirty)
+    GROUP BY user_id, ts, value, block""",
+)
+part(
+    "lake_filled",
+    "lake_copies",
+    """SELECT user_id, ts, coalesce(value, avg(value) OVER (
+           PARTITION BY user_id ORDER BY ts NULLS FIRST ROWS BETWEEN 48 PRECEDING AND CURRENT ROW)) AS value
+    FROM lake_copies WHERE place = 1 AND (value IS NULL OR value BETWEEN 0 AND 100)""",
+)
+part("lake_clean", "lake_filled", "SELECT * FROM lake_filled WHERE value IS NOT NULL")
+
+_LAKE_SOURCES = {
+    "bronze/household_info": "customer",
+    "bronze/acorn_details": "part",
+    "bronze/halfhourly_consumption": "dirty",
+    "bronze/weather_hourly": "(SELECT DISTINCT date_trunc('hour', ts) FROM events)",
+    "bronze/weather_daily": "(SELECT DISTINCT CAST(ts AS DATE) FROM events)",
+    "bronze/daily_consumption": "(SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events)",
+    "bronze/bank_holidays": "holidays",
+    "bronze/gadm_level3": "nation",
+    "bronze/osm_buildings": "part",
+}
+_LAKE_MADE = {
+    "silver/halfhourly_consumption": "lake_clean",
+    "silver/rejected_readings": """(SELECT 1 FROM lake_copies WHERE n > 1 OR place > 1
+        UNION ALL SELECT 1 FROM lake_copies WHERE place = 1 AND NOT value BETWEEN 0 AND 100
+        UNION ALL SELECT 1 FROM lake_filled WHERE value IS NULL)""",
+    "silver/household_enriched": "lake_clean",
+    "silver/weather_enriched": "lake_clean",
+    "gold/quality_scores": "(SELECT DISTINCT user_id, CAST(ts AS DATE) FROM lake_clean)",
+    "gold/quality_incidents": "("
+    + build("incidents", "SELECT * FROM incidents", dirty="SELECT 0 AS event_id, *, 'view' AS event_type, 0 AS arrival FROM lake_clean")
+    + ")",
+    "gold/weekly_completeness_incidents": """(SELECT 1 FROM lake_clean
+        GROUP BY user_id, date_trunc('week', ts) HAVING 1 - count(*) / 21.0::DOUBLE > 0.25)""",
+    "gold/consumption_analytics": "(SELECT DISTINCT user_id, CAST(ts AS DATE) FROM lake_clean)",
+    "gold/gadm_level3": "nation",
+    "gold/osm_buildings": "part",
+    "gold/building_aggregations": "nation",
+}
+
+
+def _table_rows(listed: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"""SELECT '{name}' AS "table", count(*) AS rows FROM {sql}""" for name, sql in listed.items())
+
+
+part("lake_rows", "dirty holidays lake_copies lake_filled lake_clean", _table_rows(_LAKE_SOURCES | _LAKE_MADE))
+# What each table of the lake is made of.
+_LAKE_EDGES = {
+    "bronze/household_info": "households",
+    "bronze/acorn_details": "segments",
+    "bronze/halfhourly_consumption": "halfhourly",
+    "bronze/weather_hourly": "weather-hourly",
+    "bronze/weather_daily": "weather-daily",
+    "bronze/daily_consumption": "daily",
+    "bronze/bank_holidays": "holidays",
+    "bronze/gadm_level3": "areas",
+    "bronze/osm_buildings": "osm",
+    "silver/halfhourly_consumption": "bronze/halfhourly_consumption",
+    "silver/rejected_readings": "bronze/halfhourly_consumption",
+    "silver/household_enriched": "silver/halfhourly_consumption bronze/household_info",
+    "silver/weather_enriched": "silver/halfhourly_consumption bronze/weather_hourly",
+    "gold/quality_scores": "silver/household_enriched",
+    "gold/quality_incidents": "silver/household_enriched",
+    "gold/weekly_completeness_incidents": "silver/household_enriched",
+    "gold/consumption_analytics": "silver/household_enriched bronze/weather_hourly",
+    "gold/gadm_level3": "bronze/gadm_level3",
+    "gold/osm_buildings": "bronze/osm_buildings",
+    "gold/building_aggregations": "gold/osm_buildings gold/gadm_level3",
+}
+# The second run of the audited lake has no readings and ends with the sources.
+_LAKE_AGAIN = [t for t in _LAKE_SOURCES if t != "bronze/halfhourly_consumption"]
+
 # --------------------------------------------------------------------- queries
 
 
@@ -740,18 +822,6 @@ def oracle_sql() -> dict[str, str]:
            ('value', 'only_in_table1', 'double', NULL), ('source', 'only_in_table2', NULL, 'string')) t("column", status, type_1, type_2)""",
     )
     add("zorder_rewrite", "", "SELECT event_id, user_id, ts, value FROM events")
-    add(
-        "latest_run",
-        "",
-        """SELECT 'nightly' AS pipeline_name, 'PARTIAL' AS status, 'events' AS "table", count(*) AS rows FROM events
-        UNION ALL SELECT 'nightly', 'PARTIAL', 'customer', count(*) FROM customer""",
-    )
-    add(
-        "audit_runs",
-        "",
-        """SELECT 'nightly' AS pipeline_name, 'SUCCESS' AS status, count(*) AS rows FROM events""",
-    )
-
     # raw files and streams
     raw = """SELECT CAST(user_id AS VARCHAR) AS household_id, date_trunc('second', ts) AS timestamp, value AS energy_kwh,
            CAST(event_id // 1000 AS VARCHAR) AS source_block FROM dirty"""
@@ -824,6 +894,35 @@ def oracle_sql() -> dict[str, str]:
                 FROM dirty WHERE ts IS NOT NULL)) GROUP BY 1, 2""",
     )
 
+    # whole runs
+    again = ", ".join(f"'{t}'" for t in _LAKE_AGAIN)
+    used = ", ".join(sorted({f"'{source}'" for made_of in _LAKE_EDGES.values() for source in made_of.split()}))
+    edges = ", ".join(
+        f"('{source}', {0 if '/' in source else 'NULL'}, '{target}', 0)" for target, made_of in _LAKE_EDGES.items() for source in made_of.split()
+    )
+    edges += "".join(f", ('{_LAKE_EDGES[t]}', NULL, '{t}', 1)" for t in _LAKE_AGAIN)
+    add("layer_run", "lake_rows", """SELECT 'SUCCESS' AS status, "table", rows FROM lake_rows""")
+    add(
+        "latest_run",
+        "lake_rows",
+        f"""SELECT 'batch_run' AS pipeline_name, 'FAILED' AS status, "table", rows FROM lake_rows WHERE "table" IN ({again})""",
+    )
+    add(
+        "audit_runs",
+        "lake_rows",
+        f"""SELECT 'batch_run' AS pipeline_name, 'SUCCESS' AS status, "table", rows,
+           CASE WHEN "table" IN ({used}) THEN 0::BIGINT END AS version_read, 0::BIGINT AS version_written FROM lake_rows""",
+    )
+    add(
+        "run_lineage",
+        "lake_rows",
+        f"""SELECT r.*, rows FROM (WITH RECURSIVE edges(source, source_version, target, version) AS (VALUES {edges}),
+          reached AS (SELECT source AS start, source_version AS start_version, target AS path, version, 1 AS steps FROM edges
+            UNION SELECT start, start_version, target, e.version, steps + 1 FROM reached r JOIN edges e ON e.source = r.path AND e.source_version = r.version)
+          SELECT start, start_version::BIGINT AS start_version, path, version::BIGINT AS version, min(steps)::INTEGER AS steps FROM reached GROUP BY ALL) r
+        JOIN lake_rows ON "table" = path""",
+    )
+
     # geography: areas are L-shaped with a square hole, on a grid by nation
     part(
         "areas",

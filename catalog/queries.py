@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from catalog import files, inputs
 from catalog.inputs import CHECKS, COLS, RISK, SCORES, dirty, fresh, rounded, table
 from sievewatt.functions import geometry as G
 from sievewatt.functions.columns import micros
-from sievewatt.governance import audit, schema
+from sievewatt.governance import audit, lineage, schema
 from sievewatt.operators import checks, clean, enrich, expectations, features, quantiles, scoring, spatial
 from sievewatt.plans import layers, reports, training
 from sievewatt.config import RiskSettings, Settings
@@ -514,26 +514,6 @@ def zorder_rewrite(spark, sf):
     return tables.read(spark, path)
 
 
-def _runs(spark, sf):
-    path = fresh(spark, "audit")
-    n = {name: table(spark, sf, name).count() for name in ("events", "customer")}
-    audit.log_run(spark, path, "nightly", row_counts={"events": n["events"]}, run_timestamp=datetime(2024, 1, 30))
-    audit.log_run(spark, path, "hourly", row_counts={"events": 1}, status="FAILED", run_timestamp=datetime(2024, 1, 30, 12))
-    audit.log_run(spark, path, "nightly", row_counts=n, status="PARTIAL", run_timestamp=datetime(2024, 1, 31))
-    return path
-
-
-@query
-def latest_run(spark, sf):
-    return reports.latest_run(tables.read(spark, _runs(spark, sf)))
-
-
-@query
-def audit_runs(spark, sf):
-    found = audit.query_runs(spark, _runs(spark, sf), "nightly", "SUCCESS")
-    return found.select("pipeline_name", "status", F.element_at("row_counts", "events").alias("rows"))
-
-
 # ------------------------------------------------------------------- raw files
 
 
@@ -752,11 +732,10 @@ def top_areas(spark, sf):
 # ------------------------------------------------------------------ whole runs
 
 
-@query
-def layer_run(spark, sf):
-    """Raw files to gold in one run; the rows of every table it wrote, from the audit log."""
+def _lake(spark, sf):
+    """Settings of a lake in a fresh folder, with the provided tables as raw files."""
     root = fresh(spark, "lake")
-    settings = Settings(
+    return Settings(
         paths={
             "household_info": files.households_csv(spark, sf),
             "acorn_details": files.segments_csv(spark, sf),
@@ -774,10 +753,63 @@ def layer_run(spark, sf):
         checks=CHECKS,
         limit_blocks=None,
     )
+
+
+def _short(c: str):
+    """``layer/table`` of a path; of a raw file the name without the number of its folder."""
+    return F.regexp_replace(F.regexp_extract(c, r"((?:bronze|silver|gold)/)?[^/]+$", 0), "-[0-9a-f]{32}$", "").alias(c)
+
+
+@query
+def layer_run(spark, sf):
+    """Raw files to gold in one run; the rows of every table it wrote, from the audit log."""
+    settings = _lake(spark, sf)
     layers.run_batch(spark, settings)
-    runs = audit.query_runs(spark, f"{root}/gold/audit_log", "batch_run", limit=1)
-    name = F.regexp_extract("table", r"([^/]+/[^/]+)$", 1).alias("table")
-    return runs.select("status", F.explode("row_counts").alias("table", "rows")).select("status", name, "rows")
+    runs = audit.query_runs(spark, f"{settings.paths['gold_root']}/audit_log", "batch_run", limit=1)
+    return runs.select("status", F.explode("row_counts").alias("table", "rows")).select("status", _short("table"), "rows")
+
+
+def _runs(spark, sf):
+    """The audit log of two runs of one lake: a whole one, and one whose readings are missing."""
+    settings = _lake(spark, sf)
+    layers.run_batch(spark, settings)
+    gone = {**settings.paths, "halfhourly_dir": f"{settings.paths['halfhourly_dir']}-gone"}
+    try:
+        layers.run_batch(spark, replace(settings, paths=gone))
+    except ValueError:
+        pass  # the log tells of it
+    return f"{settings.paths['gold_root']}/audit_log"
+
+
+@query
+def latest_run(spark, sf):
+    """The run without readings: its other sources were stored all the same."""
+    return reports.latest_run(tables.read(spark, _runs(spark, sf))).withColumn("table", _short("table"))
+
+
+@query
+def audit_runs(spark, sf):
+    """Of the run that succeeded: versions read and written, and rows, per table."""
+    found = audit.query_runs(spark, _runs(spark, sf), "batch_run", "SUCCESS")
+    per_table = found.select("pipeline_name", "status", "input_versions", "output_versions", F.explode("row_counts").alias("table", "rows"))
+    return per_table.select(
+        "pipeline_name", "status", _short("table"), "rows",
+        F.try_element_at("input_versions", F.col("table")).alias("version_read"),
+        F.try_element_at("output_versions", F.col("table")).alias("version_written"),
+    )
+
+
+@query
+def run_lineage(spark, sf):
+    """For every file and table: the tables made of it, directly or not, over both runs."""
+    log = tables.read(spark, _runs(spark, sf))
+    made = lineage.edges(log)
+    starts = made.select(F.col("source").alias("path"), F.col("source_version").alias("version"))
+    found = lineage.reached(made, starts)
+    rows = log.select("output_versions", F.explode("row_counts").alias("path", "rows"))
+    rows = rows.select("path", "rows", F.try_element_at("output_versions", F.col("path")).alias("version"))
+    counted = found.join(rows.distinct(), ["path", "version"], "left")
+    return counted.select(_short("start"), "start_version", _short("path"), "version", "steps", "rows")
 
 
 def queries() -> dict[str, Query]:

@@ -84,6 +84,7 @@ class Settings:
     scoring: ScoreSettings = field(default_factory=ScoreSettings)
     risk: RiskSettings = field(default_factory=RiskSettings)
     limit_blocks: int | None = None
+    steps_at_once: int = 4
     trigger_interval: str = "30 seconds"
     max_files_per_trigger: int = 100
     building_tags: tuple[str, ...] = ("building", "landuse", "amenity", "type")
@@ -151,6 +152,7 @@ class Settings:
             scoring=score,
             risk=risk,
             limit_blocks=raw.get("ingestion", {}).get("limit_blocks"),
+            steps_at_once=raw.get("ingestion", {}).get("steps_at_once", 4),
             trigger_interval=stream.get("trigger_interval", "30 seconds"),
             max_files_per_trigger=stream.get("max_files_per_trigger", 100),
             building_tags=tuple(osm.get("building_tags", ("building", "landuse", "amenity"))),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 from typing import Any
 
@@ -15,7 +15,9 @@ from sievewatt.sources import tables
 AUDIT_SCHEMA = """
     pipeline_name string, run_timestamp timestamp, status string, error_message string,
     config_snapshot string, input_versions map<string,bigint>, output_paths map<string,string>,
-    row_counts map<string,bigint>, rejected_rows bigint, quality_score_summary map<string,double>
+    row_counts map<string,bigint>, rejected_rows bigint, quality_score_summary map<string,double>,
+    output_versions map<string,bigint>,
+    lineage array<struct<target:string,target_version:bigint,source:string,source_version:bigint>>
 """
 
 # How a run can end.
@@ -35,8 +37,15 @@ def log_run(
     status: str = "SUCCESS",
     error_message: str | None = None,
     run_timestamp: datetime | None = None,
+    output_versions: Mapping[str, int] | None = None,
+    lineage: Sequence[tuple[str, int | None, str, int | None]] = (),
 ) -> int:
-    """Append one run to the log, creating it if needed."""
+    """Append one run to the log, creating it if needed.
+
+    ``input_versions`` are versions of tables that the run read, ``output_versions`` those it wrote. ``lineage`` has a
+    (target, its version, source, its version) for everything a table was made of; files have no version. A log of
+    before these columns gets them.
+    """
     if status not in STATUSES:
         raise ValueError(f"unknown status {status!r}")
     row = (
@@ -50,8 +59,10 @@ def log_run(
         dict(row_counts or {}),
         int(rejected_rows),
         {k: float(v) for k, v in (quality_score_summary or {}).items()},
+        dict(output_versions or {}),
+        list(lineage),
     )
-    return tables.write(spark.createDataFrame([row], AUDIT_SCHEMA), path, mode="append", operation="audit")
+    return tables.write(spark.createDataFrame([row], AUDIT_SCHEMA), path, mode="append", merge=True, operation="audit")
 
 
 def query_runs(

@@ -18,6 +18,8 @@ def build_session(app_name: str = "sievewatt", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Steps of a layer run that do not need each other share the executors.
+        .config("spark.scheduler.mode", "FAIR")
         # Without this every Column call also sends its Python line number to the JVM.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

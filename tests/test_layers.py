@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from sievewatt.config import RiskSettings, Settings
-from sievewatt.governance import audit
+from sievewatt.governance import audit, lineage
 from sievewatt.plans import layers
 from sievewatt.sources import sinks, tables
 
@@ -125,8 +125,17 @@ def test_train_and_predict(spark, lake):
     earlier = layers.predict_risk(spark, lake, "2013-01-05")
     assert {str(r["prediction_date"]) for r in earlier.collect()} == {"2013-01-06"}
     layers.predict_risk(spark, lake, "2013-01-05")
-    stored = sinks.read_parts(spark, lake.paths["gold_root"] + "/quality_risk_predictions")
+    path = lake.paths["gold_root"] + "/quality_risk_predictions"
+    stored = sinks.read_parts(spark, path)
     assert stored.count() == 2 * len(HOUSES)
+    log = lake.paths["gold_root"] + "/audit_log"
+    predicted = audit.query_runs(spark, log, "risk_prediction", "SUCCESS")
+    assert [r["row_counts"][path] for r in predicted.collect()] == [len(HOUSES)] * 3
+    made = lineage.edges(tables.read(spark, log))
+    start = spark.createDataFrame([(lake.paths["weather_hourly"],)], "path string")
+    follows = {r["path"]: r["steps"] for r in lineage.reached(made, start, versions=False).collect()}
+    assert follows[lake.paths["gold_root"] + "/risk_training_set"] == 3
+    assert follows[path] == 3 and follows[lake.risk.model_path] == 4
 
 
 def test_stream_run_appends_to_bronze(spark, lake):
