@@ -1,8 +1,10 @@
 """Main text of web pages: a linear-chain conditional random field over the pages' leaf blocks.
 
 A page is cut into tags and text in one pass, open elements are kept on a stack, and text between two block
-boundaries is a leaf block with its ancestors' tags, classes and the share of its text that is linked. Each
-block gets features from these and from its text. The field has two labels (main text or not), a weight per
+boundaries is a leaf block with what features need of its ancestors' tags and classes and the share of its text that is
+linked. An element hands on to those inside it the sets it was given, or larger ones if it adds to them; both are bounded by
+the lists below, so that time and memory grow with a page's length however deep it is nested. Each block gets features
+from these and from its text. The field has two labels (main text or not), a weight per
 feature and label and one per pair of neighbouring labels. It is trained on labelled pages by maximum likelihood
 (forward-backward, gradient steps) and decoded by Viterbi.
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,18 +61,38 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)
 NAME = re.compile(r"[a-z]+")
 
 
-@dataclass
+# Ancestors that features ask for, wherever they are.
+TOLD = OUTSIDE | frozenset("article main ul ol table blockquote figure pre".split())
+MAIN = frozenset(("article", "main"))
+
+
+@dataclass(frozen=True, slots=True)
+class Element:
+    """An open element: its tag, and of it and its ancestors the tags in :data:`TOLD`, the marks, and the innermost block."""
+
+    tag: str = ""
+    held: frozenset[str] = frozenset()
+    marks: frozenset[str] = frozenset()
+    inner: str = "none"
+
+    def child(self, tag: str, names: set[str]) -> Element:
+        held = self.held if tag not in TOLD or tag in self.held else self.held | {tag}
+        marks = self.marks if names <= self.marks else self.marks | names
+        return Element(tag, held, marks, tag if tag in BLOCK else self.inner)
+
+
+@dataclass(slots=True)
 class Block:
     text: str
-    tags: tuple[str, ...]
-    marks: frozenset[str]
+    around: Element
     linked: float
 
 
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page, in order, with decoded text and single spaces."""
     page = page or ""
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack = [Element()]
+    opened: Counter[str] = Counter()
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
@@ -80,21 +103,21 @@ def blocks(page: str | None) -> list[Block]:
             raw = "".join(parts)
             text = " ".join((html.unescape(raw) if "&" in raw else raw).split())
             if text:
-                marks = frozenset().union(*(m for _, m in stack))
-                out.append(Block(text, tuple(t for t, _ in stack), marks, min(1.0, linked / len(text))))
+                out.append(Block(text, stack[-1], min(1.0, linked / len(text))))
             parts.clear()
         linked = 0
 
     def add(text: str) -> None:
         nonlocal linked
         parts.append(text)
-        if any(t == "a" for t, _ in stack):
+        if opened["a"]:
             linked += len(text)
 
     def close(tag: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
+        while opened[tag]:
+            last = stack.pop().tag
+            opened[last] -= 1
+            if last == tag:
                 return
 
     at = 0
@@ -112,10 +135,10 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if tag in BLOCK:
             flush()
-            if tag in CLOSES_P and any(t == "p" for t, _ in stack):
+            if tag in CLOSES_P and opened["p"]:
                 close("p")
-            if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
-                stack.pop()
+            if tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack[-1].tag == tag:
+                close(tag)
         if tag == "br":
             parts.append(" ")
         rest = m[3] or m[6] or ""
@@ -129,7 +152,8 @@ def blocks(page: str | None) -> list[Block]:
         for name, value in ATTRIBUTE.findall(rest) if "=" in rest else ():
             own = NAME.findall(value.lower())
             names.update("role " + n for n in own if n in ROLES) if name.lower() == "role" else names.update(n for n in own if n in MARKS)
-        stack.append((tag, frozenset(names)))
+        stack.append(stack[-1].child(tag, names))
+        opened[tag] += 1
     if at < len(page):
         add(page[at:])
     flush()
@@ -138,24 +162,24 @@ def blocks(page: str | None) -> list[Block]:
 
 def labelled(page: list[Block]) -> list[int] | None:
     """What the markup itself says about each block; nothing if it has no element for the main text."""
-    if not any("article" in b.tags or "main" in b.tags for b in page):
+    around = [b.around for b in page]
+    if all(MAIN.isdisjoint(e.held) for e in around):
         return None
-    return [int(("article" in b.tags or "main" in b.tags) and not b.marks and OUTSIDE.isdisjoint(b.tags)) for b in page]
+    return [int(not MAIN.isdisjoint(e.held) and not e.marks and OUTSIDE.isdisjoint(e.held)) for e in around]
 
 
 def features(page: list[Block], told: bool = True) -> list[list[str]]:
     """Names of the features that hold for each block; ``told``: with those of ``article`` and ``main``."""
     out = []
     for i, b in enumerate(page):
-        n = len(b.text)
+        n, e = len(b.text), b.around
         own = ["any", f"length {min(6, n.bit_length() - 4) if n >= 16 else 0}", f"linked {int(b.linked * 3.99)}"]
-        own += ["has " + t for t in set(b.tags) if t in OUTSIDE or t in ("ul", "ol", "table", "blockquote", "figure", "pre")]
-        if told and ("article" in b.tags or "main" in b.tags):
+        own += ["has " + t for t in e.held - MAIN]
+        if told and not MAIN.isdisjoint(e.held):
             own.append("has article")
-        inner = next((t for t in reversed(b.tags) if t in BLOCK), "none")
-        own.append("in " + inner)
-        own += ["mark " + m for m in b.marks]
-        if b.marks or not OUTSIDE.isdisjoint(b.tags):
+        own.append("in " + e.inner)
+        own += ["mark " + m for m in e.marks]
+        if e.marks or not OUTSIDE.isdisjoint(e.held):
             own.append("outside")
         if b.text[-1] in ".!?…\"”»)":
             own.append("ends a sentence")

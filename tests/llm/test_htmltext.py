@@ -1,6 +1,8 @@
 """Block reading, the field's likelihood and decoding against enumeration, and extraction."""
 
 import itertools
+import time
+import tracemalloc
 
 import numpy as np
 
@@ -31,6 +33,34 @@ def test_blocks():
     assert len(htmltext.blocks("<div>" * 2000 + "<p>x" * 3000)) == 3000
 
 
+def test_deep_nesting_takes_memory_and_time_in_proportion():
+    def peak(n):
+        tracemalloc.start()
+        start = time.process_time()
+        got = htmltext.blocks("<article>" + "<div class='ad'><b>x " * n + "</p></i>" * n)
+        took, most = time.process_time() - start, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(got) == n and got[-1].around.marks == {"ad"} and got[-1].around.held == {"article"}
+        return took, most
+
+    (_, small), (took, large) = peak(2_000), peak(20_000)
+    assert large < 12 * small and large < 50_000_000 and took < 20
+
+
+def test_what_a_block_knows_of_its_ancestors():
+    got = htmltext.blocks("<main><ul><li>a<li><a href=x>b</a></ul><table><tr><td class='x promo'>c<td>d</table><p>e<div role=search>f</div>g</main>h")
+    assert [(b.text, sorted(b.around.held), sorted(b.around.marks), b.around.inner, b.linked) for b in got] == [
+        ("a", ["main", "ul"], [], "li", 0.0),
+        ("b", ["main", "ul"], [], "li", 1.0),
+        ("c", ["main", "table"], ["promo"], "td", 0.0),
+        ("d", ["main", "table"], [], "td", 0.0),
+        ("e", ["main"], [], "p", 0.0),
+        ("f", ["main"], ["role search"], "div", 0.0),
+        ("g", ["main"], [], "main", 0.0),
+        ("h", [], [], "none", 0.0),
+    ]
+
+
 def total_score(field, page_features, labels):
     e = sum(sum(field.weights.get(f, 0.0) for f in own) for own, y in zip(page_features, labels, strict=True) if y)
     return e + sum(field.steps[a, b] for a, b in itertools.pairwise(labels))
