@@ -120,11 +120,15 @@ WITH RECURSIVE lines AS (
 ), messages AS (
   SELECT c.rid, c.conv_id, c.turn, coalesce(c.role, 'unknown') AS role, coalesce(regexp_replace(f.flow, '^\s+|\s+$', '', 'g'), '') AS text
   FROM (SELECT row_number() OVER () AS rid, * FROM conversations) c LEFT JOIN flows f ON f.rid = c.rid AND f.lvl = 0
+), pieces AS (
+  SELECT conv_id, turn, lvl, trim(whole) AS whole,
+    list_filter([trim(x) for x in string_split(regexp_replace(whole, '([.!?]) ', '\1' || chr(10), 'g'), chr(10))], lambda x: length(x) >= 8) AS long
+  FROM (SELECT *, lower(regexp_replace(CASE lvl WHEN 0 THEN regexp_replace(flow, '^\s+|\s+$', '', 'g') ELSE flow END, '\s+', ' ', 'g')) AS whole FROM flows)
 ), units AS (
-  SELECT DISTINCT conv_id, turn, lvl, trim(unnest(string_split(regexp_replace(lower(regexp_replace(flow, '\s+', ' ', 'g')), '([.!?]) ', '\1' || chr(10), 'g'), chr(10)))) AS u
-  FROM flows
+  SELECT DISTINCT conv_id, turn, lvl, unnest(CASE WHEN len(long) > 0 THEN long WHEN whole <> '' THEN [chr(10) || whole] ELSE [] END) AS u
+  FROM pieces
 ), said AS (
-  SELECT conv_id, u, min(turn) AS origin FROM units WHERE lvl = 0 AND length(u) >= 8 GROUP BY ALL
+  SELECT conv_id, u, min(turn) AS origin FROM units WHERE lvl = 0 GROUP BY ALL
 ), votes AS (
   SELECT q.conv_id, q.turn, q.lvl, s.origin, count(*) AS n
   FROM units q JOIN said s ON q.conv_id = s.conv_id AND q.u = s.u AND s.origin < q.turn AND q.lvl > 0 GROUP BY ALL
@@ -143,6 +147,17 @@ SELECT m.conv_id, m.turn, m.role, p.parent, r.root, r.place, m.text, '<|' || m.r
 FROM messages m JOIN placed r USING (conv_id, turn) LEFT JOIN parents p USING (conv_id, turn)
 """
 
+# The same over messages of which two in three quote the one before.
+QUOTED = OP8.replace(
+    "WITH RECURSIVE",
+    """WITH RECURSIVE answers AS (
+  SELECT c.conv_id, c.turn, role, CASE WHEN before IS NULL OR c.turn % 3 = 0 THEN text
+    ELSE '> ' || replace(before, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '') END AS text
+  FROM conversations c LEFT JOIN (SELECT conv_id, turn + 1 AS turn, min(text) AS before FROM conversations GROUP BY ALL) b USING (conv_id, turn)
+),""",
+    1,
+).replace("row_number() OVER () AS rid, * FROM conversations", "row_number() OVER (ORDER BY conv_id, turn, role, text) AS rid, * FROM answers")
+
 OP9 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -223,6 +238,7 @@ SQL: dict[str, str] = {
     "op4_url_filter": OP4,
     "op6_decontamination": OP6,
     "op8_chat_formatting": OP8,
+    "quoted_conversations": QUOTED,
     "op9_ngram_jaccard_join": OP9,
     "op10_html_extraction": OP10,
     "op12_vector_code_compression": OP12,

@@ -12,11 +12,13 @@ threads' first turns, then of the turns: answers stand behind what they answer.
 without quotes and lines such as "On Monday X wrote:".
 
 Hot conversations: originals are reduced to one row per conversation and passage before the join, and places are
-numbered over distinct (thread, turn) pairs in ranges of :data:`RANGE` threads, so no task gets a conversation whole.
+numbered over distinct (thread, turn) pairs in ranges of :data:`RANGE` first turns, and within one first turn of
+:data:`RANGE` turns, so no task gets a conversation or a long thread whole.
 
 Defined results: a null text is empty, a null role is ``unknown``; a null turn is before all others and has no link;
 null conversations are one conversation; rows that repeat a turn share its place; passages shorter than
-:data:`SHORTEST` characters make no link; without quotes every message is its own thread; no rows give no rows.
+:data:`SHORTEST` characters are too common to tell, but a quoted block, or a message, that has no longer one ("Yes. Thanks!") is
+looked up as a whole; without quotes every message is its own thread; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -49,10 +51,13 @@ def own_text(lines: Column) -> Column:
 
 
 def passages(text: Column) -> Column:
-    """Normalised sentences of a text, without those too short to tell."""
+    """Normalised sentences of a text, without those too short to tell; the whole, marked as such, if all are."""
     flat = F.lower(F.regexp_replace(text, r"\s+", " "))
     cut = F.split(F.regexp_replace(flat, r"([.!?]) ", "$1\n"), "\n")
-    return F.array_distinct(F.filter(F.transform(cut, F.trim), lambda s: F.length(s) >= SHORTEST))
+    long = F.array_distinct(F.filter(F.transform(cut, F.trim), lambda s: F.length(s) >= SHORTEST))
+    # no sentence holds a line break, so a whole never equals one
+    whole = F.array(F.concat(F.lit("\n"), F.trim(flat)))
+    return F.when(F.size(long) > 0, long).when(F.length(F.trim(flat)) > 0, whole).otherwise(F.array().cast("array<string>"))
 
 
 def parsed(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -106,16 +111,27 @@ def roots(parents: DataFrame) -> DataFrame:
 
 
 def places(turns: DataFrame) -> DataFrame:
-    """(conv, turn, place): numbers from 0 in the order of (root, turn), for distinct turns."""
-    ranged = turns.withColumn("range", F.floor(F.coalesce(F.col("root"), F.lit(-1)) / RANGE))
-    sizes = ranged.groupBy("conv", "range").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col("conv").alias("c"), F.col("range").alias("r"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    number = F.row_number().over(Window.partitionBy("conv", "range").orderBy(F.col("root").asc_nulls_first(), F.col("turn").asc_nulls_first()))
-    return (
-        ranged.withColumn("number", number - 1)
-        .join(starts, F.expr("conv <=> c AND range = r"))
-        .select("conv", "turn", (F.col("start") + F.col("number")).cast("long").alias("place"))
+    """(conv, turn, place): numbers from 0 in the order of (root, turn), for distinct turns.
+
+    Counted at three levels, each in the order of the one above: ranges of roots in a conversation, ranges of turns of the
+    roots in such a range, turns in such a range.
+    """
+    ranged = turns.withColumns({"upper": F.floor(F.col("root") / RANGE), "lower": F.floor(F.col("turn") / RANGE)})
+
+    def before(keys: list[str], order: list[str]) -> Column:
+        """Rows of the groups that come earlier."""
+        ahead = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        return F.coalesce(F.sum("n").over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    sizes = durable(ranged.groupBy("conv", "upper", "root", "lower").agg(F.count(F.lit(1)).alias("n")))
+    firsts = sizes.groupBy("conv", "upper").agg(F.sum("n").alias("n")).select("conv", "upper", before(["conv"], ["upper"]).alias("first"))
+    within = sizes.select("conv", "upper", "root", "lower", before(["conv", "upper"], ["root", "lower"]).alias("within"))
+    starts = within.alias("w").join(firsts.alias("f"), F.expr("w.conv <=> f.conv AND w.upper <=> f.upper"))
+    starts = starts.select("w.conv", "w.root", "w.lower", (F.col("first") + F.col("within")).alias("start"))
+    own = Window.partitionBy("conv", "root", "lower").orderBy(F.col("turn").asc_nulls_first())
+    numbered = ranged.withColumn("number", F.row_number().over(own) - 1).alias("r")
+    return numbered.join(starts.alias("s"), F.expr("r.conv <=> s.conv AND r.root <=> s.root AND r.lower <=> s.lower")).select(
+        "r.conv", "r.turn", (F.col("start") + F.col("number")).cast("long").alias("place")
     )
 
 

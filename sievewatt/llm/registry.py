@@ -105,6 +105,17 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(F.col("conv").alias("conv_id"), "turn", "role", "parent", "root", "place", "text", "formatted")
 
 
+def quoted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotation linking over messages of which two in three quote the one before, as the table itself holds no quotes."""
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    before = told.groupBy("conv_id", (F.col("turn") + 1).alias("turn")).agg(F.min("text").alias("before"))
+    quote = F.concat(F.lit("> "), F.replace("before", F.lit("\n"), F.lit("\n> ")), F.lit("\n"), F.coalesce("text", F.lit("")))
+    plain = F.col("before").isNull() | (F.col("turn") % 3 == 0)
+    answers = told.join(before, ["conv_id", "turn"], "left").withColumn("text", F.when(plain, F.col("text")).otherwise(quote))
+    linked = quotes.conversations(answers)
+    return linked.select(F.col("conv").alias("conv_id"), "turn", "role", "parent", "root", "place", "text", "formatted")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = partenum.join(table(spark, sf_dir, "documents"))
     return classes.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("class_id").alias("component_id"))
@@ -140,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_decontamination,
         op7_pii,
         op8_chat_formatting,
+        quoted_conversations,
         op9_ngram_jaccard_join,
         op10_html_extraction,
         op11_cross_tokenizer_alignment,

@@ -21,6 +21,12 @@ ROWS = [
     (5, 7, "user", "One sentence only here. Another sentence there."),
     (5, 9, "user", "> Another sentence there.\nOne sentence only here."),
     (5, 8, "user", "> One sentence only here.\n"),
+    (6, 0, "user", "Yes."),
+    (6, 1, "user", "Thanks"),
+    (6, 2, "user", "> Thanks\nNo need."),
+    (6, 3, "user", "> yes. \n>> no need.\nReally? Yes."),
+    (6, 4, "user", "> Really?  Yes.\nWell, then."),
+    (6, 5, "user", "> Really?\nonly a part of a message: no link"),
 ]
 SCHEMA = "conv_id long, turn long, role string, text string, place string"
 
@@ -48,6 +54,24 @@ def test_every_row_stays(spark):
     assert quotes.conversations(df.limit(0)).count() == 0
 
 
+def test_short_quotes_are_looked_up_as_a_whole(spark):
+    _, out = run(spark, ROWS)
+    assert {r["turn"]: r["parent"] for r in out.collect() if r["conv"] == 6} == {0: None, 1: None, 2: 1, 3: 0, 4: 3, 5: None}
+
+
+def test_places_of_long_threads(spark, monkeypatch):
+    """Ranges of a few turns: a long thread, many threads, and turns or first turns that are missing."""
+    monkeypatch.setattr(quotes, "RANGE", 3)
+    rows = [(1, 0 if t % 5 else t, t) for t in range(40)] + [(2, t, t) for t in range(17)] + [(None, -7, -7), (None, -7, 2)]
+    rows += [(3, None, None), (3, -4, -4), (3, 8, 9), (3, 8, 8)]
+    got = quotes.places(spark.createDataFrame(rows, "conv long, root long, turn long")).collect()
+    want = {}
+    for conv in (1, 2, 3, None):
+        mine = sorted((r for r in rows if r[0] == conv), key=lambda r: [(v is not None, v or 0) for v in r[1:]])
+        want |= {(conv, r[2]): i for i, r in enumerate(mine)}
+    assert len(got) == len(rows) and {(r["conv"], r["turn"]): r["place"] for r in got} == want
+
+
 def test_same_as_sql(spark, tmp_path):
     rows = [r for r in ROWS if None not in r[:2]]
     df, out = run(spark, rows)
