@@ -10,10 +10,12 @@ their transitions are made when first needed. Terms of 5 letters allow one edit,
 clean texts use is not a misspelling.
 
 *Context.* A hit counts less within quotation marks, in a line of quoted mail or near a reporting verb, and
-more near a second-person word or another hit.
+more near a second-person word or another hit. All four features are sums of hits so weighed.
 
 *Score.* A logistic model over the weighed hits, fitted on another part of the labelled rows; neither part holds
-rows kept back for evaluation.
+rows kept back for evaluation. To learn what misspelled and quoted hits are worth, the fit also sees each toxic row with
+a letter of its terms doubled, and for each clean row a report that quotes a term, alone or behind the row's text, as
+clean. Such made rows weigh :data:`MADE` of a real one.
 
 Labelled rows for training are bounded by :data:`TOXIC_ROWS` and :data:`CLEAN_ROWS` per part, taken in the order
 of a hash of the id.
@@ -45,6 +47,7 @@ LEAST_RATIO = 9.0
 LEAST_SHARE = 0.8
 MOST_TERMS = 20_000
 THRESHOLD = 0.7
+MADE = 0.25
 WINDOW = 6
 # States of the automaton kept before it starts anew.
 MOST_STATES = 200_000
@@ -58,7 +61,8 @@ REPORTING = frozenset(
 )
 ADDRESS = frozenset("you your yours u du dich dir dein ihr euch tu toi te vous votre ton tú usted tus".split())
 
-WORD = re.compile(r"[^\W\d_]+")
+# Digits within a word belong to it, so that one in a letter's place is an edit.
+WORD = re.compile(r"[^\W\d_]+(?:\d+[^\W\d_]+)*")
 QUOTES = re.compile("[\"“”„«»]")
 
 
@@ -175,7 +179,7 @@ class Reader:
         self.matcher = Matcher(self.lexicon)
 
     def features(self, text: str | None) -> tuple[tuple[float, float, float, float], list[str]]:
-        """Weighed exact hits, distinct terms, weighed misspelled hits and density; the terms found."""
+        """Exact hits, distinct terms, misspelled hits and density, each weighed by context; the terms found."""
         lower = (text or "").lower()
         words = WORD.findall(lower)
         distinct = set(words)
@@ -191,8 +195,8 @@ class Reader:
             self.clean.clear()
         if not distinct & self.hits.keys():
             return (0.0, 0.0, 0.0, 0.0), []
-        exact = fuzzy = 0.0
-        terms = set()
+        exact = fuzzy = dense = 0.0
+        terms: dict[str, float] = {}
         places = [i for i, w in enumerate(words) if w in self.hits]
         quoted = _quoted(lower, places)
         for n, i in enumerate(places):
@@ -206,13 +210,37 @@ class Reader:
             if any(w in self.hits for w in around):
                 factor *= 1.1
             weight = self.lexicon.weights[term] * factor
+            dense += factor
             if edits:
                 fuzzy += weight * 0.8**edits
             else:
                 exact += weight
-                terms.add(self.lexicon.terms[term])
-        density = 100.0 * len(places) / len(words)
-        return (np.log1p(exact), np.log1p(len(terms)), np.log1p(fuzzy), np.log1p(density)), sorted(terms)
+                name = self.lexicon.terms[term]
+                terms[name] = max(factor, terms.get(name, 0.0))
+        density = 100.0 * dense / len(words)
+        return (np.log1p(exact), np.log1p(sum(terms.values())), np.log1p(fuzzy), np.log1p(density)), sorted(terms)
+
+    def misspelled(self, text: str) -> str | None:
+        """The text with a letter doubled in every term that allows an edit; nothing if it holds none."""
+        self.features(text)
+
+        def double(m: re.Match) -> str:
+            edits, term = self.hits.get(m[0].lower(), (1, 0))
+            name = self.lexicon.terms[term]
+            if edits or not edits_of(name):
+                return m[0]
+            at = len(name) // 2
+            return m[0][:at] + m[0][at] + m[0][at:]
+
+        out = WORD.sub(double, text)
+        return None if out == text else out
+
+    def quoting(self, text: str) -> str:
+        """A report that quotes a term, alone or behind the text; which term and which of both follows from the text."""
+        n = xxhash.xxh64_intdigest(text)
+        term = self.lexicon.terms[n // 2 % len(self.lexicon.terms)]
+        report = f'In the report she said that "{term}" was the word they had used.'
+        return report if n % 2 else f"{text}\n{report}"
 
 
 def _quoted(lower: str, places: list[int]) -> list[bool]:
@@ -373,11 +401,23 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.5, st
 
 
 def _features(lexicon) -> object:
+    """(y, weight, x) of labelled texts and of the rows made from them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(lexicon.value)
         for batch in batches:
-            made = [reader.features(t)[0] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"y": batch.column("y"), "x": pa.array([list(m) for m in made], pa.list_(pa.float64()))})
+            out: dict[str, list] = {"y": [], "weight": [], "x": []}
+            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                made = None
+                if text and reader.lexicon.terms:
+                    made = reader.misspelled(text) if y else reader.quoting(text)
+                for t, weight in ((text, 1.0), (made, MADE)) if made else ((text, 1.0),):
+                    out["y"].append(y)
+                    out["weight"].append(weight)
+                    out["x"].append(list(reader.features(t)[0]))
+            yield pa.RecordBatch.from_pydict(
+                {"y": pa.array(out["y"], pa.int32()), "weight": pa.array(out["weight"], pa.float64()), "x": pa.array(out["x"], pa.list_(pa.float64()))}
+            )
 
     return run
 
@@ -397,14 +437,16 @@ def train(
     texts = durable(wanted.join(F.broadcast(chosen), "id").select("text", "y", "part"))
     lexicon = learn_terms(texts.filter("part = 0").select("text", "y"))
     shipped = spark.sparkContext.broadcast(lexicon)
-    made = texts.filter("part = 2").select("text", "y").mapInArrow(lean(_features(shipped)), "y int, x array<double>").collect()
-    y = np.array([r["y"] for r in made], float)
+    made = texts.filter("part = 2").select("text", "y").mapInArrow(lean(_features(shipped)), "y int, weight double, x array<double>").collect()
+    y, share = np.array([r["y"] for r in made], float), np.array([r["weight"] for r in made], float)
     if not lexicon.terms or not 0 < y.sum() < len(y):
-        return Model(lexicon, 0.0 if not len(y) else float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))), (0.0,) * 4)
+        real = y[share == 1.0]
+        return Model(lexicon, 0.0 if not len(y) else float(np.log((real.sum() + 1) / (len(real) - real.sum() + 1))), (0.0,) * 4)
     shares = labels.filter(crc_part(F.col(id_col)) == 2).groupBy(F.col(label_col).cast("int").alias("y")).count().collect()
     full = {r["y"]: r["count"] for r in shares}
-    per_class = np.array([full[0] / max(1, (y == 0).sum()), full[1] / max(1, (y == 1).sum())])
-    weight = per_class[y.astype(int)]
+    real = share == 1.0
+    per_class = np.array([full[n] / max(1, (real & (y == n)).sum()) for n in (0, 1)])
+    weight = per_class[y.astype(int)] * share
     return Model(lexicon, *fit(np.array([r["x"] for r in made]), y, weight / weight.mean()))
 
 

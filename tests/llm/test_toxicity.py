@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import numpy as np
 from rows import ODD, documents
 
 from sievewatt.llm import toxicity
@@ -62,6 +63,18 @@ def test_quoted_hits_count_less():
     assert reader.features(None) == reader.features("") == ((0.0, 0.0, 0.0, 0.0), [])
 
 
+def test_made_rows():
+    reader = Reader(Lexicon(["moron", "scum"], [True, True], [3.0, 3.0]))
+    assert reader.misspelled("A MORON, scum and a m0ron") == "A MORRON, scum and a m0ron"
+    assert reader.misspelled("scum") is None and reader.misspelled("none here") is None
+    assert Matcher(reader.lexicon).match("m0ron") == (1, 0) and toxicity.WORD.findall("a m0ron2 4x") == ["a", "m0ron", "x"]
+    for text in ("first", "second", "third", "fourth text"):
+        made = reader.quoting(text)
+        assert made == reader.quoting(text) and 0 < reader.features(made)[0][0] < np.log1p(3.0 * 0.35)
+    dense = reader.features("moron " + "word " * 9)[0][3]
+    assert reader.features('"moron" ' + "word " * 9)[0][3] < dense == np.log1p(10.0)
+
+
 def corpus(n=900, seed=2):
     """Labelled texts whose toxic ones hold at least two of the marking words, sometimes as new forms of a stem."""
     rng = random.Random(seed)
@@ -87,6 +100,12 @@ def test_held_out_accuracy_and_stages(spark):
     held = [(i, y) for i, y, _ in labels if zlib.crc32(str(i).encode()) % 3 == 1]
     assert sum((got[i] >= toxicity.THRESHOLD) == bool(y) for i, y in held) >= 0.97 * len(held)
     assert model.score(Reader(model.lexicon).features("a wretchh and a stinkker are you")[0]) > model.score([0.0] * 4)
+    read = lambda text: model.score(Reader(model.lexicon).features(text)[0])
+    assert model.coefficients[2] > 0
+    assert read('He said that "stinker" was the word in the report') < toxicity.THRESHOLD <= read("you are a stinker.")
+    harmless = " " + " ".join(r[1] for r in rows[1:4])
+    assert read("You are a stinker, a wretch!" + harmless) >= toxicity.THRESHOLD > read('They wrote "stinker" on it.' + harmless)
+    assert read("you stinkker, you st1nker" + harmless) >= toxicity.THRESHOLD
     kept = toxicity.without_toxic(docs, model)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s < toxicity.THRESHOLD}
