@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sievewatt.config import CheckSettings, Cols, RiskSettings, ScoreSettings
 from sievewatt.operators import checks, clean, enrich, features, scoring
-from sievewatt.runtime import durable, scratch_path
+from sievewatt.runtime import durable_together, scratch_path
 
 COLS = Cols(("user_id",), "ts", "value", "arrival")
 
@@ -108,8 +108,9 @@ def incidents(spark: SparkSession, sf: str, all_rules: bool = False) -> DataFram
 def stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Scores and incidents, computed once and kept, as the layers keep them."""
     rows = checks.with_entity_stats(dirty(spark, sf), COLS)
-    kept = scoring.quality_scores(dirty(spark, sf), COLS, CHECKS, SCORES, rows=rows)
-    return durable(kept), durable(checks.all_incidents(dirty(spark, sf), COLS, CHECKS, rows=rows))
+    scored = scoring.quality_scores(dirty(spark, sf), COLS, CHECKS, SCORES, rows=rows)
+    scored, found = durable_together(scored, checks.all_incidents(dirty(spark, sf), COLS, CHECKS, rows=rows))
+    return scored, found
 
 
 def feature_rows(spark: SparkSession, sf: str, exclude_current: bool = False, kept: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:

@@ -767,6 +767,13 @@ def oracle_sql() -> dict[str, str]:
         """SELECT entity_id, score_date + 1 AS prediction_date, true AS fits FROM feature_rows
         WHERE score_date IN ((SELECT max(score_date) FROM feature_rows), (SELECT min(score_date) FROM feature_rows))""",
     )
+    add(
+        "prediction_reports",
+        "feature_rows",
+        """SELECT unnest(['categories', 'histogram', 'statistics', 'newest_day']) AS report, unnest([n, n, n, least(100, newest)]) AS rows
+        FROM (SELECT count(*) AS n, count(*) FILTER (score_date = (SELECT max(score_date) FROM feature_rows)) AS newest FROM feature_rows
+              WHERE score_date IN ((SELECT max(score_date) FROM feature_rows), (SELECT min(score_date) FROM feature_rows)))""",
+    )
     add(
         "class_weights",
         "labels",

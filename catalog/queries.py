@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -443,6 +443,25 @@ def predicted_days(spark, sf):
     return runs[0].unionByName(runs[1]).select("entity_id", "prediction_date", (score.between(0, 1) & fits).alias("fits"))
 
 
+@query
+def prediction_reports(spark, sf):
+    """How many rows the standing reports cover on a model's stored predictions of the newest and of the first day."""
+    model, numbers, _ = _trained(spark, sf, RiskSettings(model_type="logistic_regression"))
+    rows, target = durable(inputs.feature_rows(spark, sf)), fresh(spark, "predictions")
+    for d in (None, rows.agg(F.min("score_date")).first()[0]):
+        made = training.predict(model, rows, numbers, on_date=d).drop("top_features")
+        sinks.replace_parts(made, target, ["prediction_date"])
+    stored = sinks.read_parts(spark, target)
+    named = {
+        "categories": reports.shares(stored, "risk_category").agg(F.sum("rows").alias("rows")),
+        "histogram": reports.histogram(stored, "risk_score", 0.0, 1.0).agg(F.sum("rows").alias("rows")),
+        "statistics": reports.statistics(stored, "risk_score", step=0.001).select(F.col("total").alias("rows")),
+        "newest_day": reports.predictions_for(stored, inputs.newest(stored, "prediction_date")).agg(F.count(F.lit(1)).alias("rows")),
+    }
+    frames = [df.select(F.lit(name).alias("report"), "rows") for name, df in named.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
 @query
 def model_evaluation(spark, sf):
     model, numbers, test_rows = _trained(spark, sf, RiskSettings(model_type="logistic_regression"))

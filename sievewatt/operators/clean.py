@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sievewatt.config import Cols
 from sievewatt.functions.columns import calendar_parts, micros, number
 from sievewatt.operators.ordered import last_known, trailing_mean
-from sievewatt.operators.skew import find_slices, join_null_safe
+from sievewatt.operators.skew import Slices, find_slices, in_one_place, join_null_safe
 
 # Fixed value: how many earlier half-hours the trailing mean looks at (one day).
 TRAILING_ROWS = 48
@@ -41,20 +41,24 @@ def range_filter(df: DataFrame, value: str, low: float, high: float) -> DataFram
 
 
 def impute_trailing_mean(
-    df: DataFrame, cols: Cols, rows: int = TRAILING_ROWS, rows_per_slice: int | None = None
+    df: DataFrame, cols: Cols, rows: int = TRAILING_ROWS, rows_per_slice: int | None = None, slices: Slices | None = None
 ) -> DataFrame:
     """Replace missing values by the mean of the entity's last ``rows`` + 1 readings."""
-    slices = find_slices(df, cols.entity, cols.ts, rows_per_slice)
+    slices = slices or find_slices(df, cols.entity, cols.ts, rows_per_slice)
     known = number(cols.value)
     out = trailing_mean(df, known, "_mean", slices, rows, _tie_break(df, cols))
     return out.withColumn(cols.value, F.coalesce(known, F.col("_mean"))).drop("_mean")
 
 
 def forward_fill(
-    df: DataFrame, cols: Cols, max_age_minutes: float | None = None, rows_per_slice: int | None = None
+    df: DataFrame,
+    cols: Cols,
+    max_age_minutes: float | None = None,
+    rows_per_slice: int | None = None,
+    slices: Slices | None = None,
 ) -> DataFrame:
     """Replace missing values by the entity's latest known one, if it is not older than the limit."""
-    slices = find_slices(df, cols.entity, cols.ts, rows_per_slice)
+    slices = slices or find_slices(df, cols.entity, cols.ts, rows_per_slice)
     known = number(cols.value)
     out = last_known(df, known, "_last", slices, tie_break=_tie_break(df, cols))
     filled = F.col("_last")["value"]
@@ -78,11 +82,15 @@ def clean_readings(
 ) -> DataFrame:
     """The silver recipe: unique, in range, imputed, with calendar columns and a processed flag."""
     order = [cols.arrival] if cols.arrival and cols.arrival in df.columns else []
-    kept = range_filter(dedupe(df, [*cols.entity, cols.ts], order), cols.value, low, high)
+    # one shuffle for copies and for windows, unless an entity needs more than one task
+    placed = in_one_place(df, cols.entity, rows_per_slice)
+    slices = None if placed is None else Slices(tuple(cols.entity), cols.ts)
+    unique = dedupe(df if placed is None else placed, [*cols.entity, cols.ts], order)
+    kept = range_filter(unique, cols.value, low, high)
     if impute == "trailing_mean":
-        filled = impute_trailing_mean(kept, cols, rows_per_slice=rows_per_slice)
+        filled = impute_trailing_mean(kept, cols, rows_per_slice=rows_per_slice, slices=slices)
     elif impute == "forward_fill":
-        filled = forward_fill(kept, cols, rows_per_slice=rows_per_slice)
+        filled = forward_fill(kept, cols, rows_per_slice=rows_per_slice, slices=slices)
     else:
         raise ValueError(f"unknown imputation {impute!r}")
     return add_calendar(filled.filter(F.col(cols.value).isNotNull()), cols.ts).withColumn(

@@ -67,10 +67,11 @@ def consumption_stats(readings: DataFrame, cols: Cols) -> DataFrame:
         aggs.append(F.avg("humidity_ratio").alias("avg_humidity"))
     timed = readings.filter(F.col(cols.ts).isNotNull())
     cv = F.when(F.col("avg_consumption") > 0, F.col("std_consumption") / F.col("avg_consumption")).otherwise(0.0)
-    return (
-        timed.groupBy(entity_id(cols.entity).alias("entity_id"), day(cols.ts).alias(DAY))
-        .agg(*aggs)
-        .withColumns({"consumption_cv": cv, "day_of_week": F.dayofweek(DAY), "month": F.month(DAY)})
+    # by the entity's own columns, by which clean readings are dealt already; the text is made of the result
+    daily = timed.groupBy(*cols.entity, day(cols.ts).alias(DAY)).agg(*aggs)
+    facts = [c for c in daily.columns if c not in (*cols.entity, DAY)]
+    return daily.select(entity_id(cols.entity).alias("entity_id"), DAY, *facts).withColumns(
+        {"consumption_cv": cv, "day_of_week": F.dayofweek(DAY), "month": F.month(DAY)}
     )
 
 
@@ -94,7 +95,8 @@ def features(
         (1 - F.col("completeness_score")).alias("missing_rate"),
         *[F.col(f"{c}_score").alias(f"_{c}") for c in ("completeness", "temporal", "business", "schema")],
     )
-    merged = outer_merge([parts, incident_counts(incidents), consumption_stats(readings, cols)], KEYS)
+    # dealt by entity, so that the windows below find their rows together
+    merged = outer_merge([parts, incident_counts(incidents), consumption_stats(readings, cols)], KEYS, ["entity_id"])
     zero = {c: 0 for c in [*INCIDENT_COUNTS, "reading_count"]}
     zero.update({c: 0.0 for c in ("avg_consumption", "std_consumption", "consumption_cv", "missing_rate")})
     base = (

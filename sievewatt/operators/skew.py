@@ -110,7 +110,8 @@ class Slices:
 
     @property
     def keys(self) -> list[str]:
-        return list(self.entity) + ["_slice"]
+        """What windows are partitioned by; without slices the entity alone, so that rows already dealt by it stay."""
+        return list(self.entity) + ([] if self.table is None else ["_slice"])
 
 
 # How much finer than the ideal equal-width slice to go when an entity's rows bunch up.
@@ -167,6 +168,17 @@ def find_slices(
     return Slices(entity, order, durable(chosen))
 
 
+def in_one_place(df: DataFrame, entity: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
+    """``df`` dealt by entity, if no entity has more rows, copies included, than one task may hold; else None.
+
+    What follows per entity (copies, windows, days) then needs no other shuffle.
+    """
+    fits = hot_rows is None and plan_bytes(df) <= SINGLE_TASK_BYTES
+    if fits or hot_keys(df.select(*entity), entity, hot_rows or HOT_ROWS).isEmpty():
+        return df.repartition(*entity)
+    return None
+
+
 def with_slice(df: DataFrame, slices: Slices) -> DataFrame:
     """Add ``_slice``: 0 for ordinary entities, the slice's number for hot ones."""
     if slices.table is None:
@@ -199,15 +211,17 @@ def order_number(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("long")
 
 
-def outer_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+def outer_merge(frames: Sequence[DataFrame], keys: Sequence[str], dealt_by: Sequence[str] = ()) -> DataFrame:
     """Full outer join of tables that are unique on ``keys`` and share no other column.
 
     Written as a union and one grouping: a single shuffle however many tables there are, and null
-    keys line up with null keys.
+    keys line up with null keys. ``dealt_by`` names the keys to shuffle by if a window over them follows.
     """
     keys = list(keys)
     merged = frames[0]
     for frame in frames[1:]:
         merged = merged.unionByName(frame, allowMissingColumns=True)
     rest = [c for c in merged.columns if c not in keys]
+    if dealt_by:
+        merged = merged.repartition(*dealt_by)
     return merged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest])

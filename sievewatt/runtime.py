@@ -7,7 +7,9 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,6 +80,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def durable_together(*frames: DataFrame) -> list[DataFrame]:
+    """:func:`durable` for frames that do not need each other, as jobs that run at once."""
+    spark = frames[0].sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    with ThreadPoolExecutor(len(frames)) as threads:
+        ends = [threads.submit(inheritable_thread_target(spark)(durable), frame) for frame in frames]
+    return [end.result() for end in ends]
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate, derived from file sizes; never runs a job."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()

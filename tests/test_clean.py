@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from helpers import COLS, at, by, readings
+from helpers import COLS, at, by, readings, same_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -48,6 +48,19 @@ def test_imputation_is_the_same_when_hot_entities_are_cut(spark, rows_per_slice)
         assert sorted(map(repr, map(key, plain.collect()))) == sorted(map(repr, map(key, cut.collect())))
 
 
+@pytest.mark.parametrize("rows_per_slice", [None, 3, 1000])
+@pytest.mark.parametrize("impute", ["trailing_mean", "forward_fill"])
+def test_cleaning_is_the_same_with_hot_and_missing_entities(spark, rows_per_slice, impute):
+    """Entities in one place or cut into slices: many copies, readings without entity or time."""
+    rows = [("hot", m % 90 * 30, None if m % 4 == 0 else float(m % 7)) for m in range(300)]
+    rows += [(None, m * 30, None if m % 2 else 1.0) for m in range(8)] + [("b", None, 2.0), ("b", None, 3.0), ("b", 0, None)]
+    df = readings(spark, rows)
+    plain = clean.dedupe(df, ["household_id", "timestamp"], ["arrival"])
+    fill = clean.impute_trailing_mean if impute == "trailing_mean" else clean.forward_fill
+    expected = fill(plain, COLS).filter("energy_kwh IS NOT NULL").select(*df.columns)
+    same_rows(clean.clean_readings(df, COLS, impute=impute, rows_per_slice=rows_per_slice).select(*df.columns), expected)
+
+
 def test_every_input_row_is_kept_or_rejected_with_a_reason(spark):
     rows = [("A", 0, 1.0), ("A", 0, 1.0), ("A", 30, -1.0), ("A", 60, 99.0), ("B", 0, None), ("B", 0, None), ("A", None, 2.0), ("A", None, 3.0)]
     df = readings(spark, rows)

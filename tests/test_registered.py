@@ -65,6 +65,17 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "value" not in untimed.split("ReadSchema")[1].split("\n")[0]
 
 
+def test_rolling_features_need_six_shuffles(spark):
+    """Two of the weather, one each of incidents, readings, their meeting with the scores, and holidays."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = entry.queries()["rolling_features"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    shuffles = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert len(shuffles) <= 6 and "SinglePartition" not in plan
+
+
 WITHOUT = """
 import sys
 sys.path.insert(0, sys.argv[1])

@@ -10,6 +10,7 @@ from sievewatt.operators import expectations as E
 from sievewatt.operators import features as ft
 from sievewatt.operators.quantiles import median, quantiles, stratified_split
 from sievewatt.plans import reports, training
+from sievewatt.sources import sinks
 
 COLS = Cols(("h",), "ts", "v", None)
 D0 = date(2024, 1, 1)
@@ -202,6 +203,27 @@ def test_ranking_matches_plain_pairs(spark):
     assert training.ranking(df.limit(0)).first().asDict() == {"positives": 0, "negatives": 0, "auc": 0.5, "average_precision": 0.0}
 
 
+def test_reports_on_stored_predictions(spark, folder):
+    """A second run of one day replaces it; the reports count what is stored then."""
+    schema = "entity_id string, prediction_date date, risk_score double, risk_category string"
+
+    def store(day, scores):
+        rows = [(f"e{i}", D0 + timedelta(days=day), s, "low" if s < 0.3 else "medium" if s < 0.7 else "high") for i, s in enumerate(scores)]
+        sinks.replace_parts(spark.createDataFrame(rows, schema), f"{folder}/predictions", ["prediction_date"])
+
+    store(0, [0.1, 0.9])
+    store(1, [0.9, 0.9, 0.9])
+    store(1, [0.2, 0.5, 0.8, 1.0])
+    stored = sinks.read_parts(spark, f"{folder}/predictions")
+    assert by(reports.shares(stored, "risk_category"), "risk_category")["high",]["rows"] == 3
+    bins = {r["bin"]: r["rows"] for r in reports.histogram(stored, "risk_score", 0.0, 1.0, bins=10).collect()}
+    assert sum(bins.values()) == 6 and bins[9] == 2
+    figures = reports.statistics(stored, "risk_score", step=0.001).first()
+    assert figures["total"] == 6 and figures["median"] == pytest.approx(0.65) and figures["max"] == 1.0
+    listed = reports.predictions_for(stored, F.lit(D0 + timedelta(days=1)), limit=3).collect()
+    assert [r["entity_id"] for r in listed] == ["e3", "e2", "e1"]
+
+
 def test_time_split_leaves_a_gap(spark):
     rows = [(f"e{i}", date(2024, 1, 1 + d), 0) for d in range(10) for i in range(3)] + [("e0", None, 1)]
     df = spark.createDataFrame(rows, "entity_id string, score_date date, target int")
