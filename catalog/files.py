@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import dirty, fresh, households, table, weather
 from sievewatt.functions import geometry as G
+from sievewatt.runtime import durable, spread
 from sievewatt.sources import raw
 
 # Users' blocks as households name them, events in one file of readings, and users in one file of daily sums.
 BLOCKS = 16
 EVENTS_PER_BLOCK = 1000
 USERS_PER_BLOCK = 50
+# Parts that one task turns into outlines.
+PARTS_PER_TASK = 5_000
 # Events in one file of a stream, and files in one micro-batch of many.
 STREAM_ROWS = 10_000
 FILES_PER_TRIGGER = 4
@@ -185,12 +188,18 @@ def areas_geojson(spark: SparkSession, sf: str, level: int = 3, collection: bool
     return path
 
 
+def parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers and sizes of the parts, dealt over tasks: their outlines cost far more than their bytes tell. They are written, as
+    Spark would else carry conditions on outlines back to the one task that reads the file."""
+    return durable(spread(table(spark, sf, "part").select("p_partkey", "p_size"), PARTS_PER_TASK))
+
+
 def building_corners(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as small rectangular buildings."""
     key = F.col("p_partkey")
     x = (key * 37 % 5000) / F.lit(1000.0) + 0.0005
     y = F.lit(50.0) + (key * 91 % 5000) / F.lit(1000.0) + 0.0005
-    return table(spark, sf, "part").select(
+    return parts(spark, sf).select(
         "p_partkey", "p_size", F.array(*[G.point(x + dx, y + dy) for dx, dy in ((0, 0), (0.0001, 0), (0.0001, 0.0002), (0, 0.0002))]).alias("corners")
     )
 
@@ -247,4 +256,4 @@ def zone_rows(spark: SparkSession, sf: str) -> DataFrame:
     x1, x2 = side(key * 7, (key % 5).cast("double"))
     y1, y2 = side(key * 11 + F.floor(key / 25), F.lit(50.0) + F.floor(key / 5) % 5)
     ring = F.array(G.point(x1, y1), G.point(x2, y1), G.point(x2, y2), G.point(x1, y2), G.point(x1, y1))
-    return table(spark, sf, "part").select(key.cast("string").alias("area_id"), F.array(ring).alias("rings"))
+    return parts(spark, sf).select(key.cast("string").alias("area_id"), F.array(ring).alias("rings"))

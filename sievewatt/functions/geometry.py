@@ -7,6 +7,8 @@ inside into outside by itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,19 +22,26 @@ def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def edges(rings: Column) -> Column:
     """All edges of all rings; a ring that does not end where it starts is closed."""
     return F.flatten(F.transform(rings, _ring_edges))
 
 
 def _ring_edges(ring: Column) -> Column:
-    closed = F.concat(ring, F.slice(ring, 1, 1))
-    n = F.size(closed) - 1
-    return F.zip_with(
-        F.slice(closed, F.lit(1), n),
-        F.slice(closed, F.lit(2), n),
-        lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
-    )
+    def pairs(closed: Column) -> Column:
+        n = F.size(closed) - 1
+        return F.zip_with(
+            F.slice(closed, F.lit(1), n),
+            F.slice(closed, F.lit(2), n),
+            lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
+        )
+
+    return _once(_once(ring, lambda r: F.concat(r, F.slice(r, 1, 1))), pairs)
 
 
 def is_closed(ring: Column) -> Column:
@@ -62,22 +71,30 @@ def ring_area_m2(ring: Column) -> Column:
     Coordinates are first moved to the ring's own corner and scaled to metres there, which keeps the
     small differences of the shoelace sum exact enough.
     """
-    x0, y0 = F.element_at(ring, 1)["x"], F.element_at(ring, 1)["y"]
-    ys = F.transform(ring, lambda p: p["y"])
-    y_mid = (F.array_min(ys) + F.array_max(ys)) / 2
-    kx = F.lit(METRES_PER_DEGREE) * F.cos(F.radians(y_mid))
-    local = F.transform(ring, lambda p: point((p["x"] - x0) * kx, (p["y"] - y0) * F.lit(METRES_PER_DEGREE)))
-    return ring_area(local)
+    def from_corner(ring: Column) -> Column:
+        ys = F.transform(ring, lambda p: p["y"])
+        first = F.element_at(ring, 1)
+        y_mid = (F.array_min(ys) + F.array_max(ys)) / 2
+        kx = F.lit(METRES_PER_DEGREE) * F.cos(F.radians(y_mid))
+        base = F.struct(first["x"].alias("x"), first["y"].alias("y"), kx.alias("kx"))
+        return _once(
+            base,
+            lambda b: F.transform(ring, lambda p: point((p["x"] - b["x"]) * b["kx"], (p["y"] - b["y"]) * F.lit(METRES_PER_DEGREE))),
+        )
+
+    return ring_area(_once(ring, from_corner))
 
 
 def centroid(ring: Column) -> Column:
     """Mean of the ring's distinct corners."""
-    corners = F.when(is_closed(ring), F.slice(ring, F.lit(1), F.size(ring) - 1)).otherwise(ring)
-    n = F.size(corners)
-    return point(
-        F.aggregate(corners, F.lit(0.0), lambda a, p: a + p["x"]) / n,
-        F.aggregate(corners, F.lit(0.0), lambda a, p: a + p["y"]) / n,
-    )
+    def mean(corners: Column) -> Column:
+        n = F.size(corners)
+        return point(
+            F.aggregate(corners, F.lit(0.0), lambda a, p: a + p["x"]) / n,
+            F.aggregate(corners, F.lit(0.0), lambda a, p: a + p["y"]) / n,
+        )
+
+    return _once(_once(ring, lambda r: F.when(is_closed(r), F.slice(r, F.lit(1), F.size(r) - 1)).otherwise(r)), mean)
 
 
 def cell(v: Column, size: float | Column) -> Column:

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from sievewatt.functions import geometry as G
 from sievewatt.operators.ordered import row_numbers
 from sievewatt.operators.skew import HOT_ROWS, hot_keys
-from sievewatt.runtime import BROADCAST_BYTES, durable
+from sievewatt.runtime import BROADCAST_BYTES, durable, spread
 
 
 # Added to both sides of the columns an edge passes, as a share of a cell, against rounding; one cell more does no harm.
 MARGIN = 1e-6
 
+# Points that one task looks up; each is compared with every edge of its cell.
+POINTS_PER_TASK = 5_000
+
 
 def _touched(edges: DataFrame, keys: Sequence[str], cell: float) -> DataFrame:
     """(keys..., e, cx, cy): each edge ``e`` once per cell it touches."""
@@ -76,8 +79,9 @@ def points_within(
     """Every (point, area) pair where the area contains the point (columns x, y).
 
     The table of cells is built once and its edges are counted; it is broadcast only if it fits. A crowded cell is spread over several tasks by salting its points and repeating its few areas.
+    Points are dealt over tasks by their number, as a small file of them would be one task.
     """
-    located = points.withColumns({"cx": G.cell(F.col("x"), cell), "cy": G.cell(F.col("y"), cell)})
+    located = spread(points, POINTS_PER_TASK).withColumns({"cx": G.cell(F.col("x"), cell), "cy": G.cell(F.col("y"), cell)})
     cells = durable(area_cells(areas, cell))
     if cells_bytes(cells) <= broadcast_bytes:
         pairs = located.join(F.broadcast(cells), ["cx", "cy"])
