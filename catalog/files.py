@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +18,13 @@ EVENTS_PER_BLOCK = 1000
 USERS_PER_BLOCK = 50
 # Parts that one task turns into outlines.
 PARTS_PER_TASK = 5_000
-# Events in one file of a stream, and files in one micro-batch of many.
-STREAM_ROWS = 10_000
-FILES_PER_TRIGGER = 4
+# Blocks that one task writes.
+BLOCKS_PER_TASK = 32
+# Events in one file of a stream, and the most files in one micro-batch: a micro-batch costs seconds whatever it holds.
+STREAM_ROWS = 100_000
+FILES_PER_TRIGGER = 12
+# The same for files of readings, which are small.
+BLOCKS_PER_TRIGGER = 1000
 
 
 def name_blocks(spark: SparkSession, staged: str, folder: str) -> str:
@@ -26,10 +32,14 @@ def name_blocks(spark: SparkSession, staged: str, folder: str) -> str:
     fs_classes = spark._jvm.org.apache.hadoop.fs
     fs = fs_classes.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(fs_classes.Path(folder))
-    for status in fs.globStatus(fs_classes.Path(f"{staged}/block=*/part-*.csv")):
-        path = status.getPath()
-        number = path.getParent().getName().split("=")[1]
-        fs.rename(path, fs_classes.Path(f"{folder}/block_{number}.csv"))
+    paths = [status.getPath().toString() for status in fs.globStatus(fs_classes.Path(f"{staged}/block=*/part-*.csv"))]
+
+    def name(path: str) -> None:
+        number = path.rsplit("/", 2)[1].split("=")[1]
+        fs.rename(fs_classes.Path(path), fs_classes.Path(f"{folder}/block_{number}.csv"))
+
+    with ThreadPoolExecutor(8) as threads:
+        list(threads.map(name, paths))
     return folder
 
 
@@ -39,7 +49,8 @@ def write_blocks(rows: DataFrame, folder_name: str) -> str:
     spark = rows.sparkSession
     staged, folder = fresh(spark, f"{folder_name}-staged"), fresh(spark, folder_name)
     low, high = rows.agg(F.min("block"), F.max("block")).first()
-    rows.repartitionByRange((high or 0) - (low or 0) + 1, "block").write.partitionBy("block").option("header", True).csv(staged)
+    parts = ((high or 0) - (low or 0)) // BLOCKS_PER_TASK + 1
+    rows.repartitionByRange(parts, "block").write.partitionBy("block").option("header", True).csv(staged)
     return name_blocks(spark, staged, folder)
 
 
@@ -86,7 +97,7 @@ def daily_csv(spark: SparkSession, sf: str) -> str:
 
 def stream_files(rows: DataFrame, key: str, rows_per_file: int = STREAM_ROWS) -> tuple[str, int]:
     """A folder of Parquet files that come one after the other in order of ``key``, and how many of them a micro-batch
-    should take: one of a few, a fixed number of many. Each file is a range of the key of bounded size."""
+    should take. Each file is a range of the key of bounded size."""
     spark = rows.sparkSession
     folder, n = fresh(spark, "stream"), rows.count()
     parts = max(3, -(-n // rows_per_file))
@@ -97,7 +108,19 @@ def stream_files(rows: DataFrame, key: str, rows_per_file: int = STREAM_ROWS) ->
     paths = sorted(f.getPath().toString() for f in fs.globStatus(fs_classes.Path(f"{folder}/part-*")))
     for i, path in enumerate(paths):
         fs.setTimes(fs_classes.Path(path), 1_700_000_000_000 + 1000 * i, -1)
-    return folder, 1 if parts <= FILES_PER_TRIGGER else FILES_PER_TRIGGER
+    return folder, per_trigger(parts, 3, FILES_PER_TRIGGER)
+
+
+def per_trigger(n: int, batches: int, most: int) -> int:
+    """Files in a micro-batch so that ``n`` files make at least ``batches`` of them, but no more than ``most`` files each."""
+    return max(1, min(n // batches, most))
+
+
+def blocks_per_trigger(spark: SparkSession, folder: str) -> int:
+    """How many of a folder's blocks a micro-batch should take."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return max(8, per_trigger(len(fs.listStatus(path)), 8, BLOCKS_PER_TRIGGER))
 
 
 def _csv(df: DataFrame, name: str) -> str:

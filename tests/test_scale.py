@@ -1,9 +1,11 @@
 """Work that follows the rows: tasks by number of rows, micro-batches that are not too many, expressions that do not swell."""
 
 import math
+import os
 
 from pyspark.sql import functions as F
 
+from catalog import files, queries
 from sievewatt.functions import geometry as G
 from sievewatt.operators import spatial
 from sievewatt.runtime import spread
@@ -45,3 +47,33 @@ def test_points_are_dealt_over_tasks_before_they_are_looked_up(spark, monkeypatc
     out = spatial.buildings_by_area(outlines(spark, 50), areas, 0.25)
     assert "Repartition 5, true" in out._jdf.queryExecution().optimizedPlan().toString()
     assert [(r["admin_area_id"], r["building_count"]) for r in out.collect()] == [("a", 30)]
+
+
+def test_a_stream_of_many_rows_has_few_micro_batches(spark):
+    rows = spark.range(0, 400_000, 1, 4).withColumnRenamed("id", "event_id")
+    folder, taken = files.stream_files(rows, "event_id")
+    there = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    ends = [spark.read.parquet(f"{folder}/{f}").agg(F.min("event_id"), F.max("event_id"), F.count("*")).first() for f in there]
+    assert len(there) / taken <= 8 and sum(e[2] for e in ends) == 400_000
+    # in the order of the key, each of bounded size
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:])) and max(e[2] for e in ends) <= files.STREAM_ROWS
+
+
+def test_files_in_a_micro_batch():
+    assert [files.per_trigger(n, 3, 12) for n in (1, 3, 10, 60, 3600)] == [1, 1, 3, 12, 12]
+
+
+def test_many_blocks_are_written_by_few_tasks_and_streamed_in_few_batches(spark):
+    rows = spark.range(0, 300, 1, 3).select("id", F.floor(F.col("id") / 3).alias("block"))
+    folder = files.write_blocks(rows, "blocks")
+    read = spark.read.option("header", True).csv(folder).select("id", F.regexp_extract(F.col("_metadata.file_name"), "block_(.*).csv", 1).alias("b"))
+    assert sorted((int(r["id"]), int(r["b"])) for r in read.collect()) == [(i, i // 3) for i in range(300)]
+    assert files.blocks_per_trigger(spark, folder) == 12
+
+
+def test_streams_keep_their_state_on_disk(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    with queries._state_on_disk(spark):
+        assert "RocksDB" in spark.conf.get(key)
+    assert spark.conf.get(key, None) == before
