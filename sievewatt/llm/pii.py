@@ -10,8 +10,8 @@ threshold reaches that, none is added.
 Positives are the base spans, and the same spans rewritten in the other forms that the generators know, within their
 own surroundings. Negatives are candidates that are not sound (:func:`_sound`: wrong check digit, wrong length, glued
 to code, a sentence with "at", a number that nothing tells to be a phone). Sound candidates that are no base spans are
-what is to be judged and are not taught. The trees are fitted on at most :data:`TRAINING_ROWS` candidates, thresholds
-on as many others, by the order of a hash; their rewritten forms come on top.
+what is to be judged and are not taught. The trees are fitted on one half of all candidates, by a hash, thresholds are
+set on all of the other half; their rewritten forms come on top. Candidates of equal features are one weighed row.
 
 Positions are code points. They follow from the lengths of matches and of what is between them, so each pattern
 reads a text twice; only texts with a digit or an ``@`` are read. The patterns hold no repeated group: a separator
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from sievewatt.llm.common import durable
 
 KINDS = ("email", "ip", "card", "phone")
-TRAINING_ROWS = 10_000
 PRECISION = 0.98
 TREES, DEPTH = 10, 3
+# Different rows of features that one task of the fit holds.
+ROWS_PER_TASK = 50_000
 
 # A private character that stands for a separator within a match; own uses of it in a text become U+FFFD.
 JOINT = ""
@@ -226,13 +227,16 @@ def _features() -> dict[str, Column]:
     }
 
 
+def _names() -> list[str]:
+    return [f"f_{n}" for n in _features()]
+
+
 def _with_features(rows: DataFrame) -> DataFrame:
     return rows.select("*", *[c.cast("double").alias(f"f_{n}") for n, c in _features().items()])
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
-    names = [f"f_{n}" for n in _features()]
-    return VectorAssembler(inputCols=names, outputCol="x").transform(_with_features(rows)).drop(*names)
+    return VectorAssembler(inputCols=_names(), outputCol="x").transform(rows).drop(*_names())
 
 
 def read(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -259,21 +263,28 @@ def _other_forms(rows: DataFrame) -> DataFrame:
     return other.withColumn("kind", F.when(F.col("kind") == 0, 0).otherwise(_kind(F.col("m")))).select(*rows.columns)
 
 
-def train(rows: DataFrame, most: int = TRAINING_ROWS) -> tuple[GBTClassificationModel, dict[int, float]] | None:
-    """The trees and the threshold of each kind, from (other halves of) bounded samples of candidates."""
-    taught = (F.col("label") == 1) | (~F.col("met") & ~_sound())
-    sampled = rows.filter(taught).withColumn("h", F.xxhash64("m", "before"))
-    parts = [durable(sampled.filter(F.pmod("h", F.lit(2)) == i).orderBy("h", "start").limit(most)) for i in (0, 1)]
-    parts = [p.unionByName(_other_forms(p)) for p in parts]
-    classes = parts[0].agg(F.countDistinct("label")).first()[0]
-    if classes < 2:
+def lessons(rows: DataFrame) -> DataFrame:
+    """(part, kind, label, features..., n): all taught candidates and their other forms, counted by equal features.
+    Part 0 is for the trees, 1 for the thresholds; equal texts fall into one part."""
+    taught = rows.filter((F.col("label") == 1) | (~F.col("met") & ~_sound()))
+    parted = taught.withColumn("part", F.pmod(F.xxhash64("m", "before"), F.lit(2)))
+    every = _with_features(parted.unionByName(_other_forms(parted)))
+    return every.groupBy("part", "kind", "label", *_names()).agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def train(rows: DataFrame) -> tuple[GBTClassificationModel, dict[int, float]] | None:
+    """The trees and the threshold of each kind, from one half and the other of all candidates."""
+    counted = durable(_assembled(lessons(rows)))
+    told = counted.filter("part = 0").agg(F.countDistinct("label"), F.count(F.lit(1))).first()
+    if told[0] < 2:
         return None
-    data = durable(_assembled(parts[0]).select("x", "label")).repartition(1)
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7, maxMemoryInMB=64)
+    data = durable(counted.filter("part = 0").select("x", "label", "n")).repartition(-(-told[1] // ROWS_PER_TASK))
+    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=TREES, maxDepth=DEPTH, seed=7, maxMemoryInMB=64)
     model = trees.fit(data)
-    judged = model.transform(_assembled(parts[1])).select("kind", "label", F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("p"))
+    percent = F.floor(vector_to_array("probability")[1] * 100).cast("int").alias("p")
+    judged = model.transform(counted.filter("part = 1")).select("kind", "label", "n", percent)
     # at most 101 rows for each kind
-    bins = judged.groupBy("kind", "p").agg(F.sum("label").alias("right"), F.count("*").alias("n")).collect()
+    bins = judged.groupBy("kind", "p").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).collect()
     least = {}
     for kind in range(len(KINDS)):
         right = n = 0.0
@@ -284,12 +295,12 @@ def train(rows: DataFrame, most: int = TRAINING_ROWS) -> tuple[GBTClassification
     return model, least
 
 
-def detect(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", most: int = TRAINING_ROWS) -> DataFrame:
+def detect(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, row, base, added) for every row of ``docs``: spans as (start, kind, end), sorted; kinds as in :data:`KINDS`.
     ``row`` tells texts of one id apart."""
     found = read(docs, text_col, id_col)
     rows = durable(proposals(found))
-    trained = train(rows, most)
+    trained = train(rows)
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     if trained is None:
         return found.select("id", "row", "base", nothing.alias("added"))
@@ -297,7 +308,7 @@ def detect(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", most
     limit = F.lit(2.0)
     for kind, p in least.items():
         limit = F.when(F.col("kind") == kind, F.lit(p)).otherwise(limit)
-    judged = model.transform(_assembled(rows.filter(~F.col("met") & _sound()))).filter(vector_to_array("probability")[1] >= limit)
+    judged = model.transform(_assembled(_with_features(rows.filter(~F.col("met") & _sound())))).filter(vector_to_array("probability")[1] >= limit)
     span = F.struct(F.col("start"), F.col("kind"), F.col("end"))
     added = judged.groupBy("id", "row").agg(F.array_sort(F.collect_set(span)).alias("added"))
     return found.alias("f").join(added.alias("a"), F.expr("f.id <=> a.id AND f.row = a.row"), "left").select(

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
 from rows import ODD, documents
 
 from sievewatt.llm import pii
@@ -108,3 +109,12 @@ def test_redaction_where_ids_repeat_or_are_missing(spark):
     got = pii.redact(documents(spark, rows)).collect()
     told = {mail: "write to [email] please", phone: "the long way: [phone] call"}
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((i, told.get(t, t)) for i, t in rows)
+
+
+def test_all_candidates_teach(spark):
+    n = 24_000
+    text = F.concat(F.lit("write to me"), F.col("id").cast("string"), F.lit("@x.org or token = "), (F.col("id") * 7919 + 10_000_000).cast("string"))
+    rows = pii.proposals(pii.read(spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))))
+    got = {(r["kind"], r["label"]): (r["n"], r["parts"]) for r in pii.lessons(rows).groupBy("kind", "label").agg(F.sum("n").alias("n"), F.countDistinct("part").alias("parts")).collect()}
+    # each mail with its four other forms, and each number after a name of a secret
+    assert got == {(0, 1.0): (5.0 * n, 2), (3, 0.0): (1.0 * n, 2)}
