@@ -20,7 +20,7 @@ from sievewatt.operators.checks import DAY
 from sievewatt.operators.features import KEYS, feature_columns
 from sievewatt.operators.ordered import running_totals
 from sievewatt.operators.quantiles import stratified_split
-from sievewatt.runtime import scratch_path
+from sievewatt.runtime import durable, scratch_path
 from sievewatt.sources import tables
 
 # Fixed value: share of the training rows that decides when boosting stops.
@@ -28,8 +28,8 @@ VALIDATION_SHARE = 0.2
 
 
 def split(df: DataFrame, cfg: RiskSettings = RiskSettings()) -> tuple[DataFrame, DataFrame]:
-    """Exact stratified split, reproducible for a seed."""
-    marked = stratified_split(df, "target", KEYS, cfg.train_fraction, cfg.seed)
+    """Exact stratified split, reproducible for a seed; written once, as both sides are read several times."""
+    marked = durable(stratified_split(df, "target", KEYS, cfg.train_fraction, cfg.seed))
     return (
         marked.filter("is_train = 1").drop("is_train"),
         marked.filter("is_train = 0").drop("is_train"),
@@ -89,7 +89,8 @@ def train(
     weights = {r["target"]: r["weight"] for r in class_weights(train_rows).collect()}
     if len(weights) < 2:
         raise ValueError("training needs both classes; the target has only one")
-    held = stratified_split(train_rows, "target", KEYS, 1 - VALIDATION_SHARE, cfg.seed + 1)
+    # Written once: every stage of the pipeline reads these rows anew.
+    held = durable(stratified_split(train_rows, "target", KEYS, 1 - VALIDATION_SHARE, cfg.seed + 1))
     ready = (
         held.fillna(0.0, subset=numbers)
         .withColumn("label", F.col("target").cast("double"))
