@@ -177,20 +177,34 @@ def sources(run: Run) -> dict[str, Callable[[], Any]]:
     spark, paths, limit = run.spark, run.settings.paths, run.settings.limit_blocks
     steps: dict[str, Callable[[], Any]] = {}
 
-    def source(name: str, table: str, read: Callable[[str], DataFrame], needed: bool = False, **options: Any) -> None:
+    def source(name: str, table: str, read: Callable[[str], DataFrame], needed: bool = False) -> None:
         if needed or name in paths:
-            steps[table] = lambda: run.ingest(read(paths[name]), table, paths[name], **options)
+            steps[table] = lambda: run.ingest(read(paths[name]), table, paths[name])
+
+    def blocks(name: str, table: str, read: Callable[[str], DataFrame], needed: bool = False) -> None:
+        """A folder per block if blocks are large. Of small ones, each file holds the blocks that its task has read:
+        every read of the table lists all its folders and opens all its files."""
+
+        def step() -> None:
+            rows = read(paths[name])
+            if raw.fills_folders(spark, paths[name]):
+                run.ingest(rows, table, paths[name], partition_by=["source_block"])
+            else:
+                # a folder has no empty name either
+                run.ingest(rows.withColumn("source_block", F.nullif("source_block", F.lit(""))), table, paths[name])
+
+        if needed or name in paths:
+            steps[table] = step
 
     def holidays(path: str) -> DataFrame:
         return raw.read_optional(lambda: raw.read_holidays(spark, path), spark, raw.HOLIDAY_OUT)
 
-    by_block = {"partition_by": ["source_block"]}
     source("household_info", "household_info", lambda p: raw.read_households(spark, p), needed=True)
     source("acorn_details", "acorn_details", lambda p: raw.read_segments(spark, p))
-    source("halfhourly_dir", "halfhourly_consumption", lambda p: raw.read_readings(spark, p, limit), needed=True, **by_block)
+    blocks("halfhourly_dir", "halfhourly_consumption", lambda p: raw.read_readings(spark, p, limit), needed=True)
     source("weather_hourly", "weather_hourly", lambda p: raw.read_weather_hourly(spark, p), needed=True)
     source("weather_daily", "weather_daily", lambda p: raw.read_weather_daily(spark, p))
-    source("daily_dir", "daily_consumption", lambda p: raw.read_daily(spark, p, limit), **by_block)
+    blocks("daily_dir", "daily_consumption", lambda p: raw.read_daily(spark, p, limit))
     source("bank_holidays", "bank_holidays", holidays)
     return steps
 

@@ -60,6 +60,9 @@ BAD_NAME_CHARS = r"[ ,;{}()\n\t=/\\]"
 
 BLOCK_GLOB = "block_*.csv"
 
+# Blocks of this size on average get a folder each in a table; of smaller ones many share a file.
+FOLDER_BYTES = 16 * 1024 * 1024
+
 READING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in READING_COLUMNS])
 READING_OUT = "household_id string, timestamp timestamp, energy_kwh double, source_block string"
 HOLIDAY_OUT = "holiday_date date"
@@ -187,5 +190,12 @@ def _block_name() -> Column:
     return F.regexp_extract("_file", r"^block_(.*)\.csv$", 1)
 
 
+def fills_folders(spark: SparkSession, folder: str) -> bool:
+    """Are the blocks of a folder large enough, on average, for a folder per block in the table made of them?"""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    held = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path)
+    return held.getLength() >= FOLDER_BYTES * held.getFileCount()
+
+
 def _base_name(uri: str) -> str:
     return uri.rsplit("/", 1)[-1]

@@ -3,12 +3,16 @@
 import math
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from catalog import files, queries
 from sievewatt.functions import geometry as G
+from sievewatt.config import Cols, Settings
 from sievewatt.operators import spatial
+from sievewatt.plans import layers
 from sievewatt.runtime import spread
+from sievewatt.sources import raw, tables
 
 SQUARE = [(0.0, 50.0), (0.001, 50.0), (0.001, 50.002), (0.0, 50.002), (0.0, 50.0)]
 
@@ -77,3 +81,18 @@ def test_streams_keep_their_state_on_disk(spark):
     with queries._state_on_disk(spark):
         assert "RocksDB" in spark.conf.get(key)
     assert spark.conf.get(key, None) == before
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_only_large_blocks_get_a_folder_each(spark, tmp_path, monkeypatch, large):
+    monkeypatch.setattr(raw, "FOLDER_BYTES", 1 if large else 1000)
+    os.makedirs(tmp_path / "blocks")
+    for i in range(20):
+        with open(tmp_path / "blocks" / f"block_{i or ''}.csv", "w", encoding="utf-8") as fh:
+            fh.write(f"LCLid,tstp,energy(kWh/hh)\nH{i},2013-01-01 00:00:00.0000000,1.0\n")
+    run = layers.Run(spark, Settings(paths={"halfhourly_dir": str(tmp_path / "blocks"), "household_info": "", "weather_hourly": "", "bronze_root": str(tmp_path)}))
+    layers.sources(run)["halfhourly_consumption"]()
+    rows = run.load("bronze", "halfhourly_consumption")
+    assert {(r["household_id"], r["source_block"]) for r in rows.collect()} == {(f"H{i}", str(i) if i else None) for i in range(20)}
+    assert (len(rows.inputFiles()) == 20) == large
+    assert (tables.log(spark, run.path("bronze", "halfhourly_consumption")).first()["partition_by"] == ["source_block"]) == large
