@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievewatt.functions import geometry as G
+from sievewatt.runtime import scratch_path
 
 DEFAULT_CRS = "EPSG:4326"
 
@@ -97,7 +98,8 @@ def osm_buildings(
     keeps its line and has an area of 0. A way with nodes that are missing from the file keeps the corners
     it has, its area is null and ``missing_nodes`` counts them. Of a repeated tag the last value holds.
     """
-    ways = (
+    # Parsed once, as the corners and the rows themselves are both made of them.
+    ways = _stored(
         _xml(spark, path, "way", _WAY)
         .filter(F.exists("tag", lambda t: t["_k"].isin(list(tag_keys))))
         .select(
@@ -148,6 +150,13 @@ def no_buildings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], BUILDING_SCHEMA)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, and read from there."""
+    path = scratch_path(df.sparkSession, "ways")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
     reader = spark.read.format("xml").option("rowTag", tag).option("recursiveFileLookup", True)
     return reader.schema(schema).load(path)

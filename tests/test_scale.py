@@ -12,7 +12,7 @@ from sievewatt.config import Cols, Settings
 from sievewatt.operators import spatial
 from sievewatt.plans import layers
 from sievewatt.runtime import spread
-from sievewatt.sources import raw, tables
+from sievewatt.sources import geo, raw, tables
 
 SQUARE = [(0.0, 50.0), (0.001, 50.0), (0.001, 50.002), (0.0, 50.002), (0.0, 50.0)]
 
@@ -96,3 +96,13 @@ def test_only_large_blocks_get_a_folder_each(spark, tmp_path, monkeypatch, large
     assert {(r["household_id"], r["source_block"]) for r in rows.collect()} == {(f"H{i}", str(i) if i else None) for i in range(20)}
     assert (len(rows.inputFiles()) == 20) == large
     assert (tables.log(spark, run.path("bronze", "halfhourly_consumption")).first()["partition_by"] == ["source_block"]) == large
+
+
+def test_ways_are_parsed_once(spark, tmp_path):
+    nodes = "".join(f'<node id="{i}" lat="{50 + i // 2 / 10}" lon="{i % 2 / 10}"/>' for i in range(3))
+    way = '<way id="7"><nd ref="0"/><nd ref="1"/><nd ref="2"/><nd ref="0"/><tag k="building" v="yes"/></way>'
+    (tmp_path / "map.xml").write_text(f"<osm>{nodes}{way}</osm>", encoding="utf-8")
+    out = geo.osm_buildings(spark, str(tmp_path / "map.xml"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert len([line for line in plan if "Relation" in line and line.rstrip().endswith("xml")]) == 1
+    assert [r["building_id"] for r in out.collect()] == ["way_7"]
