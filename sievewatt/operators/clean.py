@@ -113,7 +113,12 @@ def rejected_readings(
     keys = [*cols.entity, cols.ts]
     order = [cols.arrival] if cols.arrival and cols.arrival in df.columns else []
     rest = order + [c for c in df.columns if c not in keys and c not in order]
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("row_count"))
+    # One shuffle for all groupings and windows, as in clean_readings. One task makes all that comes of its rows, so that Spark,
+    # which counts the rows once for each use, would merge too many tasks.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = in_one_place(df, cols.entity, rows_per_slice, parts)
+    slices = None if placed is None else Slices(tuple(cols.entity), cols.ts)
+    copies = (df if placed is None else placed).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("row_count"))
     # Survivor per key, carried with its copies; every other content of the key is a duplicate.
     kept = copies.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_kept"))
     v = number(F.col("_kept")[cols.value])
@@ -132,7 +137,7 @@ def rejected_readings(
         .withColumn("reject_reason", F.lit("duplicate"))
     )
     usable = survivors.drop("_v").filter(in_range(cols.value, low, high))
-    blank = impute_trailing_mean(usable, cols, rows_per_slice=rows_per_slice).filter(F.col(cols.value).isNull())
+    blank = impute_trailing_mean(usable, cols, rows_per_slice=rows_per_slice, slices=slices).filter(F.col(cols.value).isNull())
     columns = [*df.columns, "reject_reason", "row_count"]
     one = F.lit(1).cast("long")
     return (

@@ -168,14 +168,14 @@ def find_slices(
     return Slices(entity, order, durable(chosen))
 
 
-def in_one_place(df: DataFrame, entity: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
+def in_one_place(df: DataFrame, entity: Sequence[str], hot_rows: int | None = None, parts: int | None = None) -> DataFrame | None:
     """``df`` dealt by entity, if no entity has more rows, copies included, than one task may hold; else None.
 
-    What follows per entity (copies, windows, days) then needs no other shuffle.
+    What follows per entity (copies, windows, days) then needs no other shuffle. ``parts`` fixes the number of tasks.
     """
     fits = hot_rows is None and plan_bytes(df) <= SINGLE_TASK_BYTES
     if fits or hot_keys(df.select(*entity), entity, hot_rows or HOT_ROWS).isEmpty():
-        return df.repartition(*entity)
+        return df.repartition(*entity) if parts is None else df.repartition(parts, *entity)
     return None
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from catalog import files, queries
 from sievewatt.functions import geometry as G
 from sievewatt.config import Cols, Settings
-from sievewatt.operators import spatial
+from sievewatt.operators import clean, spatial
 from sievewatt.plans import layers
 from sievewatt.runtime import spread
 from sievewatt.sources import geo, raw, tables
@@ -98,6 +98,22 @@ def test_only_large_blocks_get_a_folder_each(spark, tmp_path, monkeypatch, large
     assert (tables.log(spark, run.path("bronze", "halfhourly_consumption")).first()["partition_by"] == ["source_block"]) == large
 
 
+def test_rejected_readings_are_found_in_one_shuffle(spark):
+    cols = Cols(("k",), "ts", "v", None)
+    rows = [("a", 1, 1.0), ("a", 1, 1.0), ("a", 1, 2.0), ("a", 2, -1.0), ("b", 1, None), ("b", 1, None), (None, None, 99.0), (None, None, 99.0)]
+    df = spark.createDataFrame(rows, "k string, n int, v double").select("k", F.timestamp_seconds("n").alias("ts"), "v")
+    one, sliced = clean.rejected_readings(df, cols), clean.rejected_readings(df, cols, rows_per_slice=1)
+    found = sorted((r["k"] or "", r["v"] or 0.0, r["reject_reason"], r["row_count"]) for r in one.collect())
+    assert found == sorted((r["k"] or "", r["v"] or 0.0, r["reject_reason"], r["row_count"]) for r in sliced.collect())
+    assert found == [
+        ("", 99.0, "above_max", 1), ("", 99.0, "duplicate", 1), ("a", -1.0, "below_min", 1), ("a", 1.0, "duplicate", 1),
+        ("a", 2.0, "duplicate", 1), ("b", 0.0, "duplicate", 1), ("b", 0.0, "not_imputable", 1),
+    ]
+    plan = one._jdf.queryExecution().executedPlan().toString().split("\n")
+    shuffles = [line for line in plan if "Exchange hashpartitioning(" in line]
+    assert shuffles and all("REPARTITION_BY_NUM" in line for line in shuffles)
+
+
 def test_ways_are_parsed_once(spark, tmp_path):
     nodes = "".join(f'<node id="{i}" lat="{50 + i // 2 / 10}" lon="{i % 2 / 10}"/>' for i in range(3))
     way = '<way id="7"><nd ref="0"/><nd ref="1"/><nd ref="2"/><nd ref="0"/><tag k="building" v="yes"/></way>'
